@@ -149,8 +149,8 @@ def portfolio_flood_scores() -> Column:
     return F.array(*[
         F.struct(
             F.lit(hazard).alias("hazard"),
-            F.col(defended).alias("defended"),
-            F.col(undefended).alias("undefended"),
+            as_col(defended).cast("double").alias("defended"),
+            as_col(undefended).cast("double").alias("undefended"),
         )
         for hazard, defended, undefended in hazards
     ])

@@ -33,7 +33,7 @@ def council_type_counts(
     present = [c for c in (code, kind, label) if c]
     for c in present:
         df = df.where(F.col(c).isNotNull())
-    return df.groupBy(code).pivot(kind, list(kinds)).agg(F.count("*")).fillna(0, list(kinds))
+    return df.groupBy(code).pivot(kind, list(kinds)).agg(F.count(F.lit(1))).fillna(0, list(kinds))
 
 
 def boundary_property_counts(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -126,3 +127,9 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The DataFrame with a row counter that fills while the next action runs, so that no job is spent on it."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def row_counts(steps: dict[str, DataFrame], name: str = "step") -> DataFrame:
+    """Number of rows of several tables, as one small table; an empty one shows 0."""
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(step).alias(name), "rows") for step, df in steps.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskbook.operators.quality import row_counts
+
 DAY = re.compile(r"dt=(\d{8})")
 
 
@@ -80,14 +82,7 @@ def write_rejects(rejects: DataFrame, base: str, run_date: str, source: str) ->
 
 def reject_summary(rejects_by_source: dict[str, DataFrame]) -> DataFrame:
     """Number of rejected rows per source; a source without rejects shows 0."""
-    counts = [
-        rejects.agg(F.count("*").alias("rows")).select(F.lit(source).alias("source"), "rows")
-        for source, rejects in rejects_by_source.items()
-    ]
-    summary = counts[0]
-    for count in counts[1:]:
-        summary = summary.unionByName(count)
-    return summary
+    return row_counts(rejects_by_source, "source")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,12 +7,17 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+
+
+def schema_of(text: str) -> T.StructType:
+    """Schema of a list of ``name type`` pairs; unlike a DDL string it needs no running session."""
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Property address file; one row per unit, several units may share a building.
-PROPERTY = _schema("""
+PROPERTY = schema_of("""
     ecad_id int, building_id int,
     address_line_1 string, address_line_2 string, address_line_3 string, address_line_4 string,
     address_line_5 string, address_line_6 string, address_line_7 string, address_line_8 string,
@@ -21,10 +26,10 @@ PROPERTY = _schema("""
 """)
 
 # Energy rating file, one row per unit.
-ENERGY_RATING = _schema("ecad_id int, ber_rating string, ber_rating_kwh double, co2_emission double")
+ENERGY_RATING = schema_of("ecad_id int, ber_rating string, ber_rating_kwh double, co2_emission double")
 
 # Flood index file; its ecad_id holds a building id.
-FLOOD_INDEX = _schema("""
+FLOOD_INDEX = schema_of("""
     ecad_id int,
     riverrp int, rmax20 double, rmax75 double, rmax100 double, rmax200 double, rmax1000 double, sop_ri int,
     coastaludrp int, cudmax75 double, cudmax100 double, cudmax200 double, cudmax1000 double,
@@ -40,8 +45,8 @@ FLOOD_INDEX = _schema("""
 """)
 
 # Loan book of the property use case; dates are text.
-LOAN_BOOK = _schema("""
-    ecad_id int, Asset_id int, product string, term int, `Rate/Margin` double,
+LOAN_BOOK = schema_of("""
+    ecad_id int, Asset_id int, product string, term int, Rate/Margin double,
     Disbursment_Date string, Closing_Date string, Initial_Borrow_Capital double, LTV double,
     Monthly_Repayment double, Next_Payment_Due string, Monthly_Capital_Repayment double,
     Months_Paid int, Months_Due int, Property_Valuation double, Initial_Deposit double,
