@@ -249,6 +249,6 @@ SQL = {
         SELECT o_custkey AS id, CASE WHEN doc_id IS NOT NULL THEN 51.5e0 END AS lat,
                CASE WHEN doc_id IS NOT NULL THEN -2.5e0 END AS lon,
                CASE WHEN label IS NULL THEN '#deebf6' WHEN label = 'A' THEN '#00a54f' END AS colour, label,
-               round(capital, 2) AS initial_borrow_capital
+               round_even(capital, 2) AS initial_borrow_capital
         FROM merged""",
 }
