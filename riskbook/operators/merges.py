@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from collections import Counter
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +39,8 @@ def join_keep_left(
     right_key: str,
     how: str = "inner",
     drop_right: Sequence[str] = (),
-    hot_left: Sequence = (),
-    hot_right: Sequence = (),
+    hot_left: Mapping | None = None,
+    hot_right: Mapping | None = None,
 ) -> DataFrame:
     """Equi-join that keeps the left key and leaves out the right key and the listed right columns."""
     right = _without(right, [c for c in drop_right if c.lower() != right_key.lower()])
@@ -138,6 +138,6 @@ def merge_portfolio(
         key,
         how,
         drop_right=(second_key, *grid),
-        hot_left=[*crowded, *[k for k in hot_scores if k not in crowded]],
+        hot_left={k: crowded.get(k, 1) * hot_scores.get(k, 1) for k in {**crowded, **hot_scores}},
         hot_right=hot_latlong,
     )

@@ -28,19 +28,24 @@ def profile(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK
 
 
 def _moments(values: DataFrame, columns: Sequence[str], with_quartiles: bool) -> DataFrame:
+    shares = F.array(*[F.lit(p) for _, p in QUARTILES])
+
     def figures(c: str) -> Column:
-        quartiles = [F.percentile(c, F.lit(p)).alias(name) for name, p in QUARTILES] if with_quartiles else []
         return F.struct(
             F.lit(c).alias("column"),
             F.count(c).alias("count"),
             F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"),
-            *quartiles,
+            *([F.percentile(c, shares).alias("quartiles")] if with_quartiles else []),
             F.max(c).alias("max"),
         )
 
-    return values.agg(F.array(*[figures(c) for c in columns]).alias("rows")).select(F.inline("rows"))
+    rows = values.agg(F.array(*[figures(c) for c in columns]).alias("rows")).select(F.inline("rows"))
+    if not with_quartiles:
+        return rows
+    quartiles = [F.col("quartiles")[i].alias(name) for i, (name, _) in enumerate(QUARTILES)]
+    return rows.select("column", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def _log_bin(value: Column) -> Column:

@@ -22,15 +22,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, first: str = "id", second: str = "uprn") -> DataFrame:
-    """Duplicates of the pair and of each single key in one pass: the pair counts are rolled up, the table is
-    not read again."""
-    pairs = df.groupBy(first, second).agg(F.count("*").alias("n"))
-    rolled = pairs.groupingSets([[first, second], [first], [second]], first, second).agg(
-        F.sum("n").alias("count"), F.grouping_id().alias("kind")
+    """Duplicates of the pair and of each single key from one scan, combined before the one shuffle."""
+    counts = df.groupingSets([[first, second], [first], [second]], first, second).agg(
+        F.count("*").alias("count"), F.grouping_id().alias("kind")
     )
     kind = F.when(F.col("kind") == 0, f"{first}+{second}").when(F.col("kind") == 1, first).otherwise(second)
     return (
-        rolled.where(F.col("count") > 1)
+        counts.where(F.col("count") > 1)
         .select(kind.alias("key"), first, second, "count")
         .orderBy("key", F.desc("count"), first, second)
     )

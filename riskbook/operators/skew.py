@@ -2,59 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_SHARE = 1 / 64
+# A key is hot from this share of a table's rows on; smaller tables than HOT_MIN_ROWS are never looked through.
+HOT_SHARE = 1 / 256
 HOT_MIN_ROWS = 1_000_000
-SALTS = 64
+# A hot key is cut into pieces of about this many rows.
+ROWS_PER_PIECE = 500_000
+SKETCH_GROUPS = 256
 
 
 def hot_keys_of(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> dict[str, list]:
-    """For each key column the values that hold at least ``share`` of the rows; none for a table under ``min_rows``.
-
-    One scan of the key columns fills a frequent-items sketch of fixed size per column, so nothing is shuffled by key
-    and only about 1 / share values per column reach the driver. The sketch tracks enough values to miss none of
-    these; a value just under the share may be named as well, which changes the balance of :func:`skew_join` but
-    not its result. Every value named does occur in the table.
+) -> dict[str, dict]:
+    """For each key column the values that hold at least ``share`` of the rows, with their approximate row counts;
+    none for a table under ``min_rows``.
+
+    One scan of the key columns fills frequent-items sketches of fixed size, merged in two steps, so nothing is
+    shuffled by key and only about 1 / share values per column reach the driver. The sketch tracks enough values to
+    miss none of these; a value just under the share may be named as well, which changes the balance of
+    :func:`skew_join` but not its result. Every value named does occur in the table. ``df`` should be a stored table:
+    the scan runs right away.
     """
     most = int(1 / share) + 1
-    tracked = max(1024, 1 << (8 * most - 1).bit_length())
+    tracked = 1 << (8 * most - 1).bit_length()
     names = [f"k{i}" for i in range(len(keys))]
-    figures = [F.count("*").alias("rows")]
-    figures += [F.expr(f"approx_top_k({n}, {2 * most}, {tracked})").alias(n) for n in names]
-    found = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(*figures).first()
-    if found["rows"] < max(1, min_rows):
-        return {k: [] for k in keys}
+    partial = (
+        df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
+        .agg(
+            F.count("*").alias("rows"),
+            *[F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names],
+        )
+    )
+    top = f"approx_top_k_estimate(approx_top_k_combine({{}}, {tracked}), {2 * most})"
+    # Grouped by a constant, an empty table gives no row; the sketch functions take no empty input.
+    found = partial.groupBy(F.lit("all")).agg(
+        F.sum("rows").alias("rows"),
+        *[F.expr(top.format(n)).alias(n) for n in names],
+    ).first()
+    if found is None or found["rows"] < min_rows:
+        return {k: {} for k in keys}
     floor = share * found["rows"]
     return {
-        k: [item["item"] for item in found[n] if item["item"] is not None and item["count"] >= floor]
+        k: {item["item"]: item["count"] for item in found[n] if item["item"] is not None and item["count"] >= floor}
         for k, n in zip(keys, names)
     }
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> dict:
     return hot_keys_of(df, [key], share, min_rows)[key]
 
 
-def _is_one_of(key: Column, values: Sequence) -> Column:
-    return F.coalesce(key.isin(list(values)), F.lit(False)) if values else F.lit(False)
+def _pieces(key: Column, hot: Mapping, rows_per_piece: int) -> Column:
+    """Number of pieces the key is cut into; null for a key that is not hot."""
+    if not hot:
+        return F.lit(None).cast("int")
+    chosen = F.lit(None).cast("int")
+    for value, rows in hot.items():
+        chosen = F.when(key == F.lit(value), max(2, math.ceil(rows / rows_per_piece))).otherwise(chosen)
+    return F.when(key.isin(list(hot)), chosen)
 
 
-def _spread(df: DataFrame, key: str, own: Sequence, other: Sequence, salts: int, salt: str) -> DataFrame:
-    """Rows whose key is hot on this side take one salt each; rows whose key is hot on the other side are copied
-    to every salt; all other rows take salt 0. A row's salt depends on its content and its partition, not on the
-    order of rows or on chance, so a recomputed task gives the same one."""
+def _spread(df: DataFrame, key: str, own: Mapping, other: Mapping, rows_per_piece: int, salt: str) -> DataFrame:
+    """Rows whose key is hot on this side go to one piece each; rows whose key is hot on the other side are copied
+    to every piece; all other rows form one piece. A row's piece depends on its content and its partition, not on
+    the order of rows or on chance, so a recomputed task gives the same one."""
     hashable = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    one = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    own_pieces = _pieces(F.col(key), own, rows_per_piece)
+    other_pieces = _pieces(F.col(key), other, rows_per_piece)
+    one = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), own_pieces).cast("int")
     picked = (
-        F.when(_is_one_of(F.col(key), own), F.array(one))
-        .when(_is_one_of(F.col(key), other), F.sequence(F.lit(0), F.lit(salts - 1)))
+        F.when(own_pieces.isNotNull(), F.array(one))
+        .when(other_pieces.isNotNull(), F.sequence(F.lit(0), other_pieces - 1))
         .otherwise(F.array(F.lit(0)))
     )
     return df.select("*", F.explode(picked).alias(salt))
@@ -66,20 +91,21 @@ def skew_join(
     left_key: str,
     right_key: str,
     how: str = "inner",
-    hot_left: Sequence = (),
-    hot_right: Sequence = (),
-    salts: int = SALTS,
+    hot_left: Mapping | None = None,
+    hot_right: Mapping | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """Equi-join on one key that drops ``right_key`` and spreads the given hot keys over ``salts`` tasks.
+    """Equi-join on one key that drops ``right_key`` and cuts the given hot keys into pieces for several tasks.
 
-    ``hot_left`` are keys frequent on the left, ``hot_right`` keys frequent on the right; a key in both counts as hot
-    on the left. The result is that of the plain join. ``how`` is inner, left, left_semi or left_anti; the last two
-    take no ``hot_right``, and for left every key in ``hot_right`` has to occur on the right, as it does when it
-    comes from :func:`hot_keys` of that table.
+    ``hot_left`` holds keys frequent on the left and their rows, ``hot_right`` those of the right; a key in both
+    counts as hot on the left. The result is that of the plain join. ``how`` is inner, left, left_semi or left_anti;
+    the last two take no ``hot_right``, and for left every key in ``hot_right`` has to occur on the right, as it does
+    when it comes from :func:`hot_keys` of that table.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot_right = [k for k in hot_right if k not in set(hot_left)]
+    hot_left = dict(hot_left or {})
+    hot_right = {k: rows for k, rows in (hot_right or {}).items() if k not in hot_left}
     if hot_right and how in ("left_semi", "left_anti"):
         raise ValueError(f"{how} keeps left rows as they are and cannot copy them for hot_right")
     right = right.withColumnRenamed(right_key, "_right_key")
@@ -87,10 +113,11 @@ def skew_join(
     if not hot_left and not hot_right:
         return left.join(right, same_key, how).drop("_right_key")
 
-    left = _spread(left, left_key, hot_left, hot_right, salts, "_left_salt")
-    right = _spread(right, "_right_key", hot_right, hot_left, salts, "_right_salt")
-    joined = left.join(right, same_key & (F.col("_left_salt") == F.col("_right_salt")), how)
+    left = _spread(left, left_key, hot_left, hot_right, rows_per_piece, "_left_piece")
+    right = _spread(right, "_right_key", hot_right, hot_left, rows_per_piece, "_right_piece")
+    joined = left.join(right, same_key & (F.col("_left_piece") == F.col("_right_piece")), how)
     if how == "left" and hot_right:
-        # A copied left row meets right rows under some salts; its other copies are no missing matches.
-        joined = joined.where(~_is_one_of(F.col(left_key), hot_right) | F.col("_right_key").isNotNull())
-    return joined.drop("_left_salt", "_right_key", "_right_salt")
+        # A copied left row meets right rows in some pieces; its other copies are no missing matches.
+        was_copied = F.coalesce(F.col(left_key).isin(list(hot_right)), F.lit(False))
+        joined = joined.where(~was_copied | F.col("_right_key").isNotNull())
+    return joined.drop("_left_piece", "_right_key", "_right_piece")

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from riskbook.operators import merges
-from riskbook.operators.skew import hot_keys, hot_keys_of, skew_join
+from riskbook.operators.skew import _spread, hot_keys, hot_keys_of, skew_join
 
 
 def rows(df):
@@ -41,10 +41,13 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_left,hot_right", [((), ()), ((1,), ()), ((), (2,)), ((1,), (2,)), ((1, 2), (2, 6)), ((9,), (5,))])
+@pytest.mark.parametrize("hot_left,hot_right", [
+    ({}, {}), ({1: 900}, {}), ({}, {2: 400}), ({1: 900}, {2: 400}), ({1: 300, 2: 100}, {2: 400, 6: 100}),
+    ({9: 500}, {5: 200}),
+])
 def test_skew_join_equals_plain_join(skewed, how, hot_left, hot_right):
     left, right, ldf, rdf = skewed
-    joined = skew_join(ldf, rdf, "k", "rk", how, hot_left, hot_right, salts=5)
+    joined = skew_join(ldf, rdf, "k", "rk", how, hot_left, hot_right, rows_per_piece=100)
     assert joined.columns == ["k", "x", "y"]
     assert rows(joined) == brute_join(left, right, how)
 
@@ -52,10 +55,10 @@ def test_skew_join_equals_plain_join(skewed, how, hot_left, hot_right):
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 def test_skew_join_filters(skewed, how):
     left, right, ldf, rdf = skewed
-    for hot in ((), (1, 4)):
-        assert rows(skew_join(ldf, rdf, "k", "rk", how, hot, salts=5)) == brute_join(left, right, how)
+    for hot in ({}, {1: 900, 4: 200}):
+        assert rows(skew_join(ldf, rdf, "k", "rk", how, hot, rows_per_piece=100)) == brute_join(left, right, how)
     with pytest.raises(ValueError):
-        skew_join(ldf, rdf, "k", "rk", how, hot_right=(2,))
+        skew_join(ldf, rdf, "k", "rk", how, hot_right={2: 5})
     with pytest.raises(ValueError):
         skew_join(ldf, rdf, "k", "rk", "full")
 
@@ -64,17 +67,20 @@ def test_skew_join_spreads_identical_rows(spark):
     """A third of the rows are copies of one row; salting sends them to more than one salt."""
     left = spark.createDataFrame([(1, "same")] * 100 + [(i, "x") for i in range(2, 200)], "k int, t string")
     right = spark.createDataFrame([(i, i * 10) for i in range(1, 200)], "rk int, v int")
-    joined = skew_join(left.repartition(8), right, "k", "rk", "inner", hot_left=[1], salts=4)
+    joined = skew_join(left.repartition(8), right, "k", "rk", "inner", hot_left={1: 100}, rows_per_piece=25)
     assert joined.count() == 298
+    pieces = _spread(left.repartition(8), "k", {1: 100}, {}, 25, "piece").where("k = 1")
+    assert pieces.select("piece").distinct().count() == 4
 
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100, "k int, s string")
-    assert hot_keys(df, "k", share=0.2, min_rows=0) == [1]
-    assert hot_keys(df, "k") == []
+    assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50}
+    assert hot_keys(df, "k") == {}
     found = hot_keys_of(df, ["k", "s"], share=0.2, min_rows=0)
-    assert found["k"] == [1] and sorted(found["s"]) == ["a", "b"]
-    assert hot_keys(df.limit(0), "k", min_rows=0) == []
+    assert found == {"k": {1: 50}, "s": {"a": 50, "b": 50}}
+    assert hot_keys(df.limit(0), "k", min_rows=0) == {}
+    assert hot_keys(df.where("k IS NULL"), "k", min_rows=0) == {}
 
 
 def frames(spark):
