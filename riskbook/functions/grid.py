@@ -52,7 +52,7 @@ def _arc(lat, sin2, sin4, sin6):
 ORIGIN_ARC = _arc(ORIGIN_LAT, *[math.sin(k * ORIGIN_LAT) for k in (2, 4, 6)])
 
 
-def with_airy_radians(df: DataFrame, easting: str, northing: str, lat: str, lon: str) -> DataFrame:
+def _with_airy_radians(df: DataFrame, easting: str, northing: str, lat: str, lon: str) -> DataFrame:
     """Adds latitude and longitude on the grid's own datum, in radians."""
     n = THIRD
     out = df.withColumn("_g_arc", number(northing) - ORIGIN_NORTHING + ORIGIN_ARC)
@@ -108,7 +108,7 @@ def with_wgs84(
     df: DataFrame, easting: str, northing: str, latitude: str = "latitude", longitude: str = "longitude"
 ) -> DataFrame:
     """Adds WGS84 latitude and longitude in degrees."""
-    out = with_airy_radians(df, easting, northing, "_g_lat", "_g_lon")
+    out = _with_airy_radians(df, easting, northing, "_g_lat", "_g_lon")
     out = out.withColumns({"_g_sin": F.sin("_g_lat"), "_g_cos": F.cos("_g_lat")})
     out = out.withColumn("_g_nu", AIRY_A / F.sqrt(1 - AIRY_E2 * F.col("_g_sin") * F.col("_g_sin")))
     out = out.withColumn("_g_r", F.col("_g_nu") * F.col("_g_cos"))
@@ -132,5 +132,9 @@ def with_wgs84(
     sin, cos = F.col("_g_sin"), F.col("_g_cos")
     height = z + WGS_SECOND_E2 * WGS_B * sin * sin * sin
     distance = F.col("_g_p") - WGS_E2 * WGS_A * cos * cos * cos
-    out = out.withColumns({latitude: F.degrees(F.atan2(height, distance)), longitude: F.degrees(F.atan2(y, x))})
-    return out.drop(*[name for name in out.columns if name.startswith("_g_")])
+    # The generator keeps filters on the position above this point; pushed down, they would unfold the whole chain.
+    place = F.struct(
+        F.degrees(F.atan2(height, distance)).alias(latitude), F.degrees(F.atan2(y, x)).alias(longitude)
+    )
+    kept = [F.col(f"`{name}`") for name in df.columns if name.lower() not in (latitude.lower(), longitude.lower())]
+    return out.select(*kept, F.inline(F.array(place)))

@@ -23,34 +23,28 @@ def hot_keys_of(
     """For each key column the values that hold at least ``share`` of the rows, with their approximate row counts;
     none for a table under ``min_rows``.
 
-    One scan of the key columns fills frequent-items sketches of fixed size, merged in two steps, so nothing is
-    shuffled by key and only about 1 / share values per column reach the driver. The sketch tracks enough values to
-    miss none of these; a value just under the share may be named as well, which changes the balance of
-    :func:`skew_join` but not its result. Every value named does occur in the table. ``df`` should be a stored table:
-    the scan runs right away.
+    The rows are counted first, which for a stored table reads file footers only. One scan of the key columns then
+    fills frequent-items sketches of fixed size, merged in two steps, so nothing is shuffled by key and only about
+    1 / share values per column reach the driver. The sketch tracks enough values to miss none of these; a value just
+    under the share may be named as well, which changes the balance of :func:`skew_join` but not its result. Every
+    value named does occur in the table; ``None`` stands for missing keys. ``df`` should be a stored table, since the
+    scan runs right away.
     """
+    rows = df.count()
+    if rows < max(1, min_rows):
+        return {k: {} for k in keys}
     most = int(1 / share) + 1
     tracked = 1 << (8 * most - 1).bit_length()
     names = [f"k{i}" for i in range(len(keys))]
     partial = (
         df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
-        .agg(
-            F.count("*").alias("rows"),
-            *[F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names],
-        )
+        .agg(*[F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names])
     )
     top = f"approx_top_k_estimate(approx_top_k_combine({{}}, {tracked}), {2 * most})"
-    # Grouped by a constant, an empty table gives no row; the sketch functions take no empty input.
-    found = partial.groupBy(F.lit("all")).agg(
-        F.sum("rows").alias("rows"),
-        *[F.expr(top.format(n)).alias(n) for n in names],
-    ).first()
-    if found is None or found["rows"] < min_rows:
-        return {k: {} for k in keys}
-    floor = share * found["rows"]
+    found = partial.agg(*[F.expr(top.format(n)).alias(n) for n in names]).first()
     return {
-        k: {item["item"]: item["count"] for item in found[n] if item["item"] is not None and item["count"] >= floor}
+        k: {item["item"]: item["count"] for item in found[n] if item["count"] >= share * rows}
         for k, n in zip(keys, names)
     }
 
@@ -61,12 +55,19 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
 
 def _pieces(key: Column, hot: Mapping, rows_per_piece: int) -> Column:
     """Number of pieces the key is cut into; null for a key that is not hot."""
-    if not hot:
-        return F.lit(None).cast("int")
     chosen = F.lit(None).cast("int")
-    for value, rows in hot.items():
-        chosen = F.when(key == F.lit(value), max(2, math.ceil(rows / rows_per_piece))).otherwise(chosen)
-    return F.when(key.isin(list(hot)), chosen)
+    values = [value for value in hot if value is not None]
+    for value in values:
+        chosen = F.when(key == F.lit(value), _piece_count(hot[value], rows_per_piece)).otherwise(chosen)
+    if values:
+        chosen = F.when(key.isin(values), chosen)
+    if None in hot:
+        chosen = F.when(key.isNull(), _piece_count(hot[None], rows_per_piece)).otherwise(chosen)
+    return chosen
+
+
+def _piece_count(rows: int, rows_per_piece: int) -> int:
+    return max(2, math.ceil(rows / rows_per_piece))
 
 
 def _spread(df: DataFrame, key: str, own: Mapping, other: Mapping, rows_per_piece: int, salt: str) -> DataFrame:
@@ -104,8 +105,10 @@ def skew_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot_left = dict(hot_left or {})
-    hot_right = {k: rows for k, rows in (hot_right or {}).items() if k not in hot_left}
+    # Missing keys match nothing; on the left they only need spreading where their rows are kept.
+    keeps_missing = how in ("left", "left_anti")
+    hot_left = {k: rows for k, rows in (hot_left or {}).items() if k is not None or keeps_missing}
+    hot_right = {k: rows for k, rows in (hot_right or {}).items() if k is not None and k not in hot_left}
     if hot_right and how in ("left_semi", "left_anti"):
         raise ValueError(f"{how} keeps left rows as they are and cannot copy them for hot_right")
     right = right.withColumnRenamed(right_key, "_right_key")
@@ -114,7 +117,8 @@ def skew_join(
         return left.join(right, same_key, how).drop("_right_key")
 
     left = _spread(left, left_key, hot_left, hot_right, rows_per_piece, "_left_piece")
-    right = _spread(right, "_right_key", hot_right, hot_left, rows_per_piece, "_right_piece")
+    copied = {k: rows for k, rows in hot_left.items() if k is not None}
+    right = _spread(right, "_right_key", hot_right, copied, rows_per_piece, "_right_piece")
     joined = left.join(right, same_key & (F.col("_left_piece") == F.col("_right_piece")), how)
     if how == "left" and hot_right:
         # A copied left row meets right rows in some pieces; its other copies are no missing matches.

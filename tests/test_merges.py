@@ -43,7 +43,7 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_left,hot_right", [
     ({}, {}), ({1: 900}, {}), ({}, {2: 400}), ({1: 900}, {2: 400}), ({1: 300, 2: 100}, {2: 400, 6: 100}),
-    ({9: 500}, {5: 200}),
+    ({9: 500}, {5: 200}), ({None: 800, 1: 200}, {None: 300, 2: 100}),
 ])
 def test_skew_join_equals_plain_join(skewed, how, hot_left, hot_right):
     left, right, ldf, rdf = skewed
@@ -55,7 +55,7 @@ def test_skew_join_equals_plain_join(skewed, how, hot_left, hot_right):
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 def test_skew_join_filters(skewed, how):
     left, right, ldf, rdf = skewed
-    for hot in ({}, {1: 900, 4: 200}):
+    for hot in ({}, {1: 900, 4: 200}, {None: 500, 2: 300}):
         assert rows(skew_join(ldf, rdf, "k", "rk", how, hot, rows_per_piece=100)) == brute_join(left, right, how)
     with pytest.raises(ValueError):
         skew_join(ldf, rdf, "k", "rk", how, hot_right={2: 5})
@@ -75,12 +75,12 @@ def test_skew_join_spreads_identical_rows(spark):
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100, "k int, s string")
-    assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50}
+    assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50, None: 100}
     assert hot_keys(df, "k") == {}
     found = hot_keys_of(df, ["k", "s"], share=0.2, min_rows=0)
-    assert found == {"k": {1: 50}, "s": {"a": 50, "b": 50}}
+    assert found == {"k": {1: 50, None: 100}, "s": {"a": 50, "b": 50, None: 100}}
     assert hot_keys(df.limit(0), "k", min_rows=0) == {}
-    assert hot_keys(df.where("k IS NULL"), "k", min_rows=0) == {}
+    assert hot_keys(df.where("k IS NULL"), "k", min_rows=0) == {None: 100}
 
 
 def frames(spark):
