@@ -120,9 +120,20 @@ def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return return_period_profile(property_book(spark, sf_dir), ["ecad_id", "Asset_id"])
 
 
-QUERIES = {"return_period_profile": profile_rows}
+def column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The few columns of the enriched book that the loan overview keeps."""
+    return property_book(spark, sf_dir).select(
+        "ecad_id", "ber_rating_kwh", "co2_emission", "Asset_id", "Mortgage_Outstanding"
+    )
+
+
+QUERIES = {"return_period_profile": profile_rows, "column_subset": column_subset}
 
 SQL = {
+    "column_subset": """
+        SELECT l_orderkey AS ecad_id, l_quantity * 12 AS ber_rating_kwh, l_tax AS co2_emission,
+               l_linenumber AS "Asset_id", l_extendedprice AS "Mortgage_Outstanding"
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "return_period_profile": " UNION ALL ".join(
         f"""SELECT l_orderkey AS ecad_id, l_linenumber AS Asset_id, '{hazard}' AS hazard, {years} AS return_period,
             l_quantity * {i} / 10 AS depth_m, l_linenumber * {i} AS score

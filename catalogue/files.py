@@ -75,10 +75,16 @@ def one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_published(spark, _published(spark, sf_dir, "parquet"), "20230426")
 
 
+def several_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both published days of one layout, stacked by a single reader."""
+    base = _published(spark, sf_dir, "csv")
+    return readers.read_csv(spark, [f"{base}/dt=20230426", f"{base}/dt=20230427"], ORDER)
+
+
 def inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _published(spark, sf_dir, "csv")
-    return readers.read_inferred_csv(spark, f"{base}/dt=20230427").withColumn("o_orderkey", F.col("o_orderkey").cast("long")) \
-        .withColumn("o_custkey", F.col("o_custkey").cast("long"))
+    keys = {c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")}
+    return readers.read_inferred_csv(spark, f"{base}/dt=20230427").withColumns(keys)
 
 
 def raw_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +118,7 @@ QUERIES = {
     "roundtrip_csv": newest_csv,
     "roundtrip_json": newest_json,
     "read_published_day": one_day,
+    "read_several_files": several_files,
     "read_inferred_csv": inferred,
     "read_raw_csv": raw_typed,
 }
@@ -124,6 +131,8 @@ SQL = {
     "roundtrip_csv": _day_sql("20230427"),
     "roundtrip_json": _day_sql("20230427"),
     "read_published_day": _day_sql("20230426", "o_totalprice / 2"),
+    "read_several_files": """SELECT o_orderkey, o_custkey, o_totalprice / 2 AS o_totalprice FROM orders
+        UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders""",
     "read_inferred_csv": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "read_raw_csv": """
         SELECT doc_id, nullif(lang, 'fr') AS lang, nullif(quality, 0) AS quality,

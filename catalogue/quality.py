@@ -89,7 +89,7 @@ def narrowed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return quality.lookup_properties(spark, customers, "c_custkey", table(spark, sf_dir, "events").select("user_id"))
+    return quality.lookup_properties(customers, "c_custkey", table(spark, sf_dir, "events").select("user_id"))
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:

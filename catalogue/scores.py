@@ -18,7 +18,7 @@ from riskbook.functions.palettes import (
     unknown_codes,
     with_colour,
 )
-from riskbook.operators.layers import heat_layer
+from riskbook.operators.layers import energy_layer, heat_layer
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,19 @@ def wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({c: F.round(c, 5) for c in ("latitude", "longitude")})
 
 
+def placed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rated points whose position comes from the grid, per map cell and colour."""
+    points = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS uprn", "l_returnflag AS rating", "200000 + l_extendedprice * 4 AS easting",
+        "50000 + l_quantity * 18000 AS northing",
+    )
+    placed = with_wgs84(points, "easting", "northing")
+    layer = energy_layer(placed, "uprn", "latitude", "longitude", "rating", EPC_COLOURS_CLASSIC)
+    return layer.groupBy(
+        F.floor(F.round("lat", 5)).alias("south"), F.floor(F.round("lon", 5)).alias("west"), "colour", "label"
+    ).agg(F.count("*").alias("points"))
+
+
 _SCORED = """scored AS (
     SELECT l_orderkey, l_linenumber, l_extendedprice, p_retailprice, a, b, CASE WHEN a > b THEN a ELSE b END AS v FROM (
         SELECT *, nullif(l_quantity, 25) * 2.5 - 10 AS a, nullif(p_size, 7) * 2 - 10 AS b
@@ -106,8 +119,8 @@ _RATING = """CASE WHEN v IS NULL OR v < 0 OR v > 100 OR v <> floor(v) THEN 'purp
     ELSE 'black-2' END"""
 
 
-def _wgs84_sql() -> str:
-    """The conversion as a chain of subqueries, one per step, in degrees and metres."""
+def _wgs84_sql(kept: str = "") -> str:
+    """The iterated conversion as a chain of subqueries, one per step, in degrees and metres."""
     e2 = "(1 - 6356256.909 * 6356256.909 / (6377563.396 * 6377563.396))"
     w2 = "(1 - 6356752.3141 * 6356752.3141 / (6378137.0 * 6378137.0))"
     n = "((6377563.396 - 6356256.909) / (6377563.396 + 6356256.909))"
@@ -116,7 +129,7 @@ def _wgs84_sql() -> str:
         - (3 * {n} + 3 * {n} * {n} + 2.625 * {n} * {n} * {n}) * sin(f - {lat0}) * cos(f + {lat0})
         + (1.875 * {n} * {n} + 1.875 * {n} * {n} * {n}) * sin(2 * (f - {lat0})) * cos(2 * (f + {lat0}))
         - 35e0 / 24 * {n} * {n} * {n} * sin(3 * (f - {lat0})) * cos(3 * (f + {lat0})))"""
-    q = """SELECT l_orderkey, l_linenumber, 200000 + l_extendedprice * 4 AS easting,
+    q = f"""SELECT l_orderkey, l_linenumber{kept}, 200000 + l_extendedprice * 4 AS easting,
         50000 + l_quantity * 18000 AS northing FROM lineitem"""
     q = f"SELECT *, (northing + 100000) / {af} + {lat0} AS f FROM ({q})"
     for _ in range(6):
@@ -139,7 +152,7 @@ def _wgs84_sql() -> str:
     for _ in range(5):
         q = f"""SELECT * REPLACE (atan2(z2 + {w2} * 6378137.0 / sqrt(1 - {w2} * sin(p) * sin(p)) * sin(p),
             sqrt(x2 * x2 + y2 * y2)) AS p) FROM ({q})"""
-    return f"""SELECT l_orderkey, l_linenumber, easting, northing, round(degrees(p), 5) AS latitude,
+    return f"""SELECT l_orderkey, l_linenumber{kept}, easting, northing, round(degrees(p), 5) AS latitude,
         round(degrees(atan2(y2, x2)), 5) AS longitude FROM ({q})""".replace("6377563.396", "6377563.396e0").replace(
         "6356256.909", "6356256.909e0").replace("6378137.0", "6378137.0e0").replace("6356752.3141", "6356752.3141e0")
 
@@ -153,6 +166,7 @@ QUERIES = {
     "display_columns": display_columns,
     "loan_figures": loan_figures,
     "wgs84": wgs84,
+    "placed_energy_layer": placed_layer,
 }
 
 _FLOOD_LEGEND = sql_values([
@@ -191,4 +205,10 @@ SQL = {
                round(l_extendedprice, 2) AS amount
         FROM lineitem""",
     "wgs84": _wgs84_sql(),
+    "placed_energy_layer": f"""
+        SELECT CAST(floor(latitude) AS BIGINT) AS south, CAST(floor(longitude) AS BIGINT) AS west, colour,
+               l_returnflag AS label, count(*) AS points
+        FROM ({_wgs84_sql(", l_returnflag")}) LEFT JOIN {sql_values(EPC_COLOURS_CLASSIC.items())} c(code, colour)
+             ON l_returnflag = code
+        GROUP BY ALL""",
 }

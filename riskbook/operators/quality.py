@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskbook.operators.skew import HOT_MIN_ROWS, hot_keys, skew_join
@@ -111,14 +111,16 @@ def last_rows(df: DataFrame, order: Sequence[str], n: int = 40) -> DataFrame:
 MAX_INLINE_KEYS = 1000
 
 
-def lookup_properties(spark: SparkSession, df: DataFrame, key: str, wanted: Sequence | DataFrame) -> DataFrame:
+def lookup_properties(
+    df: DataFrame, key: str, wanted: Sequence | DataFrame, hot_min_rows: int = HOT_MIN_ROWS
+) -> DataFrame:
     """Rows whose key is wanted. ``wanted`` is a list, or a one-column DataFrame for long lists."""
     if not isinstance(wanted, DataFrame):
         if len(wanted) <= MAX_INLINE_KEYS:
             return df.where(F.col(key).isin(list(wanted)))
-        wanted = spark.createDataFrame([(k,) for k in wanted], ["_wanted"])
-    keys = wanted.toDF("_wanted").distinct()
-    return df.join(keys, df[key] == keys["_wanted"], "left_semi")
+        wanted = df.sparkSession.createDataFrame([(k,) for k in wanted], ["_wanted"])
+    hot = hot_keys(df, key, min_rows=hot_min_rows)
+    return skew_join(df, wanted.toDF("_wanted").distinct(), key, "_wanted", "left_semi", hot_left=hot)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -76,10 +76,12 @@ def test_previews_and_lookup(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(50)], "id int, g int")
     assert [r["id"] for r in quality.first_rows(df, ["id"], 3).collect()] == [0, 1, 2]
     assert [r["id"] for r in quality.last_rows(df, ["id"], 3).collect()] == [49, 48, 47]
-    assert quality.lookup_properties(spark, df, "id", [3, 4, 4, 99]).count() == 2
-    assert quality.lookup_properties(spark, df, "id", list(range(40, 2040))).count() == 10
+    assert quality.lookup_properties(df, "id", [3, 4, 4, 99]).count() == 2
+    assert quality.lookup_properties(df, "id", list(range(40, 2040))).count() == 10
     wanted = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    assert quality.lookup_properties(spark, df, "id", wanted).count() == 1
+    assert quality.lookup_properties(df, "id", wanted).count() == 1
+    for min_rows in (0, 1_000_000):
+        assert quality.lookup_properties(df, "g", wanted, hot_min_rows=min_rows).count() == 17
 
 
 def test_counts(spark):
