@@ -84,7 +84,7 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def narrowed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same figures by the passes that large tables take."""
-    return _rounded(profile(table(spark, sf_dir, "lineitem"), PROFILED, one_task_rows=0))
+    return _rounded(profile(table(spark, sf_dir, "lineitem"), PROFILED, one_task_values=0))
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from riskbook.functions.common import number
 
 QUARTILES = (("p25", 0.25), ("p50", 0.50), ("p75", 0.75))
-# Up to this many rows the exact quartiles of a column fit in one task; beyond it they are narrowed down in passes.
-ONE_TASK_ROWS = 1_000_000
+# Up to this many values the exact quartiles are taken in one task; beyond it they are narrowed down in passes.
+ONE_TASK_VALUES = 2_000_000
 BINS = 1 << 17
 NARROWING_PASSES = 3
 
 
-def profile(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str], one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
     """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out."""
     values = df.select(*[number(c).alias(c) for c in columns])
-    if df.count() <= one_task_rows:
+    if df.count() * len(columns) <= one_task_values:
         return _moments(values, columns, with_quartiles=True)
     moments = _moments(values, columns, with_quartiles=False)
     return moments.join(F.broadcast(_narrowed_quartiles(values, columns, moments)), "column", "left").select(

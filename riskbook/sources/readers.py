@@ -39,20 +39,15 @@ def land_csv(
     """Parses a CSV once into a Parquet table at ``staged`` and returns its valid and its rejected rows.
 
     All columns are parsed in the one write, so a row is judged by all of them; what follows reads columnar files,
-    prunes columns, and does not depend on cached blocks of executors that may go away.
+    prunes columns, and does not depend on cached blocks of executors that may go away. Rejects are told apart by a
+    pushed-down filter; row groups without any are skipped by their statistics.
     """
-    parsed = read_validated_csv(spark, path, schema, header)
-    rejected = F.col(CORRUPT).isNotNull()
-    parsed.withColumn("is_rejected", rejected).write.mode("overwrite").partitionBy("is_rejected").parquet(staged)
-    layout = T.StructType(with_corrupt(schema).fields + [T.StructField("is_rejected", T.BooleanType())])
-    return split_rejects(spark.read.schema(layout).parquet(staged).where(F.col("is_rejected").isNotNull()))
+    read_validated_csv(spark, path, schema, header).write.mode("overwrite").parquet(staged)
+    return split_rejects(spark.read.schema(with_corrupt(schema)).parquet(staged))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows without the helper columns, and rejected rows. ``df`` is a stored table, not a CSV reader."""
-    if "is_rejected" in df.columns:
-        valid = df.where(~F.col("is_rejected")).drop("is_rejected", CORRUPT)
-        return valid, df.where(F.col("is_rejected")).drop("is_rejected")
+    """Valid rows without the helper column, and rejected rows. ``df`` is a stored table, not a CSV reader."""
     bad = F.col(CORRUPT).isNotNull()
     return df.where(~bad).drop(CORRUPT), df.where(bad)
 

@@ -118,8 +118,8 @@ def test_quartiles_match_numpy_both_ways(spark, values):
     data = [(v,) for v in values] + [(None,), (float("nan"),)]
     df = spark.createDataFrame(data, "v double").repartition(4)
     want = np.percentile(np.array(values), [25, 50, 75])
-    for one_task_rows in (10**6, 0):
-        row = profile(df, ["v"], one_task_rows=one_task_rows).first()
+    for one_task_values in (10**6, 0):
+        row = profile(df, ["v"], one_task_values=one_task_values).first()
         assert row["count"] == len(values)
         assert (row["min"], row["max"]) == (min(values), max(values))
         assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(want), rel=1e-12)
@@ -128,8 +128,8 @@ def test_quartiles_match_numpy_both_ways(spark, values):
 def test_profile_moments_and_several_columns(spark):
     data = [(float(i % 17), str(i), None) for i in range(500)]
     df = spark.createDataFrame(data, "a double, b string, c double")
-    for one_task_rows in (10**6, 0):
-        got = {r["column"]: r for r in profile(df, ["a", "b", "c"], one_task_rows=one_task_rows).collect()}
+    for one_task_values in (10**6, 0):
+        got = {r["column"]: r for r in profile(df, ["a", "b", "c"], one_task_values=one_task_values).collect()}
         assert got["a"]["std"] == pytest.approx(statistics.stdev(x[0] for x in data))
         assert got["b"]["mean"] == pytest.approx(249.5)
         assert got["b"]["p25"] == pytest.approx(np.percentile(range(500), 25))
