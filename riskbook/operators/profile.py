@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from riskbook.functions.common import number
@@ -17,12 +19,16 @@ NARROWING_PASSES = 3
 
 
 def profile(df: DataFrame, columns: Sequence[str], one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
-    """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out."""
+    """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out.
+
+    ``df`` should be a stored table: its rows are counted right away, and a large one is read a few times.
+    """
     values = df.select(*[number(c).alias(c) for c in columns])
     if df.count() * len(columns) <= one_task_values:
         return _moments(values, columns, with_quartiles=True)
     moments = _moments(values, columns, with_quartiles=False)
-    return moments.join(F.broadcast(_narrowed_quartiles(values, columns, moments)), "column", "left").select(
+    quartiles = _narrowed_quartiles(values, {r["column"]: r["count"] for r in moments.collect()})
+    return moments.join(F.broadcast(quartiles), "column", "left").select(
         "column", "count", "mean", "std", "min", *[name for name, _ in QUARTILES], "max"
     )
 
@@ -59,66 +65,75 @@ def _even_bin(value: Column, low: Column, high: Column) -> Column:
     return F.least(F.floor(share), F.lit(BINS)).cast("long")
 
 
-def _narrowed_quartiles(values: DataFrame, columns: Sequence[str], moments: DataFrame) -> DataFrame:
+def _narrowed_quartiles(values: DataFrame, counts: dict[str, int]) -> DataFrame:
     """Exact quartiles without gathering a column in one task.
 
     Every pass counts the values in bins, keeps the bin each wanted rank falls in, and counts only that bin again,
-    more finely. A pass moves at most a few hundred thousand bin counts per column; the first pass narrows by
-    logarithm, each later one by 2**17, which is finer than a double after three of them.
+    more finely. A pass moves at most a few hundred thousand bin counts per column and returns at most six rows per
+    column to the driver. The first pass narrows by logarithm, each later one by 2**17, which is finer than a double
+    after three of them; the passes stop as soon as every bin is down to one value.
     """
-    tall = values.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
-    ).where(F.col("value").isNotNull())
-
-    wanted = moments.where(F.col("count") > 0).select(
-        "column",
-        F.inline(F.array(*[
-            F.struct(F.lit(name).alias("name"), ((F.col("count") - 1) * F.lit(p)).alias("place"))
-            for name, p in QUARTILES
-        ])),
-    )
-    ranks = wanted.select(
-        "column",
-        "name",
-        "place",
-        F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank"),
-    )
+    places = {(c, name): (n - 1) * p for c, n in counts.items() if n for name, p in QUARTILES}
+    ranks = {(c, rank) for (c, _), place in places.items() for rank in (math.floor(place), math.ceil(place))}
 
-    first = tall.groupBy("column", _log_bin(F.col("value")).alias("bin")).agg(*_bin_figures())
-    by_column = Window.partitionBy("column").orderBy("bin")
-    targets = ranks.select("column", "rank").distinct().withColumn("left", F.col("rank"))
-    found = _locate(first, targets, by_column, ["column"])
+    bins = _tall(values).groupBy("column", _log_bin(F.col("value")).alias("bin")).agg(*_bin_figures())
+    found = _locate(bins, [(c, rank, rank) for c, rank in ranks], ["column"])
     for _ in range(NARROWING_PASSES):
-        ranges = found.select("column", "low", "high").distinct()
-        inside = tall.join(F.broadcast(ranges), "column").where(F.col("value").between(F.col("low"), F.col("high")))
-        bins = inside.groupBy(
-            "column",
-            F.col("low").alias("from"),
-            F.col("high").alias("to"),
-            _even_bin(F.col("value"), F.col("low"), F.col("high")).alias("bin"),
-        ).agg(*_bin_figures())
-        by_range = Window.partitionBy("column", "from", "to").orderBy("bin")
-        targets = found.select("column", "rank", "left", F.col("low").alias("from"), F.col("high").alias("to"))
-        found = _locate(bins, targets, by_range, ["column", "from", "to"])
-
-    at_rank = found.select("column", "rank", F.col("low").alias("value"))
-    ends = ranks.join(at_rank, ["column", "rank"]).groupBy("column", "name", "place").agg(
-        F.min("value").alias("below"), F.max("value").alias("above")
+        open_ranges = {(r["column"], r["low"], r["high"]) for r in found if r["low"] < r["high"]}
+        if not open_ranges:
+            break
+        targets = [
+            (r["column"], r["rank"], r["left"], r["low"], r["high"]) for r in found if r["low"] < r["high"]
+        ]
+        done = [r for r in found if r["low"] >= r["high"]]
+        found = done + _locate(_bins_within(values, open_ranges), targets, ["column", "from", "to"])
+
+    at_rank = {(r["column"], r["rank"]): r["low"] for r in found}
+    rows = []
+    for c, n in counts.items():
+        row = [c]
+        for name, _ in QUARTILES if n else ():
+            place = places[c, name]
+            below, above = at_rank[c, math.floor(place)], at_rank[c, math.ceil(place)]
+            row.append(below if below == above else below + (above - below) * (place - math.floor(place)))
+        rows.append(tuple(row) if n else (c, *[None] * len(QUARTILES)))
+    schema = "column string, " + ", ".join(f"{name} double" for name, _ in QUARTILES)
+    return values.sparkSession.createDataFrame(rows, schema)
+
+
+def _tall(values: DataFrame) -> DataFrame:
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in values.columns]
+    return values.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+
+
+def _bins_within(values: DataFrame, ranges: set[tuple[str, float, float]]) -> DataFrame:
+    """Counts of finer bins of the values inside the ranges, which do not overlap within a column."""
+    near = [F.col(c).between(F.lit(low), F.lit(high)) for c, low, high in ranges]
+    bounds = values.sparkSession.createDataFrame(sorted(ranges), "column string, from double, to double")
+    inside = (
+        _tall(values.where(reduce(Column.__or__, near)))
+        .join(F.broadcast(bounds), "column")
+        .where(F.col("value").between(F.col("from"), F.col("to")))
     )
-    value = F.col("below") + (F.col("above") - F.col("below")) * (F.col("place") - F.floor("place"))
-    return ends.groupBy("column").pivot("name", [name for name, _ in QUARTILES]).agg(F.first(value))
+    fine = _even_bin(F.col("value"), F.col("from"), F.col("to"))
+    return inside.groupBy("column", "from", "to", fine.alias("bin")).agg(*_bin_figures())
 
 
 def _bin_figures() -> list[Column]:
     return [F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
 
 
-def _locate(bins: DataFrame, targets: DataFrame, order, keys: list[str]) -> DataFrame:
-    """The bin each target rank falls in, with the rank's place inside that bin."""
+def _locate(bins: DataFrame, targets: list[tuple], keys: list[str]) -> list[Row]:
+    """The bin each target rank falls in, with the rank's place inside that bin. A target is its column, its rank,
+    its place among the bins counted, and the further keys of these bins."""
+    order = Window.partitionBy(*keys).orderBy("bin")
     running = bins.withColumn("upto", F.sum("n").over(order)).withColumn("before", F.col("upto") - F.col("n"))
-    hit = (F.col("left") >= F.col("before")) & (F.col("left") < F.col("upto"))
+    layout = "column string, rank long, place long" + "".join(f", {k} double" for k in keys[1:])
+    wanted = bins.sparkSession.createDataFrame(targets, layout)
+    hit = (F.col("place") >= F.col("before")) & (F.col("place") < F.col("upto"))
     return (
-        running.join(F.broadcast(targets), keys)
+        running.join(F.broadcast(wanted), keys)
         .where(hit)
-        .select("column", "rank", (F.col("left") - F.col("before")).alias("left"), "low", "high")
+        .select("column", "rank", (F.col("place") - F.col("before")).alias("left"), "low", "high")
+        .collect()
     )
