@@ -13,7 +13,7 @@ from riskbook.functions.common import number
 
 QUARTILES = (("p25", 0.25), ("p50", 0.50), ("p75", 0.75))
 # Up to this many values the exact quartiles are taken in one task; beyond it they are narrowed down in passes.
-ONE_TASK_VALUES = 2_000_000
+ONE_TASK_VALUES = 250_000
 BINS = 1 << 17
 NARROWING_PASSES = 3
 
