@@ -170,7 +170,7 @@ def portfolio_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations.repartition(25).write.text(f"{root}/in/boundaries")
     portfolio_layers_job(spark, f"{root}/merged", f"{root}/in/boundaries", f"{root}/layers", DAY)
     return read_published(spark, f"{root}/layers/energy").select(
-        "id", "lat", "lon", "colour", "label", "detail.loan.initial_borrow_capital"
+        "id", "lat", "lon", "colour", "label", "detail.loan.currentloan", "detail.loan.ltv_percent"
     )
 
 
@@ -205,7 +205,8 @@ _STEPS = {
     "portfolio": "SELECT o_orderkey AS id, o_custkey AS uprn FROM orders",
     "risk_scores": "SELECT l_orderkey AS id, l_suppkey AS uprn FROM lineitem",
     "latlong": "SELECT doc_id AS id, n_chars AS uprn FROM documents",
-    "portfolio_scored": "SELECT o_orderkey AS id, o_custkey AS uprn FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey",
+    "portfolio_scored": """SELECT o_orderkey AS id, o_custkey AS uprn
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
     "portfolio_merged": "SELECT o_orderkey AS id, o_custkey AS uprn FROM merged",
 }
 
@@ -249,6 +250,7 @@ SQL = {
         SELECT o_custkey AS id, CASE WHEN doc_id IS NOT NULL THEN 51.5e0 END AS lat,
                CASE WHEN doc_id IS NOT NULL THEN -2.5e0 END AS lon,
                CASE WHEN label IS NULL THEN '#deebf6' WHEN label = 'A' THEN '#00a54f' END AS colour, label,
-               round_even(capital, 2) AS initial_borrow_capital
+               l_extendedprice AS currentloan,
+               round(CASE WHEN l_linenumber <> 7 THEN l_discount END * 100, 4) AS ltv_percent
         FROM merged""",
 }

@@ -14,3 +14,23 @@ def number(c: Column | str) -> Column:
     """The column as a double; text that is no number and NaN both become null."""
     value = as_col(c).try_cast("double")
     return F.when(~F.isnan(value), value)
+
+
+def rounded(c: Column | str, digits: int) -> Column:
+    """The double nearest to the value rounded to a number of decimals, exact ties to the even digit.
+
+    Spark's own rounding goes by the printed decimal, so that 2.675, which is stored a little below, becomes 2.68. Here
+    the stored value counts, as in Python's ``round``: the fraction is split in two halves whose products with the
+    power of ten are exact.
+    """
+    scale = 10.0**digits
+    value = number(c)
+    whole = F.floor(value).cast("double")
+    fraction = value - whole
+    high = fraction * 134217729.0 - (fraction * 134217729.0 - fraction)
+    units = F.floor(high * scale).cast("double")
+    over_half = (high * scale - units - 0.5) + (fraction - high) * scale
+    up = F.when(over_half > 0, 1.0).when(over_half < 0, 0.0).otherwise(F.pmod(units, F.lit(2.0)))
+    nearest = (whole * scale + units + up) / scale
+    # Beyond this size a double has no decimals left to round.
+    return F.when(F.abs(value) < 2.0**52 / scale, nearest).otherwise(value)

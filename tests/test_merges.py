@@ -73,6 +73,14 @@ def test_skew_join_spreads_identical_rows(spark):
     assert pieces.select("piece").distinct().count() == 4
 
 
+def test_skew_join_with_many_hot_keys(spark):
+    left = spark.range(2000).selectExpr("id % 250 AS k", "id AS x")
+    right = spark.range(300).selectExpr("id AS rk", "id * 2 AS y")
+    hot_left, hot_right = {k: 10 for k in range(200)}, {k: 7 for k in range(150, 300)}
+    joined = skew_join(left, right, "k", "rk", "left", hot_left, hot_right, rows_per_piece=3)
+    assert joined.count() == 2000 and joined.where("y <> k * 2 OR y IS NULL").count() == 0
+
+
 def test_hot_keys(spark):
     df = spark.createDataFrame([(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100, "k int, s string")
     assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50, None: 100}
