@@ -25,12 +25,14 @@ def rounded(c: Column | str, digits: int) -> Column:
     """
     scale = 10.0**digits
     value = number(c)
-    whole = F.floor(value).cast("double")
-    fraction = value - whole
-    high = fraction * 134217729.0 - (fraction * 134217729.0 - fraction)
+    # Beyond this size a double has no decimals left to round. The steps below hold no conditions, so that the
+    # generated code computes each of them once.
+    small = F.when(F.abs(value) < 2.0**52 / scale, value).otherwise(0.0)
+    whole = F.floor(small).cast("double")
+    fraction = small - whole
+    stretched = fraction * 134217729.0
+    high = stretched - (stretched - fraction)
     units = F.floor(high * scale).cast("double")
     over_half = (high * scale - units - 0.5) + (fraction - high) * scale
-    up = F.when(over_half > 0, 1.0).when(over_half < 0, 0.0).otherwise(F.pmod(units, F.lit(2.0)))
-    nearest = (whole * scale + units + up) / scale
-    # Beyond this size a double has no decimals left to round.
-    return F.when(F.abs(value) < 2.0**52 / scale, nearest).otherwise(value)
+    up = (over_half > 0).cast("double") + (over_half == 0).cast("double") * F.pmod(units, F.lit(2.0))
+    return (whole * scale + units + up) / scale + (value - small)
