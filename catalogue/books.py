@@ -57,13 +57,13 @@ PROPERTY_BOOK_SQL = f"""property_book AS (
 
 TYPES = ("ECONOMY", "STANDARD", "PROMO", "LARGE")
 
-_TEXTS = (
+TEXTS = (
     "built_form", "construction_age_band", "glazed_type", "hotwater_description", "hot_water_energy_eff",
     "hot_water_env_eff", "floor_description", "floor_energy_eff", "floor_env_eff", "windows_description",
     "windows_energy_eff", "windows_env_eff", "walls_description", "walls_energy_eff", "walls_env_eff",
     "roof_description", "roof_energy_eff", "roof_env_eff",
 )
-_NUMBERS = (
+NUMBERS = (
     "postcode_flag", "energy_consumption_current", "energy_consumption_potential", "co2_emissions_current",
     "co2_emissions_potential", "current_energy_efficiency", "potential_energy_efficiency", "rhighscore",
     "rhighscore_adj", "chighscore", "chighscore_adj", "swhighscore", "swhighscore_adj", "gwhighscore",
@@ -85,8 +85,8 @@ def portfolio_book(spark: SparkSession, sf_dir: str) -> DataFrame:
         (50 + F.col("l_extendedprice") / 1e5).alias("latitude"),
         (F.col("p_retailprice") / 1e3 - 3).alias("longitude"),
         F.expr("nullif(p_type, 'MEDIUM')").alias("property_type"),
-        *[F.concat(F.col("p_brand"), F.lit(f" {i}")).alias(c) for i, c in enumerate(_TEXTS)],
-        *[(F.col("l_linenumber") + i).alias(c) for i, c in enumerate(_NUMBERS)],
+        *[F.concat(F.col("p_brand"), F.lit(f" {i}")).alias(c) for i, c in enumerate(TEXTS)],
+        *[(F.col("l_linenumber") + i).alias(c) for i, c in enumerate(NUMBERS)],
         F.expr(f"nullif({rating}, 'D')").alias("current_energy_rating"),
         F.expr(rating).alias("potential_energy_rating"),
         F.expr(f"nullif({rating}, 'E')").alias("current_environmental_rating"),
@@ -109,11 +109,11 @@ PORTFOLIO_BOOK_SQL = """portfolio_book AS (
 
 
 def number_of(name: str) -> str:
-    return f"l_linenumber + {_NUMBERS.index(name)}"
+    return f"l_linenumber + {NUMBERS.index(name)}"
 
 
 def text_of(name: str) -> str:
-    return f"p_brand || ' {_TEXTS.index(name)}'"
+    return f"p_brand || ' {TEXTS.index(name)}'"
 
 
 def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

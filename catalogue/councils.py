@@ -104,7 +104,7 @@ SQL = {
         FROM nation b LEFT JOIN (SELECT n_name, count(*) AS count FROM {_ACTIVE} GROUP BY n_name) c USING (n_name)""",
     "county_clusters": f"""SELECT n_name, count(*) AS count, round(avg(value), 6) AS lat,
         round(avg(c_acctbal), 6) AS lon FROM {_ACTIVE} WHERE n_name IN {NAMED} GROUP BY n_name""",
-    "grid_clusters": """SELECT CAST(floor(lat / 5.625) AS BIGINT) AS cell_y, CAST(floor(lon / 5.625) AS BIGINT) AS cell_x,
-        count(*) AS count, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
+    "grid_clusters": """
+        SELECT CAST(floor(lat / 5.625) AS BIGINT) AS cell_y, CAST(floor(lon / 5.625) AS BIGINT) AS cell_x, count(*) AS count, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
         FROM (SELECT l_extendedprice / 2000 AS lat, l_quantity - 25 AS lon FROM lineitem) GROUP BY 1, 2""",
 }

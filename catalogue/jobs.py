@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogue.books import NUMBERS, TEXTS
 from catalogue.tables import table
 from riskbook.plans.layer_jobs import portfolio_layers_job, property_layers_job
 from riskbook.plans.portfolio_jobs import portfolio_conversion_job, portfolio_merge_job, typed_portfolio
@@ -93,16 +94,14 @@ def property_flood_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _portfolio_files(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
     """Orders as portfolio, line items as risk scores, documents as coordinates. The score file brings loan, rating
     and energy columns, the portfolio the rest of the columns that the layers show."""
-    from catalogue.books import _NUMBERS, _TEXTS
-
     from_scores = {"current_energy_efficiency", "energy_consumption_current"}
     portfolio = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("ID"),
         F.col("o_custkey").alias("UPRN"),
         F.col("o_totalprice").alias("EASTING"),
         F.col("o_totalprice").alias("NORTHING"),
-        *[F.col("o_orderpriority").alias(c.upper()) for c in _TEXTS],
-        *[F.col("o_custkey").alias(c.upper()) for c in _NUMBERS if c not in from_scores],
+        *[F.col("o_orderpriority").alias(c.upper()) for c in TEXTS],
+        *[F.col("o_custkey").alias(c.upper()) for c in NUMBERS if c not in from_scores],
         *[F.col("o_orderstatus").alias(c) for c in (
             "POTENTIAL_ENERGY_RATING", "CURRENT_ENVIRONMENTAL_RATING", "POTENTIAL_ENVIRONMENTAL_RATING")],
         *[F.col("o_orderkey").alias(c) for c in ("COMBINEDSCORE", "COMBINEDSCORE_ADJ")],

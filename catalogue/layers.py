@@ -13,7 +13,7 @@ from catalogue.books import (
     property_book,
     text_of,
 )
-from catalogue.scores import _RATING
+from catalogue.scores import RATING_SQL
 from catalogue.tables import sql_values
 from riskbook.functions import details
 from riskbook.functions.palettes import (
@@ -60,7 +60,8 @@ def certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer.selectExpr(
         "id", "lat", "lon", "colour", "label", "detail.description", "detail.potential_energy_rating",
         "detail.energy_consumption_potential AS consumption", "detail.fabric[4].part AS part",
-        "detail.fabric[4].description AS part_description", "detail.fabric[4].environment_efficiency AS part_efficiency",
+        "detail.fabric[4].description AS part_description",
+        "detail.fabric[4].environment_efficiency AS part_efficiency",
         "detail.loan.currentloan", "detail.loan.ltv_percent",
     )
 
@@ -145,7 +146,7 @@ SQL = {
                {text_of("roof_env_eff")} AS part_efficiency, l_extendedprice AS currentloan,
                round(l_discount * 100, 4) AS ltv_percent
         FROM portfolio_book LEFT JOIN {_pairs(EPC_COLOURS)} p(code, colour) ON letter = code""",
-    "flood_layer": f"""WITH {PORTFOLIO_BOOK_SQL}, rated AS (SELECT *, {_RATING} AS label FROM portfolio_book)
+    "flood_layer": f"""WITH {PORTFOLIO_BOOK_SQL}, rated AS (SELECT *, {RATING_SQL} AS label FROM portfolio_book)
         SELECT {_POINT}, colour, label, 'coastal' AS hazard, CAST({number_of("chighscore")} AS DOUBLE) AS defended,
                CAST({number_of("chighscore_adj")} AS DOUBLE) AS undefended, {number_of("npd_soft")} AS npd_soft
         FROM rated LEFT JOIN {_pairs(FLOOD_SCORE_COLOURS)} p(code, colour) ON label = code""",

@@ -17,7 +17,9 @@ from riskbook.operators.merges import (
 
 
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS ecad_id", "o_custkey AS building_id", "o_orderpriority")
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS ecad_id", "o_custkey AS building_id", "o_orderpriority"
+    )
 
 
 def flood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,8 @@ def heat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey", "l_linenumber", "concat(l_returnflag, l_linenumber) AS rating", "nullif(l_returnflag, 'N') AS class"
+        "l_orderkey", "l_linenumber", "concat(l_returnflag, l_linenumber) AS rating",
+        "nullif(l_returnflag, 'N') AS class",
     )
 
 
@@ -90,7 +91,8 @@ def loan_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey", "l_linenumber", "200000 + l_extendedprice * 4 AS easting", "50000 + l_quantity * 18000 AS northing"
+        "l_orderkey", "l_linenumber", "200000 + l_extendedprice * 4 AS easting",
+        "50000 + l_quantity * 18000 AS northing",
     )
     placed = with_wgs84(points, "easting", "northing")
     return placed.withColumns({c: F.round(c, 5) for c in ("latitude", "longitude")})
@@ -114,7 +116,7 @@ _SCORED = """scored AS (
         SELECT *, nullif(l_quantity, 25) * 2.5 - 10 AS a, nullif(p_size, 7) * 2 - 10 AS b
         FROM lineitem JOIN part ON l_partkey = p_partkey))"""
 
-_RATING = """CASE WHEN v IS NULL OR v < 0 OR v > 100 OR v <> floor(v) THEN 'purple' WHEN v = 0 THEN 'no-colour'
+RATING_SQL = """CASE WHEN v IS NULL OR v < 0 OR v > 100 OR v <> floor(v) THEN 'purple' WHEN v = 0 THEN 'no-colour'
     WHEN v <= 10 THEN 'green' WHEN v <= 29 THEN 'amber' WHEN v <= 45 THEN 'red' WHEN v <= 60 THEN 'black-1'
     ELSE 'black-2' END"""
 
@@ -175,13 +177,14 @@ _FLOOD_LEGEND = sql_values([
 ])
 
 SQL = {
-    "flood_rating": f"WITH {_SCORED} SELECT l_orderkey, l_linenumber, a, b, {_RATING} AS rating FROM scored",
+    "flood_rating": f"WITH {_SCORED} SELECT l_orderkey, l_linenumber, a, b, {RATING_SQL} AS rating FROM scored",
     "heat_layer": f"""WITH {_SCORED} SELECT l_extendedprice AS lat, p_retailprice AS lon,
         round(CAST(v AS DOUBLE) / 100 * 1.4 + 0.001, 4) AS weight FROM scored""",
     "colour_lookup": f"""
         SELECT l_orderkey, l_linenumber, l_returnflag || l_linenumber AS rating, nullif(l_returnflag, 'N') AS class,
                r.colour AS rating_colour, c.colour AS class_colour
-        FROM lineitem LEFT JOIN {sql_values(BER_COLOURS.items())} r(code, colour) ON l_returnflag || l_linenumber = r.code
+        FROM lineitem
+             LEFT JOIN {sql_values(BER_COLOURS.items())} r(code, colour) ON l_returnflag || l_linenumber = r.code
              LEFT JOIN {sql_values(EPC_COLOURS_CLASSIC.items())} c(code, colour)
                ON coalesce(nullif(l_returnflag, 'N'), 'Blank') = c.code""",
     "unknown_codes": f"""
@@ -189,7 +192,7 @@ SQL = {
         WHERE l_returnflag || l_linenumber NOT IN (SELECT code FROM {sql_values(BER_COLOURS.items())} r(code, colour))
         GROUP BY 1""",
     "legend": f"""WITH {_SCORED}, points AS (
-            SELECT {_RATING} AS rating, count(*) AS points FROM scored GROUP BY 1)
+            SELECT {RATING_SQL} AS rating, count(*) AS points FROM scored GROUP BY 1)
         SELECT CAST(l.n AS INTEGER) AS position, l.code, l.label, l.colour, p.points
         FROM {_FLOOD_LEGEND} l(n, code, label, colour) LEFT JOIN points p ON l.code = p.rating""",
     "display_columns": """

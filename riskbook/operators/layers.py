@@ -35,7 +35,10 @@ def energy_layer(
 ) -> DataFrame:
     """Points coloured by energy rating."""
     return df.select(
-        *_point(id_, lat, lon), colour_of(rating, palette).alias("colour"), F.col(rating).alias("label"), *_detail(detail)
+        *_point(id_, lat, lon),
+        colour_of(rating, palette).alias("colour"),
+        F.col(rating).alias("label"),
+        *_detail(detail),
     )
 
 

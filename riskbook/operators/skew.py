@@ -78,6 +78,8 @@ def _spread(df: DataFrame, key: str, own: Mapping, other: Mapping, rows_per_piec
     own_pieces = _pieces(F.col(key), own, rows_per_piece)
     other_pieces = _pieces(F.col(key), other, rows_per_piece)
     one = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), own_pieces).cast("int")
+    if not other:
+        return df.withColumn(salt, F.when(own_pieces.isNotNull(), one).otherwise(0))
     picked = (
         F.when(own_pieces.isNotNull(), F.array(one))
         .when(other_pieces.isNotNull(), F.sequence(F.lit(0), other_pieces - 1))
