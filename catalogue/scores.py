@@ -155,7 +155,7 @@ def _wgs84_sql(kept: str = "") -> str:
         q = f"""SELECT * REPLACE (atan2(z2 + {w2} * 6378137.0 / sqrt(1 - {w2} * sin(p) * sin(p)) * sin(p),
             sqrt(x2 * x2 + y2 * y2)) AS p) FROM ({q})"""
     return f"""SELECT l_orderkey, l_linenumber{kept}, easting, northing, round(degrees(p), 5) AS latitude,
-        round(degrees(atan2(y2, x2)), 5) AS longitude FROM ({q})""".replace("6377563.396", "6377563.396e0").replace(
+        round(degrees(atan2(y2, x2)), 5) + 0 AS longitude FROM ({q})""".replace("6377563.396", "6377563.396e0").replace(
         "6356256.909", "6356256.909e0").replace("6378137.0", "6378137.0e0").replace("6356752.3141", "6356752.3141e0")
 
 

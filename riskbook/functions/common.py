@@ -25,9 +25,10 @@ def rounded(c: Column | str, digits: int) -> Column:
     """
     scale = 10.0**digits
     value = number(c)
+    size = F.abs(value)
     # Beyond this size a double has no decimals left to round. The steps below hold no conditions, so that the
     # generated code computes each of them once.
-    small = F.when(F.abs(value) < 2.0**52 / scale, value).otherwise(0.0)
+    small = F.when(size < 2.0**52 / scale, size).otherwise(0.0)
     whole = F.floor(small).cast("double")
     fraction = small - whole
     stretched = fraction * 134217729.0
@@ -35,4 +36,4 @@ def rounded(c: Column | str, digits: int) -> Column:
     units = F.floor(high * scale).cast("double")
     over_half = (high * scale - units - 0.5) + (fraction - high) * scale
     up = (over_half > 0).cast("double") + (over_half == 0).cast("double") * F.pmod(units, F.lit(2.0))
-    return (whole * scale + units + up) / scale + (value - small)
+    return ((whole * scale + units + up) / scale + (size - small)) * F.signum(value)

@@ -21,8 +21,8 @@ def connect(sf_dir: str):
 
 def _sorted_rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    plain = [tuple(0.0 if row[i] == 0 else row[i] for i in order) for row in rows]
-    return sorted(plain, key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0) for v in row))
+    ordered = [tuple(row[i] for i in order) for row in rows]
+    return sorted(ordered, key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0, repr(v)) for v in row))
 
 
 def spark_rows(df):
@@ -44,6 +44,6 @@ def difference(df, con, sql) -> str | None:
     if len(got) != len(want):
         return f"{len(got)} rows instead of {len(want)}"
     for a, b in zip(got, want):
-        if a != b or [type(x) for x in a] != [type(x) for x in b]:
+        if repr(a) != repr(b):
             return f"row {a} instead of {b}"
     return None

@@ -128,13 +128,14 @@ def test_display(spark):
 @pytest.mark.parametrize("digits", [2, 4])
 def test_rounding_is_that_of_the_stored_value(spark, digits):
     rng = random.Random(digits)
-    values = [2.675, 1.005, 0.125, 0.375, -2.5, -0.125, 1234.565, 0.0, 1e300, -1e17, 4503599627370497.5, 8.5e13]
+    values = [-0.0, -0.001, -2.675, 2.675, 1.005, 0.125, 0.375, -2.5, -0.125, 1234.565, 0.0, 1e300, -1e17, 4503599627370497.5, 8.5e13]
     values += [rng.randrange(-10**9, 10**9) / 10 ** (digits + 1) for _ in range(3000)]
     values += [(rng.randrange(10**6) + 0.5) / 10**digits for _ in range(3000)]
     values += [rng.randrange(10**8) / 2 ** rng.randrange(1, 12) for _ in range(3000)]
     values += [rng.uniform(-1e6, 1e6) for _ in range(3000)] + [rng.uniform(0, 1) ** 9 for _ in range(1000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert [r[0] for r in df.select(rounded("v", digits)).collect()] == [round(v, digits) for v in values]
+    got = [r[0] for r in df.select(rounded("v", digits)).collect()]
+    assert list(map(repr, got)) == [repr(round(v, digits)) for v in values]
     assert column(spark.createDataFrame([(None,), (float("nan"),)], "v double"), rounded("v", digits)) == [None, None]
 
 
