@@ -131,7 +131,7 @@ def merge_portfolio(
     scored = join_keep_left(
         portfolio, risk_scores, key, key, how, drop_right=(second_key,), hot_left=crowded, hot_right=hot_scores
     )
-    return join_keep_left(
+    merged = join_keep_left(
         scored,
         latlong,
         key,
@@ -141,3 +141,8 @@ def merge_portfolio(
         hot_left={k: crowded.get(k, 1) * hot_scores.get(k, 1) for k in {**crowded, **hot_scores}},
         hot_right=hot_latlong,
     )
+    if how == "inner":
+        # The inner variant publishes the coordinates before the scores.
+        names = [*portfolio.columns, *merged.columns[len(scored.columns):], *scored.columns[len(portfolio.columns):]]
+        merged = merged.select(*[F.col(f"`{name}`") for name in names])
+    return merged

@@ -149,7 +149,8 @@ def test_merge_portfolio(spark, min_rows):
         ("3", "300", "e3", 7, None), ("3", "300", "e4", 7, None),
     ])
     inner = merges.merge_portfolio(*tables, how="inner", hot_min_rows=min_rows)
-    assert rows(inner) == Counter([("1", "100", "e1", 5, 51.0), ("1", "100", "e1", 6, 51.0)])
+    assert inner.columns == ["id", "uprn", "easting", "latitude", "score"]
+    assert rows(inner) == Counter([("1", "100", "e1", 51.0, 5), ("1", "100", "e1", 51.0, 6)])
 
 
 def test_join_rejects_columns_on_both_sides(spark):

@@ -56,3 +56,30 @@ def test_layers_do_not_shuffle(spark):
 
     stored = portfolio_book(spark, SF_DIR)
     assert plan(heat_layer(stored, "latitude", "longitude")).count("Exchange") == plan(stored).count("Exchange")
+
+
+@pytest.mark.parametrize("name,shuffles", [
+    # One shuffle per input: the second join on the same key reuses the partitioning of the first.
+    ("portfolio_left_merge", 3),
+    ("portfolio_inner_merge", 3),
+    ("enrich_loan_book", 2),
+    # One more for the change from unit to building, and one for the flood table.
+    ("merge_property_risk", 4),
+    ("merge_with_loans", 5),
+    # Counts are combined before their shuffle, which the join back reuses.
+    ("duplicate_members", 2),
+    ("rows_with_min_group", 2),
+    ("unmatched_loans", 2),
+    ("exposure_by_label", 4),
+    ("category_counts", 1),
+    ("all_category_counts", 3),
+])
+def test_number_of_shuffles(spark, name, shuffles):
+    """Shuffles when no side is small enough to be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(driver.queries()[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning") == shuffles, text

@@ -134,3 +134,29 @@ def test_property_jobs(spark, tmp_path):
         spark, properties, energy, flood, f"{root}/merged4", f"{root}/rejected", f"{root}/staged", DAY, loans_csv=loans
     )
     assert with_loans == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from riskbook.__main__ import main
+
+    def portfolio_file(name, lines):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    files = {
+        "portfolio": portfolio_file("p.csv", ["ID,UPRN,EASTING", "1,100,5", "2,100,6", ",300,7"]),
+        "risk-scores": portfolio_file("s.csv", ["ID,UPRN,SCORE", "1,100,9"]),
+        "latlong": portfolio_file("l.csv", ["ID,UPRN,EASTING,NORTHING,LATITUDE,LONGITUDE", "1,100,0,0,51.5,-2.5", "2,100,0,0,52,-2"]),
+    }
+    arguments = ["--merged", f"{tmp_path}/m", "--staged", f"{tmp_path}/s", "--run-date", DAY]
+    for name, path in files.items():
+        arguments += [f"--{name}-csv", path]
+    main(["convert-portfolio", "--reports", f"{tmp_path}/r", *arguments])
+    assert "2 rows written" in capsys.readouterr().out
+    merged = publish.read_published(spark, f"{tmp_path}/m/csv", DAY, "csv")
+    assert merged.columns == ["id", "uprn", "easting", "score", "latitude", "longitude", "dt"]
+    assert rows(merged.select("id", "score", "latitude")) == Counter([("1", "9", "51.5"), ("2", None, "52")])
+    ids = publish.read_published(spark, f"{tmp_path}/r/duplicate_uprn_ids", DAY, "csv").drop("dt")
+    assert rows(ids) == Counter([("100", "2", "1"), ("100", "2", "2")])
+    with pytest.raises(SystemExit):
+        main(["convert-portfolio", "--run-date", DAY])
