@@ -101,7 +101,8 @@ def raw_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish.publish(rows, base, "20230427", "csv")
     raw = readers.read_raw_csv(spark, f"{base}/dt=20230427")
     types = {"doc_id": "bigint", "quality": "int", "n_chars": "bigint"}
-    return readers.typed_columns(readers.blank_to_null(raw), types)
+    spellings = readers.MISSING_SPELLINGS + readers.NO_DATA_SPELLINGS
+    return readers.typed_columns(readers.blank_to_null(raw, spellings=spellings, trim=True), types)
 
 
 _BAD = """(l_quantity = 13 OR (l_linenumber = 1 AND l_quantity > 45) OR (l_linenumber = 7 AND l_returnflag = 'R'))"""

@@ -76,7 +76,7 @@ def portfolio_conversion_job(
 
 
 def typed_portfolio(df: DataFrame) -> DataFrame:
-    """A merged portfolio with lower-case names, missing spellings as null, numbers as numbers, and the capital
-    implied by loan and loan-to-value."""
+    """A merged portfolio with lower-case names, missing values as null, numbers as numbers, and the capital implied
+    by loan and loan-to-value."""
     typed = typed_columns(blank_to_null(lower_columns(df)), PORTFOLIO_TYPES)
     return typed.withColumn("initial_borrow_capital", initial_capital("currentloan", "currentltv"))

@@ -11,8 +11,13 @@ from pyspark.sql import types as T
 
 from riskbook.sources.schemas import CORRUPT, with_corrupt
 
-# Spellings of a missing value in the portfolio files, trimmed.
-MISSING_SPELLINGS = ("", "NODATA!", "NO DATA!", "N/A")
+# Texts that stand for a missing value when the portfolio files are read for the maps and counts.
+MISSING_SPELLINGS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# Further such texts in the files. They count as categories of their own unless asked for.
+NO_DATA_SPELLINGS = ("NODATA!", "NO DATA!")
 
 
 def _csv(spark: SparkSession, header: bool):
@@ -68,21 +73,24 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def blank_to_null(
-    df: DataFrame, columns: Sequence[str] | None = None, spellings: Sequence[str] = MISSING_SPELLINGS
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    spellings: Sequence[str] = MISSING_SPELLINGS,
+    trim: bool = False,
 ) -> DataFrame:
-    """Text columns with the spellings of a missing value turned into null and outer blanks removed."""
+    """Text columns (all by default) with the spellings of a missing value turned into null; with ``trim`` outer
+    blanks are removed first."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     chosen = texts if columns is None else [c for c in columns if c in texts]
-    trimmed = {c: F.trim(F.col(f"`{c}`")) for c in chosen}
-    return df.withColumns({c: F.when(~t.isin(*spellings), t) for c, t in trimmed.items()})
+    values = {c: F.trim(F.col(f"`{c}`")) if trim else F.col(f"`{c}`") for c in chosen}
+    return df.withColumns({c: F.when(~v.isin(*spellings), v) for c, v in values.items()})
 
 
 def typed_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Text columns cast to the given types where they exist; a value that does not fit becomes null."""
     present = {c.lower(): c for c in df.columns}
-    return df.withColumns({
-        present[name]: F.col(f"`{present[name]}`").try_cast(kind) for name, kind in types.items() if name in present
-    })
+    wanted = {present[name.lower()]: kind for name, kind in types.items() if name.lower() in present}
+    return df.withColumns({c: F.col(f"`{c}`").try_cast(kind) for c, kind in wanted.items()})
 
 
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:

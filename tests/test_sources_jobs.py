@@ -78,8 +78,12 @@ def test_text_columns(spark):
     df = spark.createDataFrame(
         [("1", " N/A ", "10"), ("2", "NODATA!", "x"), ("3", "Good ", ""), ("4", "", "1e2")], "id string, t string, n string"
     )
-    clean = readers.typed_columns(readers.blank_to_null(df), {"ID": "int", "n": "double", "absent": "int"})
-    assert rows(clean) == Counter([("1", None, 10.0), ("2", None, None), ("3", "Good", None), ("4", None, 100.0)])
+    plain = readers.blank_to_null(df, ["t"])
+    assert rows(plain.select("t")) == Counter([(" N/A ",), ("NODATA!",), ("Good ",), (None,)])
+    spellings = readers.MISSING_SPELLINGS + readers.NO_DATA_SPELLINGS
+    trimmed = readers.blank_to_null(df, spellings=spellings, trim=True)
+    clean = readers.typed_columns(trimmed, {"ID": "int", "n": "double", "absent": "int"})
+    assert rows(clean) == Counter([(1, None, 10.0), (2, None, None), (3, "Good", None), (4, None, 100.0)])
     typed = readers.typed_columns(df, {"id": "int"})
     assert typed.schema["id"].dataType.simpleString() == "int"
 
