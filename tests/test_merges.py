@@ -82,7 +82,8 @@ def test_skew_join_with_many_hot_keys(spark):
 
 
 def test_hot_keys(spark):
-    df = spark.createDataFrame([(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100, "k int, s string")
+    data = [(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100
+    df = spark.createDataFrame(data, "k int, s string")
     assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50, None: 100}
     assert hot_keys(df, "k") == {}
     found = hot_keys_of(df, ["k", "s"], share=0.2, min_rows=0)
@@ -93,7 +94,10 @@ def test_hot_keys(spark):
 
 def frames(spark):
     properties = spark.createDataFrame(
-        [(1, 10, "one"), (2, 10, "two"), (3, 20, "three"), (4, 99, "no flood"), (5, 10, "no rating"), (6, None, "nowhere")],
+        [
+            (1, 10, "one"), (2, 10, "two"), (3, 20, "three"), (4, 99, "no flood"), (5, 10, "no rating"),
+            (6, None, "nowhere"),
+        ],
         "ecad_id int, building_id int, address_line_1 string",
     )
     energy = spark.createDataFrame(

@@ -18,7 +18,10 @@ def plan(df):
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_unscalable_operator(spark, name):
     text = plan(driver.queries()[name](spark, SF_DIR))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInArrow", "MapInPandas", "InMemoryTableScan"):
+    unwanted = (
+        "CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInArrow", "MapInPandas", "InMemoryTableScan",
+    )
+    for operator in unwanted:
         assert operator not in text, operator
     if not name.startswith("profile"):
         assert "Window" not in text
