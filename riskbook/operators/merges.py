@@ -111,6 +111,27 @@ def unmatched_loans(
     return skew_join(loans, known, loan_key, "_known", "left_anti", hot_left=hot)
 
 
+def merge_scores(
+    portfolio: DataFrame,
+    risk_scores: DataFrame,
+    how: str = "left",
+    key: str = "id",
+    second_key: str = "uprn",
+    hot_min_rows: int = HOT_MIN_ROWS,
+) -> DataFrame:
+    """Portfolio with risk scores by id; the first of the two joins of :func:`merge_portfolio`."""
+    return join_keep_left(
+        portfolio,
+        risk_scores,
+        key,
+        key,
+        how,
+        drop_right=(second_key,),
+        hot_left=hot_keys(portfolio, key, min_rows=hot_min_rows),
+        hot_right=hot_keys(risk_scores, key, min_rows=hot_min_rows),
+    )
+
+
 def merge_portfolio(
     portfolio: DataFrame,
     risk_scores: DataFrame,
@@ -125,21 +146,18 @@ def merge_portfolio(
 
     An id that occurs several times on the right multiplies its rows. Ids must be present (see :func:`with_key`).
     """
-    hot_scores = hot_keys(risk_scores, key, min_rows=hot_min_rows)
-    hot_latlong = hot_keys(latlong, key, min_rows=hot_min_rows)
-    crowded = hot_keys(portfolio, key, min_rows=hot_min_rows)
+    portfolio_rows, score_rows, latlong_rows = (
+        hot_keys(df, key, min_rows=hot_min_rows) for df in (portfolio, risk_scores, latlong)
+    )
     scored = join_keep_left(
-        portfolio, risk_scores, key, key, how, drop_right=(second_key,), hot_left=crowded, hot_right=hot_scores
+        portfolio, risk_scores, key, key, how,
+        drop_right=(second_key,), hot_left=portfolio_rows, hot_right=score_rows,
     )
+    # The rows of a key after the first join: those of the portfolio times those of the scores.
+    scored_rows = {k: portfolio_rows.get(k, 1) * score_rows.get(k, 1) for k in {**portfolio_rows, **score_rows}}
     merged = join_keep_left(
-        scored,
-        latlong,
-        key,
-        key,
-        how,
-        drop_right=(second_key, *grid),
-        hot_left={k: crowded.get(k, 1) * hot_scores.get(k, 1) for k in {**crowded, **hot_scores}},
-        hot_right=hot_latlong,
+        scored, latlong, key, key, how,
+        drop_right=(second_key, *grid), hot_left=scored_rows, hot_right=latlong_rows,
     )
     if how == "inner":
         # The inner variant publishes the coordinates before the scores.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskbook.functions.energy import initial_capital
-from riskbook.operators.merges import join_keep_left, lower_columns, merge_portfolio, with_key
+from riskbook.operators.merges import lower_columns, merge_portfolio, merge_scores, with_key
 from riskbook.operators.quality import counted, duplicate_keys, duplicate_members, duplicate_report
 from riskbook.sources.publish import publish, read_published
 from riskbook.sources.readers import blank_to_null, read_raw_csv, typed_columns
@@ -64,7 +64,7 @@ def portfolio_conversion_job(
 
     table = read_published(spark, f"{merged}/parquet", run_date).drop("dt")
     keys = {source: stage(source).select("id", "uprn") for source in ("portfolio", "risk_scores", "latlong")}
-    scored = join_keep_left(keys["portfolio"], keys["risk_scores"], "id", "id", "left", drop_right=("uprn",))
+    scored = merge_scores(keys["portfolio"], keys["risk_scores"])
     steps = {**keys, "portfolio_scored": scored, "portfolio_merged": table.select("id", "uprn")}
     for step, df in steps.items():
         publish(duplicate_report(df), f"{reports}/duplicates/step={step}", run_date, fmt="csv")
