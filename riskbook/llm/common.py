@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from riskbook.sources.publish import scratch_path
 
 # What the operators call a word, as a regular expression that Java, RE2 and Python read alike.
 WORD = r"[^\x20\x09-\x0D]+"
+# Bytes of text that Python code takes at a time; a longer text is taken alone.
+PORTION = 4 << 20
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -27,15 +31,15 @@ def shared_file(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str):
-    """``mapInArrow`` whose function is made once per task, from what ``make`` closes over."""
-
-    def run(batches):
-        each = make()
-        for batch in batches:
-            yield from each(batch)
-
-    return df.mapInArrow(run, schema)
+def portions(texts: pa.Array, most: int = PORTION) -> Iterator[tuple[int, int]]:
+    """Start and length of stretches of a text column that hold about ``most`` bytes, at least one text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most)))
+        yield start, end - start
+        start = end
 
 
 def utf8_size(text: Column) -> Column:

@@ -6,25 +6,69 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import byte_bpe, token_counts, token_files
+from riskbook.llm import byte_bpe, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, token_files
 from riskbook.sources.publish import scratch_path
 
 JSON_50K = "byte_bpe_50k.json"
 RANKS_50K = "byte_bpe_multi_50k.tiktoken"
 TOKEN_LIMIT = 512
 END_ID = 2
+SHARDS = 8
+SHINGLE, DISTANCE = 4, 4
+POLICY = "v1"
+# A stand-in; a real key comes from a secret store.
+KEY = "not a secret"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "shards")
+    sharding.shuffled_into_shards(docs, path, SHARDS)
+    written = sharding.read_shards(spark, path, docs.schema.simpleString())
+    return written.select(
+        "row.doc_id",
+        "size",
+        F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"), SHINGLE, DISTANCE)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = token_counts.token_counts(docs, public_tokenizers.path(JSON_50K))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return book.select(
+        "doc_id",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        (~quality_rules.passes(F.col("failures"), "base")).alias("base_failed"),
+        quality_rules.passes(F.col("failures"), POLICY).alias("kept"),
+        "failures",
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(
@@ -45,5 +89,67 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op9_token_files, op10_byte_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_mixture,
+        op3_sharding,
+        op5_simhash,
+        op6_token_counts,
+        op7_pseudonyms,
+        op8_quality_rules,
+        op9_token_files,
+        op10_byte_bpe,
+    )
+}
+
+SQL = {
+    "op2_mixture": r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS (SELECT doc_id, source, CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+             -ln((CAST('0x' || md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || t)[1:13] AS BIGINT) + 0.5::DOUBLE)
+                 / 4503599627370496.0::DOUBLE)
+             / (0.25::DOUBLE + 0.75::DOUBLE * length(regexp_replace(t, '[^\p{L}]', '', 'g')) / greatest(length(t), 1)) AS key
+      FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM m GROUP BY source),
+w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+l AS (SELECT *, 2 * source_size AS most, (sum(source_size) OVER () * 1.5::DOUBLE
+                 - coalesce(sum(2 * source_size) OVER e, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER e, 0)) AS level
+      FROM w WINDOW e AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN most > level * weight
+             THEN (max(level) FILTER (WHERE most > level * weight) OVER ()) * weight ELSE CAST(most AS DOUBLE) END AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(floor(target + 0.5) / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+r AS (SELECT m.*, p.source_size, p.target, p.epochs, CAST(floor(p.target + 0.5) AS BIGINT) - p.epochs * p.source_size AS part,
+             sum(size) OVER (PARTITION BY m.source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+             sum(size) OVER (PARTITION BY m.source, key) AS words, count(*) OVER (PARTITION BY m.source, key) AS n
+      FROM m JOIN p ON m.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + CASE WHEN upto <= part AND NOT (upto = part AND words > 0) THEN size
+                                 WHEN part > upto - words AND part <= upto THEN floor((part - upto + words) / n)
+                                 ELSE 0 END AS BIGINT) AS taken
+FROM r
+""",
+    "op8_quality_rules": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM m)),
+hit AS (SELECT r, unnest(range(i, i + 8)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM hit GROUP BY r),
+s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             CAST(len(regexp_extract_all(t, '\p{Lu}')) AS BIGINT) AS n_capitals
+      FROM m LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words
+            OR word_chars > 15 * n_words OR 2 * n_capitals > word_chars) AS kept,
+       CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+            + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+            + 32 * (word_chars > 15 * n_words)::INT + 64 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures
+FROM f
+""",
+}
