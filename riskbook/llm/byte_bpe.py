@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.llm.common import shared_file
+from riskbook.llm.common import portions, shared_file
 
 # Texts up to this many characters go to the library whole; the look-ahead of the pattern fails on white space beyond
 # some hundred thousand characters.
@@ -81,13 +81,6 @@ def encode_text(text: str | None, encoding: tiktoken.Encoding, piece: tiktoken.E
     return ids
 
 
-def _list_of(rows: list[list[int]]) -> pa.Array:
-    ends = np.zeros(len(rows) + 1, dtype=np.int32)
-    np.cumsum([len(r) for r in rows], out=ends[1:])
-    flat = np.fromiter((i for r in rows for i in r), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(ends, flat)
-
-
 def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``df``: the id, ``n_tokens`` and the token ids as ``ids``."""
     ranks = shared_file(df.sparkSession, rank_path)
@@ -95,9 +88,14 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", id_c
     def run(batches):
         encoding, piece = load(ranks.value, pattern)
         for batch in batches:
-            rows = [encode_text(t, encoding, piece) for t in batch.column(1).to_pylist()]
-            sizes = pa.array([len(r) for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _list_of(rows)], names=[id_col, "n_tokens", "ids"])
+            for start, length in portions(batch.column(1)):
+                texts = batch.column(1).slice(start, length)
+                rows = [np.array(encode_text(t.as_py(), encoding, piece), dtype=np.int32) for t in texts]
+                sizes = np.array([len(r) for r in rows])
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(ends, np.concatenate(rows))
+                arrays = [batch.column(0).slice(start, length), pa.array(sizes), ids]
+                yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "n_tokens", "ids"])
 
     id_type = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, text).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids array<int>")
@@ -110,7 +108,8 @@ def decoded(df: DataFrame, ids: str, rank_path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
         encoding, _ = load(ranks.value, pattern)
-        return pa.array([None if r is None else encoding.decode_bytes(r) for r in column.to_pylist()], pa.binary())
+        rows = (None if row.values is None else encoding.decode_bytes(row.values.to_pylist()) for row in column)
+        return pa.array(rows, pa.binary())
 
     return decode(F.col(ids))
 
@@ -120,10 +119,7 @@ def packed(ids: str) -> Column:
 
     @F.arrow_udf("binary")
     def pack(column: pa.Array) -> pa.Array:
-        data = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        sizes = np.array([0 if n is None else n for n in column.value_lengths().to_pylist()], dtype=np.int64)
-        ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
-        valid = column.is_valid().to_pylist()
-        return pa.array([data[a:b] if v else None for a, b, v in zip(ends[:-1], ends[1:], valid)], pa.binary())
+        rows = (None if row.values is None else row.values.to_numpy().astype("<u4").tobytes() for row in column)
+        return pa.array(rows, pa.binary())
 
     return pack(F.col(ids))
