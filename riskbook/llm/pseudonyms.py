@@ -312,8 +312,9 @@ def pseudonym(value: Column, key: str) -> Column:
     )
 
 
-def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``df`` with the values in ``text`` replaced, its columns in their order, and ``n_replaced`` behind them.
+def pseudonymised(df: DataFrame, key: str, text: str = "text", count: str | None = "n_replaced") -> DataFrame:
+    """``df`` with the values in ``text`` replaced, its columns in their order, and behind them, unless ``count`` is
+    None, how many values were replaced.
 
     The key is a literal of the plan; keep plans and event logs as safe as the key.
     """
@@ -324,7 +325,9 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)).alias("found"),
     )
     hit = F.size("found") > 0
-    rows = rows.select("row", "text", "found", F.when(hit, F.transform("found", lambda x: pseudonym(x, key))).alias("new"))
+    rows = rows.select(
+        "row", "text", "found", F.when(hit, F.transform("found", lambda x: pseudonym(x, key))).alias("new")
+    )
     between = F.split("text", ANY, -1)
     pairs = F.arrays_zip(between.alias("before"), F.concat("new", F.array(F.lit(""))).alias("value"))
     joined = F.array_join(F.transform(pairs, lambda x: F.concat(x.before, x.value)), "")
@@ -335,4 +338,4 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.when(hit, F.size(changed)).otherwise(0).cast("long").alias("n"),
     )
     kept = [F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names]
-    return result.select(*kept, F.col("n").alias("n_replaced"))
+    return result.select(*kept, *([F.col("n").alias(count)] if count else []))

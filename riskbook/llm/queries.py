@@ -6,14 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import byte_bpe, mixing, pseudonyms, quality_rules, sharding, simhash, token_counts, token_files
+from riskbook.llm import (
+    byte_bpe,
+    mixing,
+    neighbours,
+    pseudonyms,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from riskbook.sources.publish import scratch_path
 
 JSON_50K = "byte_bpe_50k.json"
 RANKS_50K = "byte_bpe_multi_50k.tiktoken"
 TOKEN_LIMIT = 512
 END_ID = 2
+EVERY_NTH_QUERY, NEAREST = 50, 5
 SHARDS = 8
+TOXIC_FROM = 0.3
 SHINGLE, DISTANCE = 4, 4
 POLICY = "v1"
 # A stand-in; a real key comes from a secret store.
@@ -24,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY_NTH_QUERY == 0, NEAREST)
+
+
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -44,6 +61,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    # Rows whose id is null have no remainder and are not held out; they have no label either.
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    model = toxicity.fit(docs, labels, ~held_out)
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"), SHINGLE, DISTANCE)
 
@@ -92,8 +119,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_neighbours,
         op2_mixture,
         op3_sharding,
+        op4_toxicity,
         op5_simhash,
         op6_token_counts,
         op7_pseudonyms,
