@@ -51,7 +51,7 @@ def crowded_building(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = events.selectExpr("event_id AS ecad_id", "event_type AS building_id", "value AS area")
     ratings = events.selectExpr("event_id AS ecad_id", "user_id AS ber_rating")
     buildings = events.groupBy(F.col("event_type").alias("ecad_id")).agg(F.max("value").alias("flood_value"))
-    return merge_property_risk(units, ratings, buildings, hot_min_rows=0)
+    return merge_property_risk(units, ratings, buildings, salted=True)
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crowded_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups that each hold a fifth of all events: the join back to the rows is salted."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return quality.rows_with_min_group(events, "event_type", 2, hot_min_rows=0)
+    return quality.rows_with_min_group(events, "event_type", 2, salted=True)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +83,8 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def narrowed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same figures by the passes that large tables take."""
-    return _rounded(profile(table(spark, sf_dir, "lineitem"), PROFILED, one_task_values=0))
+    """The same figures; the name is kept from the time when large tables took another way."""
+    return _rounded(profile(table(spark, sf_dir, "lineitem"), PROFILED))
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

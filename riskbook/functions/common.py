@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def number(c: Column | str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def rounded(c: Column | str, digits: int) -> Column:
     """The double nearest to the value rounded to a number of decimals, exact ties to the even digit.
 
@@ -24,16 +31,28 @@ def rounded(c: Column | str, digits: int) -> Column:
     power of ten are exact.
     """
     scale = 10.0**digits
-    value = number(c)
-    size = F.abs(value)
-    # Beyond this size a double has no decimals left to round. The steps below hold no conditions, so that the
-    # generated code computes each of them once.
-    small = F.when(size < 2.0**52 / scale, size).otherwise(0.0)
-    whole = F.floor(small).cast("double")
-    fraction = small - whole
-    stretched = fraction * 134217729.0
-    high = stretched - (stretched - fraction)
-    units = F.floor(high * scale).cast("double")
-    over_half = (high * scale - units - 0.5) + (fraction - high) * scale
-    up = (over_half > 0).cast("double") + (over_half == 0).cast("double") * F.pmod(units, F.lit(2.0))
-    return ((whole * scale + units + up) / scale + (size - small)) * F.signum(value)
+
+    def of(value: Column) -> Column:
+        size = F.abs(value)
+        # Beyond this size a double has no decimals left to round.
+        small = F.when(size < 2.0**52 / scale, size).otherwise(0.0)
+        whole = F.floor(small).cast("double")
+        return let(F.struct(value.alias("value"), whole.alias("whole"), (small - whole).alias("fraction")), split)
+
+    def split(x: Column) -> Column:
+        stretched = x.fraction * 134217729.0
+        high = let(stretched, lambda s: s - (s - x.fraction))
+        return let(F.struct(x.alias("x"), high.alias("high")), half)
+
+    def half(y: Column) -> Column:
+        units = F.floor(y.high * scale).cast("double")
+        return let(F.struct(y.x.alias("x"), y.high.alias("high"), units.alias("units")), joined)
+
+    def joined(z: Column) -> Column:
+        over_half = (z.high * scale - z.units - 0.5) + (z.x.fraction - z.high) * scale
+        up = let(over_half, lambda o: (o > 0).cast("double") + (o == 0).cast("double") * F.pmod(z.units, F.lit(2.0)))
+        size = F.abs(z.x.value)
+        large = F.when(size < 2.0**52 / scale, 0.0).otherwise(size)
+        return ((z.x.whole * scale + z.units + up) / scale + large) * F.signum(z.x.value)
+
+    return let(number(c), of)

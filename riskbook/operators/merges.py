@@ -8,7 +8,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.operators.skew import HOT_MIN_ROWS, hot_keys, hot_keys_of, skew_join
+from riskbook.operators.skew import hot_keys, hot_keys_of, skew_join
+
+
+def _hot(df: DataFrame, key: str, salted: bool) -> dict:
+    """Hot keys if the join is to be salted by the library; otherwise skew is left to adaptive execution."""
+    return hot_keys(df, key) if salted else {}
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -60,27 +65,27 @@ def merge_property_risk(
     energy_key: str = "ecad_id",
     flood_key: str = "ecad_id",
     loan_key: str = "ecad_id",
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Properties with their energy rating (by unit) and flood index (by **building**), inner.
 
     The flood file is keyed by building although its key column is named like the unit's. With ``loans`` only
-    properties that also hold a loan remain. One building may hold a large share of all units, so its units are
-    spread over many tasks and only its few flood rows are copied.
+    properties that also hold a loan remain. One building may hold a large share of all units: adaptive execution
+    splits its tasks, or, with ``salted``, its units are spread beforehand and only its few flood rows are copied.
     """
-    crowded = hot_keys_of(properties, [unit, building], min_rows=hot_min_rows)
+    crowded = hot_keys_of(properties, [unit, building]) if salted else {unit: {}, building: {}}
     merged = join_keep_left(
         properties, energy, unit, energy_key,
-        hot_left=crowded[unit], hot_right=hot_keys(energy, energy_key, min_rows=hot_min_rows),
+        hot_left=crowded[unit], hot_right=_hot(energy, energy_key, salted),
     )
     if loans is not None:
         merged = join_keep_left(
             merged, loans, unit, loan_key,
-            hot_left=crowded[unit], hot_right=hot_keys(loans, loan_key, min_rows=hot_min_rows),
+            hot_left=crowded[unit], hot_right=_hot(loans, loan_key, salted),
         )
     return join_keep_left(
         merged, flood, building, flood_key,
-        hot_left=crowded[building], hot_right=hot_keys(flood, flood_key, min_rows=hot_min_rows),
+        hot_left=crowded[building], hot_right=_hot(flood, flood_key, salted),
     )
 
 
@@ -89,12 +94,12 @@ def enrich_loan_book(
     loans: DataFrame,
     key: str = "ecad_id",
     loan_key: str = "ecad_id",
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Every merged property with its loans; a property without a loan stays with empty loan columns, a loan
     without a property is left out (see :func:`unmatched_loans`)."""
-    crowded = hot_keys(merged, key, min_rows=hot_min_rows)
-    hot = hot_keys(loans, loan_key, min_rows=hot_min_rows)
+    crowded = _hot(merged, key, salted)
+    hot = _hot(loans, loan_key, salted)
     return join_keep_left(merged, loans, key, loan_key, "left", hot_left=crowded, hot_right=hot)
 
 
@@ -103,11 +108,11 @@ def unmatched_loans(
     merged: DataFrame,
     loan_key: str = "ecad_id",
     key: str = "ecad_id",
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Loans whose property is not in the merged table."""
     known = merged.select(F.col(key).alias("_known")).distinct()
-    hot = hot_keys(loans, loan_key, min_rows=hot_min_rows)
+    hot = _hot(loans, loan_key, salted)
     return skew_join(loans, known, loan_key, "_known", "left_anti", hot_left=hot)
 
 
@@ -117,7 +122,7 @@ def merge_scores(
     how: str = "left",
     key: str = "id",
     second_key: str = "uprn",
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Portfolio with risk scores by id; the first of the two joins of :func:`merge_portfolio`."""
     return join_keep_left(
@@ -127,8 +132,8 @@ def merge_scores(
         key,
         how,
         drop_right=(second_key,),
-        hot_left=hot_keys(portfolio, key, min_rows=hot_min_rows),
-        hot_right=hot_keys(risk_scores, key, min_rows=hot_min_rows),
+        hot_left=_hot(portfolio, key, salted),
+        hot_right=_hot(risk_scores, key, salted),
     )
 
 
@@ -140,14 +145,16 @@ def merge_portfolio(
     key: str = "id",
     second_key: str = "uprn",
     grid: Sequence[str] = ("easting", "northing"),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Portfolio with risk scores and coordinates by id. The portfolio's second key and grid columns win.
 
     An id that occurs several times on the right multiplies its rows. Ids must be present (see :func:`with_key`).
+    Both joins share their key, and adaptive execution does not split a task whose output the next join needs as it is;
+    ``salted`` looks for hot ids beforehand and spreads their rows.
     """
     portfolio_rows, score_rows, latlong_rows = (
-        hot_keys(df, key, min_rows=hot_min_rows) for df in (portfolio, risk_scores, latlong)
+        _hot(df, key, salted) for df in (portfolio, risk_scores, latlong)
     )
     scored = join_keep_left(
         portfolio, risk_scores, key, key, how,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -12,46 +11,60 @@ from pyspark.sql import functions as F
 from riskbook.functions.common import number
 
 QUARTILES = (("p25", 0.25), ("p50", 0.50), ("p75", 0.75))
-# Up to this many values the exact quartiles are taken in one task; beyond it they are narrowed down in passes.
-ONE_TASK_VALUES = 250_000
+# Size of the quantile sketches; the ranks they are asked for lie this far around the wanted one.
+SKETCH_SIZE = 2048
+SKETCH_MARGIN = 0.005
 BINS = 1 << 17
-NARROWING_PASSES = 3
 
 
-def profile(df: DataFrame, columns: Sequence[str], one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out.
 
-    ``df`` should be a stored table: its rows are counted right away, and a large one is read a few times.
+    The first scan of ``df``, which should be a stored table, takes the moments and a quantile sketch of each column.
+    Each further scan counts the values below and inside the ranges in which the wanted ranks lie, by bins, until
+    every range is down to one value; mostly one is enough, seldom two. No column is gathered in one task: a task
+    keeps at most ``BINS`` counts per range, and the driver gets one row per range and scan.
     """
     values = df.select(*[number(c).alias(c) for c in columns])
-    if df.count() * len(columns) <= one_task_values:
-        return _moments(values, columns, with_quartiles=True)
-    moments = _moments(values, columns, with_quartiles=False)
-    quartiles = _narrowed_quartiles(values, {r["column"]: r["count"] for r in moments.collect()})
-    return moments.join(F.broadcast(quartiles), "column", "left").select(
-        "column", "count", "mean", "std", "min", *[name for name, _ in QUARTILES], "max"
-    )
+    moments = _moments(values, columns).collect()
+    places = {(r["column"], p): (r["count"] - 1) * p for r in moments if r["count"] for _, p in QUARTILES}
+    at_rank = _values_at(values, moments, places)
+    rows = []
+    for r in moments:
+        quartiles = [None] * len(QUARTILES)
+        if r["count"]:
+            quartiles = [_between(at_rank, r["column"], places[r["column"], p]) for _, p in QUARTILES]
+        rows.append((r["column"], r["count"], r["mean"], r["std"], r["min"], *quartiles, r["max"]))
+    names = ["mean", "std", "min", *[name for name, _ in QUARTILES], "max"]
+    schema = "column string, count long, " + ", ".join(f"{name} double" for name in names)
+    return df.sparkSession.createDataFrame(rows, schema)
+
 
+def _between(at_rank: dict, column: str, place: float) -> float:
+    below, above = at_rank[column, math.floor(place)], at_rank[column, math.ceil(place)]
+    return below if below == above else below + (above - below) * (place - math.floor(place))
 
-def _moments(values: DataFrame, columns: Sequence[str], with_quartiles: bool) -> DataFrame:
-    shares = F.array(*[F.lit(p) for _, p in QUARTILES])
+
+def _moments(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Moments of each column, and for each quartile a range that most likely holds its ranks."""
+    ends = [min(1.0, max(0.0, p + side * SKETCH_MARGIN)) for _, p in QUARTILES for side in (-1, 1)]
 
     def figures(c: str) -> Column:
+        sketch = F.expr(f"kll_sketch_agg_double(`{c}`, {SKETCH_SIZE})")
         return F.struct(
             F.lit(c).alias("column"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"),
-            *([F.percentile(c, shares).alias("quartiles")] if with_quartiles else []),
-            F.max(c).alias("max"),
+            F.count(f"`{c}`").alias("count"),
+            F.avg(f"`{c}`").alias("mean"),
+            F.stddev_samp(f"`{c}`").alias("std"),
+            F.min(f"`{c}`").alias("min"),
+            F.max(f"`{c}`").alias("max"),
+            sketch.alias("sketch"),
         )
 
     rows = values.agg(F.array(*[figures(c) for c in columns]).alias("rows")).select(F.inline("rows"))
-    if not with_quartiles:
-        return rows
-    quartiles = [F.col("quartiles")[i].alias(name) for i, (name, _) in enumerate(QUARTILES)]
-    return rows.select("column", "count", "mean", "std", "min", *quartiles, "max")
+    asked = ", ".join(f"{e}D" for e in ends)
+    ranges = F.expr(f"CASE WHEN count > 0 THEN kll_sketch_get_quantile_double(sketch, array({asked})) END")
+    return rows.select("column", "count", "mean", "std", "min", "max", ranges.alias("ranges"))
 
 
 def _log_bin(value: Column) -> Column:
@@ -60,80 +73,67 @@ def _log_bin(value: Column) -> Column:
     return F.when(value == 0, 0).otherwise(F.signum(value) * (F.floor((size + 746) * 64) + 1)).cast("long")
 
 
-def _even_bin(value: Column, low: Column, high: Column) -> Column:
-    share = F.when(high > low, (value - low) / (high - low) * BINS).otherwise(0.0)
+def _bin(value: Column, low: float, high: float) -> Column:
+    """Bins of equal width, or by logarithm where the width is not finite."""
+    if not math.isfinite(high - low):
+        return _log_bin(value)
+    share = (value - F.lit(low)) / F.lit(high - low) * BINS if high > low else F.lit(0.0)
     return F.least(F.floor(share), F.lit(BINS)).cast("long")
 
 
-def _narrowed_quartiles(values: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """Exact quartiles without gathering a column in one task.
+def _values_at(values: DataFrame, moments: list[Row], places: dict) -> dict[tuple[str, int], float]:
+    """The value at each wanted rank of each column."""
+    open_: dict[tuple[str, int], tuple[float, float]] = {}
+    found: dict[tuple[str, int], float] = {}
+    ends = {r["column"]: (r["min"], r["max"]) for r in moments}
+    for r in moments:
+        for k, (_, p) in enumerate(QUARTILES if r["count"] else ()):
+            place = places[r["column"], p]
+            for rank in {math.floor(place), math.ceil(place)}:
+                open_[r["column"], rank] = (r["ranges"][2 * k], r["ranges"][2 * k + 1])
+    while open_:
+        ranges = sorted({(c, *bounds) for (c, _), bounds in open_.items()})
+        targets = [(c, rank, ranges.index((c, *bounds))) for (c, rank), bounds in open_.items()]
+        hits = {(r["column"], r["rank"]): r for r in _locate(_bins_of(values, ranges), targets)}
+        for key, (low, high) in list(open_.items()):
+            hit, (least, most) = hits.get(key), ends[key[0]]
+            if hit is None:  # the sketch was off: the rank lies above the range
+                open_[key] = (high, most)
+            elif hit["bin"] is None:  # below it
+                open_[key] = (least, low)
+            elif hit["low"] == hit["high"]:
+                found[key] = hit["low"]
+                del open_[key]
+            else:
+                open_[key] = (hit["low"], hit["high"])
+    return found
+
+
+def _bins_of(values: DataFrame, ranges: list[tuple[str, float, float]]) -> DataFrame:
+    """Counts of the values below each range (``bin`` null) and of those in each bin of it."""
+    entries = []
+    for k, (c, low, high) in enumerate(ranges):
+        value = F.col(f"`{c}`")
+        bin_ = F.when(value >= F.lit(low), _bin(value, low, high))
+        entries.append(
+            F.struct(
+                F.lit(k).alias("range"),
+                (value <= F.lit(high)).alias("counts"),
+                bin_.alias("bin"),
+                F.when(value >= F.lit(low), value).alias("value"),
+            )
+        )
+    # Values above a range count for nothing there, and a missing value is neither.
+    tall = values.select(F.inline(F.array(*entries))).where("counts")
+    figures = [F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+    return tall.groupBy("range", "bin").agg(*figures)
 
-    Every pass counts the values in bins, keeps the bin each wanted rank falls in, and counts only that bin again,
-    more finely. A pass moves at most a few hundred thousand bin counts per column and returns at most six rows per
-    column to the driver. The first pass narrows by logarithm, each later one by 2**17, which is finer than a double
-    after three of them; the passes stop as soon as every bin is down to one value.
-    """
-    places = {(c, name): (n - 1) * p for c, n in counts.items() if n for name, p in QUARTILES}
-    ranks = {(c, rank) for (c, _), place in places.items() for rank in (math.floor(place), math.ceil(place))}
-
-    bins = _tall(values).groupBy("column", _log_bin(F.col("value")).alias("bin")).agg(*_bin_figures())
-    found = _locate(bins, [(c, rank, rank) for c, rank in ranks], ["column"])
-    for _ in range(NARROWING_PASSES):
-        open_ranges = {(r["column"], r["low"], r["high"]) for r in found if r["low"] < r["high"]}
-        if not open_ranges:
-            break
-        targets = [
-            (r["column"], r["rank"], r["left"], r["low"], r["high"]) for r in found if r["low"] < r["high"]
-        ]
-        done = [r for r in found if r["low"] >= r["high"]]
-        found = done + _locate(_bins_within(values, open_ranges), targets, ["column", "from", "to"])
-
-    at_rank = {(r["column"], r["rank"]): r["low"] for r in found}
-    rows = []
-    for c, n in counts.items():
-        row = [c]
-        for name, _ in QUARTILES if n else ():
-            place = places[c, name]
-            below, above = at_rank[c, math.floor(place)], at_rank[c, math.ceil(place)]
-            row.append(below if below == above else below + (above - below) * (place - math.floor(place)))
-        rows.append(tuple(row) if n else (c, *[None] * len(QUARTILES)))
-    schema = "column string, " + ", ".join(f"{name} double" for name, _ in QUARTILES)
-    return values.sparkSession.createDataFrame(rows, schema)
-
-
-def _tall(values: DataFrame) -> DataFrame:
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in values.columns]
-    return values.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-
-
-def _bins_within(values: DataFrame, ranges: set[tuple[str, float, float]]) -> DataFrame:
-    """Counts of finer bins of the values inside the ranges, which do not overlap within a column."""
-    near = [F.col(c).between(F.lit(low), F.lit(high)) for c, low, high in ranges]
-    bounds = values.sparkSession.createDataFrame(sorted(ranges), "column string, from double, to double")
-    inside = (
-        _tall(values.where(reduce(Column.__or__, near)))
-        .join(F.broadcast(bounds), "column")
-        .where(F.col("value").between(F.col("from"), F.col("to")))
-    )
-    fine = _even_bin(F.col("value"), F.col("from"), F.col("to"))
-    return inside.groupBy("column", "from", "to", fine.alias("bin")).agg(*_bin_figures())
-
-
-def _bin_figures() -> list[Column]:
-    return [F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-
-
-def _locate(bins: DataFrame, targets: list[tuple], keys: list[str]) -> list[Row]:
-    """The bin each target rank falls in, with the rank's place inside that bin. A target is its column, its rank,
-    its place among the bins counted, and the further keys of these bins."""
-    order = Window.partitionBy(*keys).orderBy("bin")
+
+def _locate(bins: DataFrame, targets: list[tuple[str, int, int]]) -> list[Row]:
+    """The bin each target rank falls in. A target is its column, its rank and the place of its range."""
+    order = Window.partitionBy("range").orderBy(F.col("bin").asc_nulls_first())
     running = bins.withColumn("upto", F.sum("n").over(order)).withColumn("before", F.col("upto") - F.col("n"))
-    layout = "column string, rank long, place long" + "".join(f", {k} double" for k in keys[1:])
-    wanted = bins.sparkSession.createDataFrame(targets, layout)
-    hit = (F.col("place") >= F.col("before")) & (F.col("place") < F.col("upto"))
-    return (
-        running.join(F.broadcast(wanted), keys)
-        .where(hit)
-        .select("column", "rank", (F.col("place") - F.col("before")).alias("left"), "low", "high")
-        .collect()
-    )
+    wanted = bins.sparkSession.createDataFrame(targets, "column string, rank long, range int")
+    hit = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto"))
+    # The targets are two per column and quartile at most.
+    return running.join(F.broadcast(wanted), "range").where(hit).select("column", "rank", "bin", "low", "high").collect()

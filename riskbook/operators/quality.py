@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from riskbook.operators.skew import HOT_MIN_ROWS, hot_keys, skew_join
+from riskbook.operators.skew import hot_keys, skew_join
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,15 +22,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, first: str = "id", second: str = "uprn") -> DataFrame:
-    """Duplicates of the pair and of each single key from one scan, combined before the one shuffle."""
-    counts = df.groupingSets([[first, second], [first], [second]], first, second).agg(
-        F.count("*").alias("count"), F.grouping_id().alias("kind")
-    )
-    kind = F.when(F.col("kind") == 0, f"{first}+{second}").when(F.col("kind") == 1, first).otherwise(second)
+    """Duplicates of the pair and of each single key from one scan, in no particular order.
+
+    Rows are combined to pairs before their shuffle; the single keys are then counted from the pairs, combined once
+    more, so that neither all rows are sent three times nor the rows of a crowded key meet in one task.
+    """
+    pairs = df.groupBy(first, second).agg(F.count("*").alias("count"))
+    nothing = {c: F.lit(None).cast(df.schema[c].dataType).alias(c) for c in (first, second)}
+
+    def of(key: str, counts: DataFrame, *shown) -> DataFrame:
+        return counts.where(F.col("count") > 1).select(F.lit(key).alias("key"), *shown, "count")
+
+    def single(key: str) -> DataFrame:
+        return pairs.groupBy(key).agg(F.sum("count").alias("count"))
+
     return (
-        counts.where(F.col("count") > 1)
-        .select(kind.alias("key"), first, second, "count")
-        .orderBy("key", F.desc("count"), first, second)
+        of(f"{first}+{second}", pairs, first, second)
+        .union(of(first, single(first), first, nothing[second]))
+        .union(of(second, single(second), nothing[first], second))
     )
 
 
@@ -39,7 +48,7 @@ def duplicate_members(
     key: str = "uprn",
     member: str = "id",
     members_of: DataFrame | None = None,
-    hot_min_rows: int = HOT_MIN_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """Every member of a key that occurs more than once in ``df``, with the key's count.
 
@@ -48,11 +57,11 @@ def duplicate_members(
     """
     listing = (df if members_of is None else members_of).select(F.col(key).alias("_member_key"), member)
     repeated = df.groupBy(key).agg(F.count("*").alias("count")).where(F.col("count") > 1)
-    hot = hot_keys(listing, "_member_key", min_rows=hot_min_rows)
+    hot = hot_keys(listing, "_member_key") if salted else {}
     return skew_join(repeated, listing, key, "_member_key", "left", hot_right=hot)
 
 
-def rows_with_min_group(df: DataFrame, key: str, at_least: int, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+def rows_with_min_group(df: DataFrame, key: str, at_least: int, salted: bool = False) -> DataFrame:
     """All rows of the keys that occur at least ``at_least`` times. Rows without a key belong to no group.
 
     Counts are combined before the shuffle and joined back, so no group has to fit in one task.
@@ -64,7 +73,7 @@ def rows_with_min_group(df: DataFrame, key: str, at_least: int, hot_min_rows: in
         .where(F.col("_rows") >= at_least)
         .select("_group")
     )
-    hot = hot_keys(df, key, min_rows=hot_min_rows)
+    hot = hot_keys(df, key) if salted else {}
     return skew_join(df, large, key, "_group", "left_semi", hot_left=hot)
 
 
@@ -107,19 +116,12 @@ def last_rows(df: DataFrame, order: Sequence[str], n: int = 40) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in order]).limit(n)
 
 
-# Above this many keys a list is joined instead of being written into the filter.
-MAX_INLINE_KEYS = 1000
-
-
-def lookup_properties(
-    df: DataFrame, key: str, wanted: Sequence | DataFrame, hot_min_rows: int = HOT_MIN_ROWS
-) -> DataFrame:
-    """Rows whose key is wanted. ``wanted`` is a list, or a one-column DataFrame for long lists."""
+def lookup_properties(df: DataFrame, key: str, wanted: Sequence | DataFrame, salted: bool = False) -> DataFrame:
+    """Rows whose key is wanted. ``wanted`` is a list, which becomes a filter, or a one-column DataFrame, which is
+    joined; with ``salted`` hot keys of ``df`` are spread for that join."""
     if not isinstance(wanted, DataFrame):
-        if len(wanted) <= MAX_INLINE_KEYS:
-            return df.where(F.col(key).isin(list(wanted)))
-        wanted = df.sparkSession.createDataFrame([(k,) for k in wanted], ["_wanted"])
-    hot = hot_keys(df, key, min_rows=hot_min_rows)
+        return df.where(F.col(key).isin(list(wanted)))
+    hot = hot_keys(df, key) if salted else {}
     return skew_join(df, wanted.toDF("_wanted").distinct(), key, "_wanted", "left_semi", hot_left=hot)
 
 

@@ -9,29 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot from this share of a table's rows on; smaller tables than HOT_MIN_ROWS are never looked through.
+# A key is hot from this share of a table's rows on.
 HOT_SHARE = 1 / 256
-HOT_MIN_ROWS = 1_000_000
 # A hot key is cut into pieces of about this many rows.
 ROWS_PER_PIECE = 500_000
 SKETCH_GROUPS = 256
 
 
-def hot_keys_of(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> dict[str, dict]:
-    """For each key column the values that hold at least ``share`` of the rows, with their approximate row counts;
-    none for a table under ``min_rows``.
+def hot_keys_of(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[str, dict]:
+    """For each key column the values that hold at least ``share`` of the rows, with their approximate row counts.
 
-    The rows are counted first, which for a stored table reads file footers only. One scan of the key columns then
-    fills frequent-items sketches of fixed size, merged in two steps, so nothing is shuffled by key and only about
-    1 / share values per column reach the driver. The sketch tracks enough values to miss none of these; a value just
-    under the share may be named as well, which changes the balance of :func:`skew_join` but not its result. Every
-    value named does occur in the table; ``None`` stands for missing keys. ``df`` should be a stored table, since the
-    scan runs right away.
+    One scan of the key columns counts the rows and another fills frequent-items sketches of fixed size, merged in two
+    steps, so nothing is shuffled by key and only about 1 / share values per column reach the driver. The sketch
+    tracks enough values to miss none of these; a value just under the share may be named as well, which changes the
+    balance of :func:`skew_join` but not its result. Every value named does occur in the table; ``None`` stands for
+    missing keys. ``df`` should be a stored table, since both scans run right away; counting a stored table without
+    filters reads file footers only.
     """
     rows = df.count()
-    if rows < max(1, min_rows):
+    if not rows:
         return {k: {} for k in keys}
     most = int(1 / share) + 1
     tracked = 1 << (8 * most - 1).bit_length()
@@ -49,18 +45,17 @@ def hot_keys_of(
     }
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> dict:
-    return hot_keys_of(df, [key], share, min_rows)[key]
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    return hot_keys_of(df, [key], share)[key]
 
 
-def _pieces(key: Column, hot: Mapping, rows_per_piece: int) -> Column:
-    """Number of pieces the key is cut into; null for a key that is not hot."""
+def _pieces(key: Column, kind: T.DataType, hot: Mapping, rows_per_piece: int) -> Column:
+    """Number of pieces the key is cut into; null for a key that is not hot. All keys are one literal map."""
     chosen = F.lit(None).cast("int")
     values = [value for value in hot if value is not None]
-    for value in values:
-        chosen = F.when(key == F.lit(value), _piece_count(hot[value], rows_per_piece)).otherwise(chosen)
     if values:
-        chosen = F.when(key.isin(values), chosen)
+        entries = [(F.lit(v).cast(kind), F.lit(_piece_count(hot[v], rows_per_piece))) for v in values]
+        chosen = F.when(key.isNotNull(), F.element_at(F.create_map(*[x for pair in entries for x in pair]), key))
     if None in hot:
         chosen = F.when(key.isNull(), _piece_count(hot[None], rows_per_piece)).otherwise(chosen)
     return chosen
@@ -70,13 +65,22 @@ def _piece_count(rows: int, rows_per_piece: int) -> int:
     return max(2, math.ceil(rows / rows_per_piece))
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Maps and variants have no hash, nor has what they are nested in."""
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _spread(df: DataFrame, key: str, own: Mapping, other: Mapping, rows_per_piece: int, salt: str) -> DataFrame:
     """Rows whose key is hot on this side go to one piece each; rows whose key is hot on the other side are copied
     to every piece; all other rows form one piece. A row's piece depends on its content and its partition, not on
     the order of rows or on chance, so a recomputed task gives the same one."""
-    hashable = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    own_pieces = _pieces(F.col(key), own, rows_per_piece)
-    other_pieces = _pieces(F.col(key), other, rows_per_piece)
+    hashable = [f"`{f.name}`" for f in df.schema.fields if _hashable(f.dataType)]
+    own_pieces = _pieces(F.col(key), df.schema[key].dataType, own, rows_per_piece)
+    other_pieces = _pieces(F.col(key), df.schema[key].dataType, other, rows_per_piece)
     one = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), own_pieces).cast("int")
     if not other:
         return df.withColumn(salt, F.when(own_pieces.isNotNull(), one).otherwise(0))

@@ -4,11 +4,12 @@ import os
 
 import pytest
 
+import catalogue
 import __spark_entry__ as driver
 import oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, catalogue.SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def test_query_matches_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

@@ -84,12 +84,17 @@ def test_skew_join_with_many_hot_keys(spark):
 def test_hot_keys(spark):
     data = [(1, "a")] * 50 + [(i, "b") for i in range(100, 150)] + [(None, None)] * 100
     df = spark.createDataFrame(data, "k int, s string")
-    assert hot_keys(df, "k", share=0.2, min_rows=0) == {1: 50, None: 100}
-    assert hot_keys(df, "k") == {}
-    found = hot_keys_of(df, ["k", "s"], share=0.2, min_rows=0)
+    assert hot_keys(df, "k", share=0.2) == {1: 50, None: 100}
+    found = hot_keys_of(df, ["k", "s"], share=0.2)
     assert found == {"k": {1: 50, None: 100}, "s": {"a": 50, "b": 50, None: 100}}
-    assert hot_keys(df.limit(0), "k", min_rows=0) == {}
-    assert hot_keys(df.where("k IS NULL"), "k", min_rows=0) == {None: 100}
+    assert hot_keys(df.limit(0), "k") == {}
+    assert hot_keys(df.where("k IS NULL"), "k") == {None: 100}
+
+
+def test_skew_join_of_rows_with_nested_maps(spark):
+    left = spark.range(100).selectExpr("id % 2 AS k", "named_struct('m', map('a', id)) AS s", "array(map(1, id)) AS a")
+    right = spark.createDataFrame([(0, "x"), (1, "y")], "rk long, v string")
+    assert skew_join(left, right, "k", "rk", "inner", hot_left={1: 50}, rows_per_piece=10).count() == 100
 
 
 def frames(spark):
@@ -111,31 +116,31 @@ def frames(spark):
     return properties, energy, flood, loans
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_merge_property_risk_uses_the_building_for_flood(spark, min_rows):
+@pytest.mark.parametrize("salted", [False, True])
+def test_merge_property_risk_uses_the_building_for_flood(spark, salted):
     properties, energy, flood, loans = frames(spark)
-    merged = merges.merge_property_risk(properties, energy, flood, hot_min_rows=min_rows)
+    merged = merges.merge_property_risk(properties, energy, flood, salted=salted)
     assert merged.columns == ["ecad_id", "building_id", "address_line_1", "ber_rating", "floodscore_ud"]
     assert rows(merged) == Counter([(1, 10, "one", "A1", 5), (2, 10, "two", None, 5), (3, 20, "three", "G", 7)])
 
-    with_loans = merges.merge_property_risk(properties, energy, flood, loans, hot_min_rows=min_rows)
+    with_loans = merges.merge_property_risk(properties, energy, flood, loans, salted=salted)
     assert rows(with_loans.select("ecad_id", "Asset_id", "floodscore_ud")) == Counter(
         [(1, 500, 5), (1, 501, 5), (3, 502, 7)]
     )
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_enrich_keeps_every_property(spark, min_rows):
+@pytest.mark.parametrize("salted", [False, True])
+def test_enrich_keeps_every_property(spark, salted):
     properties, energy, flood, loans = frames(spark)
     merged = merges.merge_property_risk(properties, energy, flood)
-    book = merges.enrich_loan_book(merged, loans, hot_min_rows=min_rows)
+    book = merges.enrich_loan_book(merged, loans, salted=salted)
     assert rows(book.select("ecad_id", "Asset_id")) == Counter([(1, 500), (1, 501), (2, None), (3, 502)])
-    left_out = merges.unmatched_loans(loans, merged, hot_min_rows=min_rows)
+    left_out = merges.unmatched_loans(loans, merged, salted=salted)
     assert rows(left_out.select("ecad_id", "Asset_id")) == Counter([(88, 503)])
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_merge_portfolio(spark, min_rows):
+@pytest.mark.parametrize("salted", [False, True])
+def test_merge_portfolio(spark, salted):
     portfolio = spark.createDataFrame(
         [("1", "100", "e1"), ("2", "100", "e2"), ("3", "300", "e3"), ("3", "300", "e4")],
         "id string, uprn string, easting string",
@@ -146,13 +151,13 @@ def test_merge_portfolio(spark, min_rows):
         "ID string, UPRN string, EASTING string, NORTHING string, LATITUDE double",
     )
     tables = (portfolio, scores, merges.lower_columns(latlong))
-    left = merges.merge_portfolio(*tables, how="left", hot_min_rows=min_rows)
+    left = merges.merge_portfolio(*tables, how="left", salted=salted)
     assert left.columns == ["id", "uprn", "easting", "score", "latitude"]
     assert rows(left) == Counter([
         ("1", "100", "e1", 5, 51.0), ("1", "100", "e1", 6, 51.0), ("2", "100", "e2", None, 52.0),
         ("3", "300", "e3", 7, None), ("3", "300", "e4", 7, None),
     ])
-    inner = merges.merge_portfolio(*tables, how="inner", hot_min_rows=min_rows)
+    inner = merges.merge_portfolio(*tables, how="inner", salted=salted)
     assert inner.columns == ["id", "uprn", "easting", "latitude", "score"]
     assert rows(inner) == Counter([("1", "100", "e1", 51.0, 5), ("1", "100", "e1", 51.0, 6)])
 

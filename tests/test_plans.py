@@ -4,11 +4,12 @@ import re
 
 import pytest
 
+import catalogue
 import __spark_entry__ as driver
 
 SF_DIR = "/root/testdata/sf0.001"
 # The jobs and file queries write before they return; their plans only read the result back.
-PLANNED = sorted(n for n in driver.queries() if not n.startswith(("job_", "roundtrip", "read_", "rejects", "valid")))
+PLANNED = sorted(n for n in catalogue.QUERIES if not n.startswith(("job_", "roundtrip", "read_", "rejects", "valid")))
 
 
 def plan(df):
@@ -40,6 +41,15 @@ def test_scans_are_pruned(spark):
     assert {"l_partkey", "l_extendedprice"} in read
 
 
+def test_heat_layer_stays_small(spark):
+    assert len(plan(driver.queries()["heat_layer"](spark, SF_DIR))) < 10_000
+
+
+def test_duplicate_report_does_not_sort_or_expand(spark):
+    text = plan(driver.queries()["duplicate_report"](spark, SF_DIR))
+    assert "rangepartitioning" not in text and "Expand" not in text and "Sort " not in text
+
+
 def test_report_scans_the_book_once(spark):
     text = plan(driver.queries()["pillar3_matrix"](spark, SF_DIR))
     assert text.count("FileScan") == 2

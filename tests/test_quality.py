@@ -34,21 +34,21 @@ def test_duplicate_report_equals_single_reports(portfolio):
         assert got == rows(quality.duplicate_keys(portfolio, keys))
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_duplicate_members(spark, portfolio, min_rows):
-    got = rows(quality.duplicate_members(portfolio, hot_min_rows=min_rows))
+@pytest.mark.parametrize("salted", [False, True])
+def test_duplicate_members(spark, portfolio, salted):
+    got = rows(quality.duplicate_members(portfolio, salted=salted))
     assert got == Counter([
         ("u1", 2, "1"), ("u1", 2, "2"), ("u2", 2, "3"), ("u2", 2, "3"), ("u3", 2, "6"), ("u3", 2, None),
         (None, 2, None),
     ])
     listing = spark.createDataFrame([("9", "u1")], "id string, uprn string")
-    listed = rows(quality.duplicate_members(portfolio, members_of=listing, hot_min_rows=min_rows))
+    listed = rows(quality.duplicate_members(portfolio, members_of=listing, salted=salted))
     assert listed == Counter([("u1", 2, "9"), ("u2", 2, None), ("u3", 2, None), (None, 2, None)])
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_rows_with_min_group_matches_duplicates(portfolio, min_rows):
-    got = quality.rows_with_min_group(portfolio, "uprn", 2, hot_min_rows=min_rows)
+@pytest.mark.parametrize("salted", [False, True])
+def test_rows_with_min_group_matches_duplicates(portfolio, salted):
+    got = quality.rows_with_min_group(portfolio, "uprn", 2, salted=salted)
     assert got.columns == ["id", "uprn"]
     assert rows(got) == Counter([("1", "u1"), ("2", "u1"), ("3", "u2"), ("3", "u2"), ("6", "u3"), (None, "u3")])
     keys = {r["uprn"] for r in quality.duplicate_keys(portfolio, ["uprn"]).collect()} - {None}
@@ -81,8 +81,8 @@ def test_previews_and_lookup(spark):
     assert quality.lookup_properties(df, "id", list(range(40, 2040))).count() == 10
     wanted = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert quality.lookup_properties(df, "id", wanted).count() == 1
-    for min_rows in (0, 1_000_000):
-        assert quality.lookup_properties(df, "g", wanted, hot_min_rows=min_rows).count() == 17
+    for salted in (False, True):
+        assert quality.lookup_properties(df, "g", wanted, salted=salted).count() == 17
 
 
 def test_counts(spark):
@@ -115,23 +115,39 @@ def heavy_values():
     [1.0, 1.0000000000000002, 1.0000000000000004, 1.0000000000000007],
     [-3.5, -3.5, -1e-9, 0.0, 1e-9],
 ], ids=["heavy", "even", "one", "same", "two", "close", "signs"])
-def test_quartiles_match_numpy_both_ways(spark, values):
+def test_quartiles_match_numpy(spark, values):
     data = [(v,) for v in values] + [(None,), (float("nan"),)]
     df = spark.createDataFrame(data, "v double").repartition(4)
     want = np.percentile(np.array(values), [25, 50, 75])
-    for one_task_values in (10**6, 0):
-        row = profile(df, ["v"], one_task_values=one_task_values).first()
-        assert row["count"] == len(values)
-        assert (row["min"], row["max"]) == (min(values), max(values))
-        assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(want), rel=1e-12)
+    row = profile(df, ["v"]).first()
+    assert row["count"] == len(values)
+    assert (row["min"], row["max"]) == (min(values), max(values))
+    assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(want), rel=1e-12)
 
 
 def test_profile_moments_and_several_columns(spark):
     data = [(float(i % 17), str(i), None) for i in range(500)]
     df = spark.createDataFrame(data, "a double, b string, c double")
-    for one_task_values in (10**6, 0):
-        got = {r["column"]: r for r in profile(df, ["a", "b", "c"], one_task_values=one_task_values).collect()}
-        assert got["a"]["std"] == pytest.approx(statistics.stdev(x[0] for x in data))
-        assert got["b"]["mean"] == pytest.approx(249.5)
-        assert got["b"]["p25"] == pytest.approx(np.percentile(range(500), 25))
-        assert got["c"]["count"] == 0 and got["c"]["p50"] is None and got["c"]["mean"] is None
+    got = {r["column"]: r for r in profile(df, ["a", "b", "c"]).collect()}
+    assert got["a"]["std"] == pytest.approx(statistics.stdev(x[0] for x in data))
+    assert got["b"]["mean"] == pytest.approx(249.5)
+    assert got["b"]["p25"] == pytest.approx(np.percentile(range(500), 25))
+    assert got["c"]["count"] == 0 and got["c"]["p50"] is None and got["c"]["mean"] is None
+
+
+def test_profile_scans(spark, monkeypatch):
+    """One scan for moments and sketches, one that counts around the quartiles; a sketch that is off costs more."""
+    from riskbook.operators import profile as module
+
+    scans = []
+    locate = module._locate
+    monkeypatch.setattr(module, "_locate", lambda *a: scans.append(1) or locate(*a))
+    df = spark.range(100_000).selectExpr("CAST(id * 7919 % 100003 AS double) AS v")
+    assert module.profile(df, ["v"]).first()["p50"] == pytest.approx(
+        np.percentile([i * 7919 % 100003 for i in range(100_000)], 50)
+    )
+    assert len(scans) <= 2
+    monkeypatch.setattr(module, "SKETCH_MARGIN", -0.2)
+    assert module.profile(df, ["v"]).first()["p25"] == pytest.approx(
+        np.percentile([i * 7919 % 100003 for i in range(100_000)], 25)
+    )
