@@ -40,15 +40,27 @@ def boundary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boundaries with their counts, written as GeoJSON features and read back."""
+    """Boundaries with further properties (a number, a text, a null, a nested value) and their counts, written as GeoJSON
+    features and read back."""
     shape = F.format_string('{"type":"Point","coordinates":[%d,%d]}', "LAD13CD", "LAD13CD")
-    counted = boundary_counts(spark, sf_dir).withColumn("geometry", shape)
+    given = F.format_string(
+        '{"LAD13CD":"%s","size":%d.5,"name":"N%s","none":null,"box":{"corner":[%d,1]}}', *["LAD13CD"] * 4
+    )
+    counted = boundary_counts(spark, sf_dir).withColumns({"properties": given, "geometry": shape})
     path = scratch_path(spark, "boundaries")
     write_boundaries(counted, path)
     stored = read_boundaries(spark, path, ("LAD13CD", "LAD13NM", *KINDS), by_line=True)
-    x = F.get_json_object("geometry", "$.coordinates[0]").cast("int")
+
+    def at(path: str, kind: str, of: str = "properties"):
+        return F.get_json_object(of, path).cast(kind)
+
     return stored.withColumns({k: F.col(k).cast("long") for k in ("LAD13CD", *KINDS)}).select(
-        "LAD13CD", "LAD13NM", *KINDS, x.alias("x")
+        "LAD13CD", "LAD13NM", *KINDS,
+        at("$.coordinates[0]", "int", "geometry").alias("x"),
+        at("$.size", "double").alias("size"),
+        at("$.name", "string").alias("text"),
+        at("$.box.corner[0]", "int").alias("corner"),
+        F.size(F.json_object_keys("properties")).cast("long").alias("properties"),
     )
 
 
@@ -97,7 +109,11 @@ QUERIES = {
 SQL = {
     "council_type_counts": f"SELECT c_nationkey, {_PIVOT} FROM customer GROUP BY c_nationkey",
     "boundary_property_counts": _BOUNDARIES.replace("{extra}", ""),
-    "boundary_roundtrip": _BOUNDARIES.replace("{extra}", ", b.n_nationkey AS x"),
+    "boundary_roundtrip": _BOUNDARIES.replace(
+        "{extra}",
+        """, b.n_nationkey AS x, b.n_nationkey + 0.5e0 AS size, 'N' || b.n_nationkey AS text, b.n_nationkey AS corner,
+        CAST(10 AS BIGINT) AS properties""",
+    ),
     "council_counts": """SELECT n_name, c_nationkey, c_mktsegment, count(*) AS count
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""",
     "choropleth_counts": f"""SELECT n_nationkey AS "LAD13CD", b.n_name AS "LAD13NM", count

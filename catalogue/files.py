@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.tables import table
+from riskbook.operators.merges import lower_columns
 from riskbook.sources import publish, readers
-from riskbook.sources.schemas import schema_of
+from riskbook.sources.schemas import PORTFOLIO_TYPES, schema_of
 
 ITEM = schema_of("l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string")
 ORDER = schema_of("o_orderkey bigint, o_custkey bigint, o_totalprice double")
@@ -105,6 +106,29 @@ def raw_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.typed_columns(readers.blank_to_null(raw, spellings=spellings, trim=True), types)
 
 
+SPELLED = """CASE WHEN n_chars % 5 = 0 THEN CAST(n_chars AS string) WHEN n_chars % 5 = 1 THEN concat(n_chars, '.0')
+    WHEN n_chars % 5 = 2 THEN concat(n_chars, '.5') WHEN n_chars % 5 = 3 THEN ' ' ELSE 'word' END"""
+
+
+def _spelled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lengths as an all-text file spells numbers: plain, with a decimal, with a fraction, blank, as a word."""
+    rows = table(spark, sf_dir, "documents").selectExpr("doc_id AS ID", f"{SPELLED} AS UPRN", f"{SPELLED} AS RHIGHSCORE")
+    base = publish.scratch_path(spark, "spelled")
+    publish.publish(rows, base, "20230427", "csv")
+    return lower_columns(readers.read_raw_csv(spark, f"{base}/dt=20230427"))
+
+
+def spelled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = readers.typed_columns(_spelled_numbers(spark, sf_dir), PORTFOLIO_TYPES)
+    return typed.select(F.col("id").cast("long").alias("id"), "uprn", "rhighscore")
+
+
+def lost_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that the cast of the same file loses."""
+    raw = readers.blank_to_null(_spelled_numbers(spark, sf_dir), trim=True)
+    return readers.lost_values(raw, PORTFOLIO_TYPES)
+
+
 _BAD = """(l_quantity = 13 OR (l_linenumber = 1 AND l_quantity > 45) OR (l_linenumber = 7 AND l_returnflag = 'R'))"""
 
 
@@ -122,6 +146,8 @@ QUERIES = {
     "read_several_files": several_files,
     "read_inferred_csv": inferred,
     "read_raw_csv": raw_typed,
+    "spelled_numbers": spelled_numbers,
+    "lost_numbers": lost_numbers,
 }
 
 SQL = {
@@ -139,4 +165,12 @@ SQL = {
         SELECT doc_id, nullif(lang, 'fr') AS lang, nullif(quality, 0) AS quality,
                CASE WHEN toxic = 1 THEN NULL ELSE n_chars END AS n_chars
         FROM documents LEFT JOIN labels USING (doc_id)""",
+    "spelled_numbers": """
+        SELECT doc_id AS id, CASE WHEN n_chars % 5 < 2 THEN n_chars END AS uprn,
+               CASE n_chars % 5 WHEN 0 THEN n_chars WHEN 1 THEN n_chars WHEN 2 THEN n_chars + 0.5e0 END AS rhighscore
+        FROM documents""",
+    "lost_numbers": """
+        SELECT 'uprn' AS "column", count(*) AS "values", count(*) FILTER (n_chars % 5 IN (2, 4)) AS lost
+        FROM documents WHERE n_chars % 5 <> 3
+        UNION ALL SELECT 'rhighscore', count(*), count(*) FILTER (n_chars % 5 = 4) FROM documents WHERE n_chars % 5 <> 3""",
 }

@@ -8,12 +8,14 @@ from pyspark.sql import types as T
 
 from catalogue.books import NUMBERS, TEXTS
 from catalogue.tables import table
+from riskbook.operators.quality import row_counts
 from riskbook.plans.layer_jobs import portfolio_layers_job, property_layers_job
 from riskbook.plans.portfolio_jobs import portfolio_conversion_job, portfolio_merge_job, typed_portfolio
 from riskbook.plans.property_jobs import enrich_loan_book_job, merge_property_risk_job
 from riskbook.plans.regulatory_jobs import portfolio_report_job, property_report_job
 from riskbook.sources import schemas
-from riskbook.sources.publish import read_published, scratch_path
+from riskbook.sources.boundaries import read_boundaries
+from riskbook.sources.publish import published_tables, read_published, scratch_path
 
 DAY = "20230427"
 
@@ -91,12 +93,12 @@ def property_flood_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _portfolio_files(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
+def _portfolio_files(spark: SparkSession, sf_dir: str, root: str, order_id: str = "o_orderkey") -> list[str]:
     """Orders as portfolio, line items as risk scores, documents as coordinates. The score file brings loan, rating
     and energy columns, the portfolio the rest of the columns that the layers show."""
     from_scores = {"current_energy_efficiency", "energy_consumption_current"}
     portfolio = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("ID"),
+        F.expr(order_id).alias("ID"),
         F.col("o_custkey").alias("UPRN"),
         F.col("o_totalprice").alias("EASTING"),
         F.col("o_totalprice").alias("NORTHING"),
@@ -130,12 +132,24 @@ def portfolio_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "portfolio-merge")
     files = _portfolio_files(spark, sf_dir, root)
     portfolio_merge_job(spark, *files, f"{root}/merged", f"{root}/staged", DAY)
-    merged = typed_portfolio(read_published(spark, f"{root}/merged/json", fmt="json"))
+    written = read_published(spark, f"{root}/merged/parquet").drop("dt")
+    merged = typed_portfolio(read_published(spark, f"{root}/merged/json", fmt="json", schema=written.schema))
     return merged.select(
         F.col("id").cast("long").alias("id"), "uprn", "easting", "latitude", "currentloan", "initial_borrow_capital"
     )
 
 
+def portfolio_merged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV and the Parquet table of the inner merge, one after the other. Every third order is written with zeros
+    before its id, which is published as it is and meets the same number."""
+    root = scratch_path(spark, "portfolio-merge")
+    files = _portfolio_files(spark, sf_dir, root, "concat(if(o_orderkey % 3 = 0, '00', ''), o_orderkey)")
+    portfolio_merge_job(spark, *files, f"{root}/merged", f"{root}/staged", DAY)
+    tables = [read_published(spark, f"{root}/merged/{fmt}", fmt=fmt).withColumn("fmt", F.lit(fmt)) for fmt in ("csv", "parquet")]
+    shown = ("id", "uprn", "easting", "latitude", "currentloan", "currentltv", "fmt", "dt")
+    return tables[0].select(*shown).unionByName(tables[1].select(*shown))
+
+
 def _converted(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "portfolio-conversion")
     files = _portfolio_files(spark, sf_dir, root)
@@ -152,6 +166,34 @@ def portfolio_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def duplicate_uprns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_published(spark, f"{_converted(spark, sf_dir)}/reports/duplicate_uprns", DAY, "csv")
+    return rows.select(F.col("uprn").cast("long").alias("uprn"), F.col("count").cast("long").alias("count"))
+
+
+def duplicate_uprn_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_published(spark, f"{_converted(spark, sf_dir)}/reports/duplicate_uprn_ids", DAY, "csv")
+    return rows.select(*[F.col(c).cast("long").alias(c) for c in ("uprn", "count", "id")])
+
+
+def portfolio_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide report as it was published; its first row."""
+    root = _converted(spark, sf_dir)
+    portfolio_report_job(spark, f"{root}/merged", f"{root}/reports", unit=1e6)
+    return _first_row(read_published(spark, f"{root}/reports/pillar3_matrix", DAY, "csv"), 4)
+
+
+def property_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run_property_jobs(spark, sf_dir)
+    property_report_job(spark, f"{root}/enriched", f"{root}/reports")
+    return _first_row(read_published(spark, f"{root}/reports/pillar3_matrix", DAY, "csv"), 2)
+
+
+def _first_row(matrix: DataFrame, digits: int) -> DataFrame:
+    names = ("total", "band_le_100", "band_le_300", "band_gt_500", "label_a")
+    return matrix.where("row_no = 1").select(*[F.round(F.col(c).cast("double"), digits).alias(c) for c in names])
+
+
 def portfolio_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _converted(spark, sf_dir)
     portfolio_report_job(spark, f"{root}/merged", f"{root}/reports", unit=1e6)
@@ -159,20 +201,53 @@ def portfolio_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("row_no", "section", "item", F.round("amount", 4).alias("amount"))
 
 
-def portfolio_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Energy points of the layer job; the boundaries are the nations."""
+def _portfolio_layers(spark: SparkSession, sf_dir: str) -> str:
+    """The layer job on the converted portfolio; the boundaries are the nations, with a property more than is used."""
     root = _converted(spark, sf_dir)
     nations = table(spark, sf_dir, "nation").selectExpr(
         "concat('{\"features\":[{\"type\":\"Feature\",\"properties\":{\"LAD13CD\":\"E', n_nationkey, "
-        "'\",\"LAD13NM\":\"', n_name, '\"},\"geometry\":{\"type\":\"Point\",\"coordinates\":[0,0]}}]}') AS value"
+        "'\",\"LAD13CDO\":', n_nationkey, ',\"LAD13NM\":\"', if(n_nationkey = 7, 'Wiltshire', n_name), "
+        "'\"},\"geometry\":{\"type\":\"Point\",\"coordinates\":[0,0]}}]}') AS value"
     )
     nations.repartition(25).write.text(f"{root}/in/boundaries")
     portfolio_layers_job(spark, f"{root}/merged", f"{root}/in/boundaries", f"{root}/layers", DAY)
-    return read_published(spark, f"{root}/layers/energy").select(
+    return f"{root}/layers"
+
+
+def portfolio_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy points of the layer job."""
+    return read_published(spark, f"{_portfolio_layers(spark, sf_dir)}/energy").select(
         "id", "lat", "lon", "colour", "label", "detail.loan.currentloan", "detail.loan.ltv_percent"
     )
 
 
+def portfolio_layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that the layer job publishes but the boundaries, which are text, and the category counts,
+    whose number follows from the values of nine columns."""
+    layers = _portfolio_layers(spark, sf_dir)
+    names = published_tables(spark, layers, but=("boundaries", "category_counts"))
+    return row_counts({name: read_published(spark, f"{layers}/{name}", DAY) for name in names}, "layer")
+
+
+def property_layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _run_property_jobs(spark, sf_dir)
+    property_layers_job(spark, f"{root}/enriched", f"{root}/layers", DAY)
+    names = published_tables(spark, f"{root}/layers")
+    return row_counts({name: read_published(spark, f"{root}/layers/{name}", DAY) for name in names}, "layer")
+
+
+def portfolio_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published boundaries: the given properties and the counts, with the choropleth count of the council's name."""
+    layers = _portfolio_layers(spark, sf_dir)
+    fields = ("LAD13CD", "LAD13CDO", "LAD13NM", "House", "Flat", "Bungalow", "Maisonette")
+    features = read_boundaries(spark, f"{layers}/boundaries/dt={DAY}", fields, by_line=True)
+    counts = read_published(spark, f"{layers}/choropleth", DAY).select(F.col("LAD13CD").alias("code"), "count")
+    joined = features.join(counts, F.col("LAD13CD") == F.col("code"))
+    return joined.select(
+        "LAD13CD", "LAD13NM", *[F.col(c).cast("long").alias(c) for c in (fields[1], *fields[3:])], F.col("count").alias("properties")
+    )
+
+
 _ENRICHED = """enriched AS (
     SELECT *, substr('ABCDEFG', CAST(trunc(o_totalprice / 75000) AS INTEGER) + 1, 1) AS label,
            o_totalprice / 800 AS kwh
@@ -199,6 +274,16 @@ def _report_sql(book: str, source: str, capital: str, digits: int, labels: str)
     FROM range(1, 11) r(n), cells"""
 
 
+def _matrix_sql(book: str, source: str, capital: str, digits: int) -> str:
+    def total(condition: str) -> str:
+        return f"round(coalesce(sum({capital}) FILTER ({condition}), 0), {digits})"
+
+    return f"""WITH {book}, b AS (SELECT *, {_BANDS} AS band FROM {source})
+        SELECT {total("true")} AS total, {total("band = 'band_le_100'")} AS band_le_100,
+               {total("band = 'band_le_300'")} AS band_le_300, {total("band = 'band_gt_500'")} AS band_gt_500,
+               {total("label = 'A'")} AS label_a FROM b"""
+
+
 _LETTERS = "('A', 'B', 'C', 'D', 'E', 'F', 'G')"
 _STEPS = {
     "portfolio": "SELECT o_orderkey AS id, o_custkey AS uprn FROM orders",
@@ -217,6 +302,14 @@ QUERIES = {
     "job_portfolio_duplicates": portfolio_duplicates,
     "job_portfolio_report": portfolio_report,
     "job_portfolio_layers": portfolio_points,
+    "job_portfolio_merged_csv": portfolio_merged_csv,
+    "job_portfolio_duplicate_uprns": duplicate_uprns,
+    "job_portfolio_duplicate_uprn_ids": duplicate_uprn_ids,
+    "job_portfolio_matrix": portfolio_matrix,
+    "job_property_matrix": property_matrix,
+    "job_portfolio_layer_rows": portfolio_layer_rows,
+    "job_property_layer_rows": property_layer_rows,
+    "job_portfolio_boundaries": portfolio_boundaries,
 }
 
 SQL = {
@@ -252,4 +345,34 @@ SQL = {
                l_extendedprice AS currentloan,
                round(CASE WHEN l_linenumber <> 7 THEN l_discount END * 100, 4) AS ltv_percent
         FROM merged""",
+    "job_portfolio_merged_csv": f"""WITH {_MERGED.format(how="INNER")}
+        SELECT CASE WHEN o_orderkey % 3 = 0 THEN '00' ELSE '' END || o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS uprn,
+               CAST(o_totalprice AS VARCHAR) AS easting, '51.5' AS latitude, CAST(l_extendedprice AS VARCHAR) AS currentloan,
+               CASE WHEN l_linenumber = 7 THEN 'N/A' ELSE CAST(l_discount AS VARCHAR) END AS currentltv,
+               unnest(['csv', 'parquet']) AS fmt, '{DAY}' AS dt
+        FROM merged""",
+    "job_portfolio_duplicate_uprns": f"""WITH {_MERGED.format(how="LEFT")}
+        SELECT o_custkey AS uprn, count(*) AS count FROM merged GROUP BY 1 HAVING count(*) > 1""",
+    "job_portfolio_duplicate_uprn_ids": f"""WITH {_MERGED.format(how="LEFT")},
+        twice AS (SELECT o_custkey AS uprn, count(*) AS count FROM merged GROUP BY 1 HAVING count(*) > 1)
+        SELECT uprn, count, doc_id AS id FROM twice LEFT JOIN documents ON uprn = n_chars""",
+    "job_portfolio_matrix": _matrix_sql(_MERGED.format(how="LEFT"), "merged", "capital / 1e6", 4),
+    "job_property_matrix": _matrix_sql(_ENRICHED, "enriched", "l_extendedprice", 2),
+    "job_portfolio_layer_rows": f"""WITH {_MERGED.format(how="LEFT")}, n AS (SELECT count(*) AS n FROM merged)
+        SELECT unnest(['typed', 'energy', 'flood', 'index', 'heat', 'types', 'councils', 'environment']) AS layer, n AS rows FROM n
+        UNION ALL SELECT 'clusters', least(1, count(doc_id)) FROM merged
+        UNION ALL SELECT 'county_clusters', least(1, count(*)) FROM merged
+        UNION ALL SELECT 'choropleth', count(*) FROM nation
+        UNION ALL SELECT * FROM (VALUES ('legend_energy', 8), ('legend_flood', 7), ('legend_environment', 8))""",
+    "job_property_layer_rows": f"""WITH {_ENRICHED}
+        SELECT unnest(['energy', 'flood', 'index']) AS layer, count(*) AS rows FROM enriched
+        UNION ALL SELECT 'clusters', least(1, count(*)) FROM enriched
+        UNION ALL SELECT * FROM (VALUES ('legend_energy', 15), ('legend_flood', 6))""",
+    "job_portfolio_boundaries": f"""WITH {_MERGED.format(how="LEFT")},
+        c AS (SELECT o_custkey, count(*) AS n FROM merged GROUP BY 1)
+        SELECT 'E' || n_nationkey AS "LAD13CD", CASE WHEN n_nationkey = 7 THEN 'Wiltshire' ELSE n_name END AS "LAD13NM",
+               CAST(n_nationkey AS BIGINT) AS "LAD13CDO", coalesce(n, 0) AS "House", CAST(0 AS BIGINT) AS "Flat",
+               CAST(0 AS BIGINT) AS "Bungalow", CAST(0 AS BIGINT) AS "Maisonette",
+               CASE WHEN n_nationkey = 7 THEN (SELECT count(*) FROM merged) END AS properties
+        FROM nation LEFT JOIN c ON n_nationkey = o_custkey""",
 }

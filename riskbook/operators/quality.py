@@ -22,13 +22,32 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, first: str = "id", second: str = "uprn") -> DataFrame:
-    """Duplicates of the pair and of each single key from one scan, in no particular order.
+    """Duplicates of the pair and of each single key from one scan, in no particular order."""
+    return duplicates_of_pairs(pair_counts(df, first, second), first, second)
 
-    Rows are combined to pairs before their shuffle; the single keys are then counted from the pairs, combined once
-    more, so that neither all rows are sent three times nor the rows of a crowded key meet in one task.
+
+def pair_counts(df: DataFrame, first: str = "id", second: str = "uprn") -> DataFrame:
+    """Rows of each pair of keys as ``count``; missing keys are keys too."""
+    return df.groupBy(first, second).agg(F.count("*").alias("count"))
+
+
+def joined_pair_counts(
+    pairs: DataFrame, right: DataFrame, first: str = "id", second: str = "uprn"
+) -> DataFrame:
+    """The pair counts of a table after its left join with ``right`` by ``first``, without the join of their rows: the
+    rows of a pair times those of its key on the right, or once if there are none."""
+    times = right.where(F.col(first).isNotNull()).groupBy(F.col(first).alias("_first")).agg(F.count("*").alias("_times"))
+    joined = pairs.join(times, F.col(first) == F.col("_first"), "left")
+    return joined.select(first, second, (F.col("count") * F.coalesce("_times", F.lit(1))).alias("count"))
+
+
+def duplicates_of_pairs(pairs: DataFrame, first: str = "id", second: str = "uprn") -> DataFrame:
+    """What occurs more than once: pairs, and each single key.
+
+    The single keys are counted from the pairs, combined once more before their shuffle, so that neither all rows are
+    sent three times nor the rows of a crowded key meet in one task.
     """
-    pairs = df.groupBy(first, second).agg(F.count("*").alias("count"))
-    nothing = {c: F.lit(None).cast(df.schema[c].dataType).alias(c) for c in (first, second)}
+    nothing = {c: F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in (first, second)}
 
     def of(key: str, counts: DataFrame, *shown) -> DataFrame:
         return counts.where(F.col("count") > 1).select(F.lit(key).alias("key"), *shown, "count")

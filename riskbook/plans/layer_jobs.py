@@ -97,7 +97,7 @@ def portfolio_layers_job(spark: SparkSession, merged: str, boundaries_json: str,
 
     councils = read_boundaries(spark, boundaries_json)
     write_boundaries(boundary_property_counts(councils, book), f"{out}/boundaries/dt={run_date}")
-    publish(choropleth_counts(councils.drop("geometry"), book), f"{out}/choropleth", run_date)
+    publish(choropleth_counts(councils.drop("geometry", "properties"), book), f"{out}/choropleth", run_date)
     legends = {
         "legend_energy": legend(spark, EPC_COLOURS),
         "legend_flood": legend(spark, FLOOD_SCORE_COLOURS, FLOOD_SCORE_LABELS),

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskbook.functions.energy import initial_capital
-from riskbook.operators.merges import lower_columns, merge_portfolio, merge_scores, with_key
-from riskbook.operators.quality import counted, duplicate_keys, duplicate_members, duplicate_report
+from riskbook.operators.merges import lower_columns, merge_portfolio, with_key
+from riskbook.operators.quality import (
+    counted,
+    duplicate_keys,
+    duplicate_members,
+    duplicates_of_pairs,
+    joined_pair_counts,
+    pair_counts,
+)
 from riskbook.sources.publish import publish, read_published
 from riskbook.sources.readers import blank_to_null, read_raw_csv, typed_columns
 from riskbook.sources.schemas import PORTFOLIO_TYPES
@@ -19,6 +27,24 @@ def _landed(spark: SparkSession, path: str, staged: str, run_date: str, source:
     return read_published(spark, f"{staged}/{source}", run_date).drop("dt")
 
 
+def _number(text: str) -> Column:
+    """A whole number of up to 18 digits, whatever blanks or zeros surround it; null for anything else."""
+    trimmed = F.trim(F.col(text))
+    return F.when(trimmed.rlike(r"^[+-]?[0-9]{1,18}$"), trimmed.try_cast("bigint"))
+
+
+def _has_number_ids(df: DataFrame) -> bool:
+    return df.where(_number("id").isNull()).isEmpty()
+
+
+def _merged_by_number(portfolio: DataFrame, others: list[DataFrame], how: str) -> DataFrame:
+    """The merge on ids as numbers, with the portfolio's ids as they were written."""
+    keyed = with_key(portfolio.select(F.col("id").alias("_written"), "*").withColumn("id", _number("id")), "id")
+    numbered = [df.withColumn("id", _number("id")) for df in others]
+    merged = merge_portfolio(keyed, *numbered, how=how, salted=True)
+    return merged.withColumn("id", F.col("_written")).drop("_written")
+
+
 def portfolio_merge_job(
     spark: SparkSession,
     portfolio_csv: str,
@@ -30,13 +56,20 @@ def portfolio_merge_job(
     how: str = "inner",
 ) -> int:
     """Merges the three files by id and publishes the day as Parquet, CSV and JSON lines under ``merged``.
-    Returns the number of rows written."""
-    table = merge_portfolio(
-        _landed(spark, portfolio_csv, staged, run_date, "portfolio"),
-        _landed(spark, risk_scores_csv, staged, run_date, "risk_scores"),
-        _landed(spark, latlong_csv, staged, run_date, "latlong"),
-        how=how,
+    Returns the number of rows written.
+
+    The inner merge finds out types: if all ids of both other files are whole numbers, ids are compared as numbers, so
+    that ``007`` meets 7, and a portfolio id that is none meets nothing. The left merge compares texts as they are.
+    Either way the portfolio's id is published as it was written.
+    """
+    portfolio, *others = (
+        _landed(spark, path, staged, run_date, source)
+        for path, source in ((portfolio_csv, "portfolio"), (risk_scores_csv, "risk_scores"), (latlong_csv, "latlong"))
     )
+    if how == "inner" and all(map(_has_number_ids, others)):
+        table = _merged_by_number(portfolio, others, how)
+    else:
+        table = merge_portfolio(portfolio, *others, how=how, salted=True)
     table, seen = counted(table, "portfolio")
     publish(table, f"{merged}/parquet", run_date)
     stored = read_published(spark, f"{merged}/parquet", run_date).drop("dt")
@@ -64,10 +97,12 @@ def portfolio_conversion_job(
 
     table = read_published(spark, f"{merged}/parquet", run_date).drop("dt")
     keys = {source: stage(source).select("id", "uprn") for source in ("portfolio", "risk_scores", "latlong")}
-    scored = merge_scores(keys["portfolio"], keys["risk_scores"])
-    steps = {**keys, "portfolio_scored": scored, "portfolio_merged": table.select("id", "uprn")}
-    for step, df in steps.items():
-        publish(duplicate_report(df), f"{reports}/duplicates/step={step}", run_date, fmt="csv")
+    pairs = {source: pair_counts(df) for source, df in keys.items()}
+    # The join with the scores repeats a row as often as they hold its id; counts tell, no row is joined again.
+    pairs["portfolio_scored"] = joined_pair_counts(pairs["portfolio"], keys["risk_scores"])
+    pairs["portfolio_merged"] = pair_counts(table.select("id", "uprn"))
+    for step, counts in pairs.items():
+        publish(duplicates_of_pairs(counts), f"{reports}/duplicates/step={step}", run_date, fmt="csv")
 
     publish(duplicate_keys(table, ["uprn"]), f"{reports}/duplicate_uprns", run_date, fmt="csv")
     members = duplicate_members(table, "uprn", "id", members_of=keys["latlong"])

@@ -44,14 +44,34 @@ def publish(
     )
 
 
+def published_tables(spark: SparkSession, base: str, but: tuple[str, ...] = ()) -> list[str]:
+    """Names of the tables published side by side under a folder, without some."""
+    files, path = _folder(spark, base)
+    names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+    return sorted(n for n in names if n not in but)
+
+
 def published_days(spark: SparkSession, base: str) -> list[str]:
     """Days found under a published table, oldest first. Lists one directory; no file is opened."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, path = _folder(spark, base)
     names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
     return sorted(m.group(1) for m in map(DAY.fullmatch, names) if m)
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path in its Hadoop file system, and that file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def newest_day(spark: SparkSession, base: str) -> str:
+    """The newest day of a published table, whether or not it has rows."""
+    days = published_days(spark, base)
+    if not days:
+        raise FileNotFoundError(f"nothing is published under {base}")
+    return days[-1]
+
+
 def read_published(
     spark: SparkSession,
     base: str,
@@ -59,12 +79,9 @@ def read_published(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """All files of one published day, by default the newest, with the day in ``dt``."""
-    if run_date is None:
-        days = published_days(spark, base)
-        if not days:
-            raise FileNotFoundError(f"nothing is published under {base}")
-        run_date = days[-1]
+    """All files of one published day, by default the newest, with the day in ``dt``. Give JSON lines a schema: they
+    leave out nulls, so a column without values cannot be found in them, and finding the others takes a scan."""
+    run_date = newest_day(spark, base) if run_date is None else run_date
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
@@ -72,10 +89,13 @@ def read_published(
 
 
 def write_rejects(rejects: DataFrame, base: str, run_date: str, source: str) -> bool:
-    """Writes the rejected rows of a source as CSV under ``base/dt=<run_date>/source=<source>``, if there are any."""
+    """Writes the rejected rows of a source as CSV under ``base/dt=<run_date>/source=<source>``, if there are any. Rejects
+    of an earlier run of that day and source do not outlive it."""
+    target = f"{base}/dt={_checked_day(run_date)}/source={source}"
     if rejects.isEmpty():
+        files, folder = _folder(rejects.sparkSession, target)
+        files.delete(folder, True)
         return False
-    target = f"{base}/dt={_checked_day(run_date)}/source={source}"
     rejects.write.mode("overwrite").option("header", True).csv(target)
     return True
 
@@ -86,11 +106,15 @@ def reject_summary(rejects_by_source: dict[str, DataFrame]) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder of this machine."""
+    """A new folder name under the shared folder the cluster names in ``spark.checkpoint.dir``; what is written there is
+    removed when the application ends. Only a local session without that setting falls back to a temporary folder of
+    this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir names no shared folder for intermediate tables")
         shared = tempfile.mkdtemp(prefix="riskbook-")
-    return f"{shared.rstrip('/')}/riskbook/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/riskbook/{name}-{uuid.uuid4().hex}"
+    files, folder = _folder(spark, path)
+    files.deleteOnExit(folder)
+    return path

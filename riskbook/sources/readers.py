@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,10 @@ NO_DATA_SPELLINGS = ("NODATA!", "NO DATA!")
 
 
 def _csv(spark: SparkSession, header: bool):
-    return spark.read.option("header", header).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    """With a header, a schema has to name the columns as the file does: other names or another order are an error,
+    not values in the wrong columns."""
+    reader = spark.read.option("header", header).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    return reader.option("enforceSchema", not header)
 
 
 def read_validated_csv(
@@ -86,11 +89,37 @@ def blank_to_null(
     return df.withColumns({c: F.when(~v.isin(*spellings), v) for c, v in values.items()})
 
 
-def typed_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Text columns cast to the given types where they exist; a value that does not fit becomes null."""
+def _as_type(text: Column, kind: str) -> Column:
+    """Text as a value of a type, null if it is none. Whole numbers may be written with decimals (``67.0``, ``6.7e1``)."""
+    if kind not in ("int", "bigint"):
+        return text.try_cast(kind)
+    exact = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+
+
+def _present(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:
     present = {c.lower(): c for c in df.columns}
-    wanted = {present[name.lower()]: kind for name, kind in types.items() if name.lower() in present}
-    return df.withColumns({c: F.col(f"`{c}`").try_cast(kind) for c, kind in wanted.items()})
+    return {present[name.lower()]: kind for name, kind in types.items() if name.lower() in present}
+
+
+def typed_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Text columns cast to the given types where they exist; a value that does not fit becomes null (see
+    :func:`lost_values`)."""
+    wanted = _present(df, types)
+    return df.withColumns({c: _as_type(F.col(f"`{c}`"), kind) for c, kind in wanted.items()})
+
+
+def lost_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """For each column that :func:`typed_columns` casts, how many values it has and how many of them are lost."""
+    wanted = _present(df, types)
+    entries = []
+    for c, kind in wanted.items():
+        text = F.col(f"`{c}`")
+        lost = F.count(F.when(text.isNotNull() & _as_type(text, kind).isNull(), 1))
+        entries.append(F.struct(F.lit(c).alias("column"), F.count(text).alias("values"), lost.alias("lost")))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, values long, lost long")
+    return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
 
 
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:

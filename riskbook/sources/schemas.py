@@ -63,7 +63,8 @@ ENRICHED_LOAN_BOOK = T.StructType(
     PROPERTY.fields + _after_key(ENERGY_RATING) + _after_key(FLOOD_INDEX) + _after_key(LOAN_BOOK)
 )
 
-# Portfolio columns that are computed with, in lower case; all others stay text.
+# Portfolio columns that are computed with, in lower case; all others stay text. Scores and efficiencies
+# are mostly whole, but files that went through a data frame with gaps write them with decimals, and fractions occur.
 PORTFOLIO_TYPES = {
     "uprn": "bigint",
     "easting": "double",
@@ -72,21 +73,21 @@ PORTFOLIO_TYPES = {
     "longitude": "double",
     "currentloan": "double",
     "currentltv": "double",
-    "current_energy_efficiency": "int",
-    "potential_energy_efficiency": "int",
+    "current_energy_efficiency": "double",
+    "potential_energy_efficiency": "double",
     "energy_consumption_current": "double",
     "energy_consumption_potential": "double",
     "co2_emissions_current": "double",
     "co2_emissions_potential": "double",
-    "environment_impact_current": "int",
-    "environment_impact_potential": "int",
-    "rhighscore": "int",
-    "rhighscore_adj": "int",
-    "chighscore": "int",
-    "chighscore_adj": "int",
-    "swhighscore": "int",
-    "swhighscore_adj": "int",
-    "gwhighscore": "int",
+    "environment_impact_current": "double",
+    "environment_impact_potential": "double",
+    "rhighscore": "double",
+    "rhighscore_adj": "double",
+    "chighscore": "double",
+    "chighscore_adj": "double",
+    "swhighscore": "double",
+    "swhighscore_adj": "double",
+    "gwhighscore": "double",
     "combinedscore": "double",
     "combinedscore_adj": "double",
 }

@@ -48,7 +48,7 @@ def boundary_file(tmp_path_factory):
 def test_boundary_counts(spark, portfolio, boundary_file, tmp_path):
     boundaries = read_boundaries(spark, boundary_file)
     counts = councils.boundary_property_counts(boundaries, portfolio)
-    assert rows(counts.drop("geometry")) == Counter([
+    assert rows(counts.drop("geometry", "properties")) == Counter([
         ("E1", "Camden", 2, 1, 0, 0), ("E2", "Wiltshire", 0, 0, 0, 0), ("E3", "Tower Hamlets", 0, 0, 0, 0),
     ])
     out = str(tmp_path / "out")
@@ -56,6 +56,10 @@ def test_boundary_counts(spark, portfolio, boundary_file, tmp_path):
     back = read_boundaries(spark, out, ("LAD13CD", "House", "Flat"), by_line=True).orderBy("LAD13CD").collect()
     counted = [(r["LAD13CD"], r["House"], r["Flat"]) for r in back]
     assert counted == [("E1", "2", "1"), ("E2", "0", "0"), ("E3", "0", "0")]
+    # All given properties are still there, with their types, and the counts beside them.
+    assert json.loads(back[0]["properties"]) == {
+        "LAD13CD": "E1", "LAD13NM": "Camden", "size": 3, "House": 2, "Flat": 1, "Bungalow": 0, "Maisonette": 0,
+    }
     assert json.loads(back[0]["geometry"]) == {"type": "Polygon", "coordinates": [[[0.5, 1], [2, 3]]]}
 
 
@@ -63,7 +67,7 @@ def test_council_and_choropleth_counts(spark, portfolio, boundary_file):
     assert rows(councils.council_counts(portfolio)) == Counter([
         ("Camden", "E1", "c1", 2), ("Camden", "E1", "c2", 2), ("Wiltshire", "E2", "c3", 1), ("Leeds", "E9", "c4", 1),
     ])
-    boundaries = read_boundaries(spark, boundary_file).drop("geometry")
+    boundaries = read_boundaries(spark, boundary_file).drop("geometry", "properties")
     assert rows(councils.choropleth_counts(boundaries, portfolio)) == Counter([
         ("E1", "Camden", 4), ("E2", "Wiltshire", 1), ("E3", "Tower Hamlets", None),
     ])

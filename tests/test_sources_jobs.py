@@ -39,11 +39,21 @@ def test_land_csv_sorts_out_bad_lines(spark, tmp_path):
     base = str(tmp_path / "rejected")
     assert publish.write_rejects(rejects, base, DAY, "energy_rating")
     assert not publish.write_rejects(rejects.limit(0), base, DAY, "ecad")
+    # Rejects of an earlier run go when a mended file has none.
+    assert publish.write_rejects(rejects, base, DAY, "mended")
+    assert not publish.write_rejects(rejects.limit(0), base, DAY, "mended")
     assert os.listdir(f"{base}/dt={DAY}") == ["source=energy_rating"]
     summary = publish.reject_summary({"energy_rating": rejects, "ecad": rejects.limit(0)})
     assert rows(summary) == Counter([("energy_rating", 4), ("ecad", 0)])
 
 
+def test_header_in_another_order_is_an_error(spark, tmp_path):
+    path = tmp_path / "energy.csv"
+    path.write_text("ecad_id,ber_rating,co2_emission,ber_rating_kwh\n1,A1,20.5,3\n")
+    with pytest.raises(Exception, match="header"):
+        readers.land_csv(spark, str(path), schemas.ENERGY_RATING, str(tmp_path / "staged"))
+
+
 def test_header_only_file(spark, tmp_path):
     source = energy_file(tmp_path / "energy.csv", [])
     valid, rejects = readers.land_csv(spark, source, schemas.ENERGY_RATING, str(tmp_path / "staged"))
@@ -82,6 +92,15 @@ def test_text_columns(spark):
     assert rows(plain.select("t")) == Counter([(" N/A ",), ("NODATA!",), ("Good ",), (None,)])
     spellings = readers.MISSING_SPELLINGS + readers.NO_DATA_SPELLINGS
     trimmed = readers.blank_to_null(df, spellings=spellings, trim=True)
+    numbers = spark.createDataFrame(
+        [("67",), ("67.0",), ("6.7e1",), ("45.5",), ("",), ("x",), ("148000000000.0",), ("9223372036854775807",)], "u string"
+    )
+    types = {"u": "bigint"}
+    assert rows(readers.typed_columns(numbers, types)) == Counter(
+        {(67,): 3, (None,): 3, (148000000000,): 1, (9223372036854775807,): 1}
+    )
+    assert rows(readers.lost_values(readers.blank_to_null(numbers), types)) == Counter([("u", 7, 2)])
+    assert readers.lost_values(numbers, {"absent": "int"}).count() == 0
     clean = readers.typed_columns(trimmed, {"ID": "int", "n": "double", "absent": "int"})
     assert rows(clean) == Counter([(1, None, 10.0), (2, None, None), (3, "Good", None), (4, None, 100.0)])
     typed = readers.typed_columns(df, {"id": "int"})
@@ -140,6 +159,43 @@ def test_property_jobs(spark, tmp_path):
     assert with_loans == 1
 
 
+def test_reports_of_an_empty_day(spark, tmp_path):
+    book = spark.createDataFrame([], schemas.ENRICHED_LOAN_BOOK)
+    publish.publish(book, f"{tmp_path}/enriched", DAY)
+    property_report_job(spark, f"{tmp_path}/enriched", f"{tmp_path}/reports")
+    assert publish.read_published(spark, f"{tmp_path}/reports/pillar3_matrix", DAY, "csv").count() == 10
+
+
+def test_inner_merge_compares_numbers(spark, tmp_path):
+    from riskbook.plans.portfolio_jobs import portfolio_merge_job
+
+    def portfolio_file(name, lines):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    latlong = portfolio_file("l.csv", ["ID,UPRN,EASTING,NORTHING,LATITUDE,LONGITUDE", "7,1,0,0,51.5,-2.5", "8,1,0,0,52,-2"])
+    portfolio = portfolio_file("p.csv", ["ID,UPRN,EASTING", "007,100,5", " 8,100,6", "x,300,7"])
+    for scores, ids in ((["7,1,9", "8,1,9"], {"007", " 8"}), (["7,1,9", "x,1,9"], set())):
+        path = portfolio_file("s.csv", ["ID,UPRN,SCORE", *scores])
+        out = f"{tmp_path}/{len(ids)}"
+        assert portfolio_merge_job(spark, portfolio, path, latlong, f"{out}/m", f"{out}/s", DAY) == len(ids)
+        got = publish.read_published(spark, f"{out}/m/parquet").select("id").collect()
+        assert {r["id"] for r in got} == ids
+
+
+def test_golden_duplicates(spark):
+    """The shape of a known pair of lists: 26 property numbers twice and 3 three times, 61 ids behind them."""
+    from riskbook.operators.quality import duplicate_keys, duplicate_members, duplicate_report
+
+    uprns = [u for u in range(26) for _ in range(2)] + [u for u in range(26, 29) for _ in range(3)] + list(range(29, 60))
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(uprns)], "id int, uprn int")
+    assert Counter(r["count"] for r in duplicate_keys(df, ["uprn"]).collect()) == {2: 26, 3: 3}
+    members = duplicate_members(df)
+    assert members.count() == 61
+    assert Counter(Counter(r["uprn"] for r in members.collect()).values()) == {2: 26, 3: 3}
+    assert Counter(r["key"] for r in duplicate_report(df).collect()) == {"uprn": 29}
+
+
 def test_command_line(spark, tmp_path, capsys):
     from riskbook.__main__ import main
 
