@@ -100,15 +100,20 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask).cast("long")
+
+
 def _keys(fp: Column, distance: int) -> Column:
-    """The keys of a fingerprint: for each bit its segment without that bit, and which bit it is."""
+    """The keys of a fingerprint: for each bit its segment without that bit, and which bit it is. A segment that leaves
+    no room for the number is hashed with it; what shares a key is compared anyway."""
     keys = []
     for start, length in _segments(distance):
-        segment = F.shiftrightunsigned(fp, start).bitwiseAND(F.lit((1 << length) - 1).cast("long"))
+        segment = F.shiftrightunsigned(fp, start).bitwiseAND(_signed((1 << length) - 1))
         for bit in range(length):
-            left = segment.bitwiseAND(F.lit(((1 << length) - 1) ^ (1 << bit)).cast("long"))
-            # A segment of all 64 bits is told apart by its own value; shorter ones leave room for the number.
-            keys.append(F.shiftleft(left, 6).bitwiseOR(F.lit(start + bit).cast("long")) if length <= 58 else left)
+            left, number = segment.bitwiseAND(_signed(((1 << length) - 1) ^ (1 << bit))), F.lit(start + bit)
+            wide = length + 6 >= BITS
+            keys.append(F.xxhash64(left, number) if wide else F.shiftleft(left, 6).bitwiseOR(number.cast("long")))
     return F.array(*keys)
 
 
