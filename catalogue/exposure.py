@@ -17,6 +17,7 @@ from riskbook.operators.report import (
     pillar3_long,
     pillar3_matrix,
     total_exposure,
+    with_headings,
 )
 
 LABELS = ("A", "N")
@@ -73,6 +74,10 @@ def long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tall.withColumn("amount", F.round("amount", 4))
 
 
+def headed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_headings(long(spark, sf_dir)).drop("sector")
+
+
 _BAND = """CASE WHEN kwh <= 100 THEN '0; <= 100' WHEN kwh <= 200 THEN '> 100; <= 200'
     WHEN kwh <= 300 THEN '> 200; <= 300' WHEN kwh <= 400 THEN '> 300; <= 400'
     WHEN kwh <= 500 THEN '> 400; <= 500' ELSE '> 500' END"""
@@ -107,6 +112,7 @@ QUERIES = {
     "initial_capital": capital,
     "pillar3_long": long,
     "pillar3_matrix": matrix,
+    "pillar3_headed": headed,
 }
 
 SQL = {
@@ -130,4 +136,12 @@ SQL = {
         for i in _ITEMS
     )
     + " FROM template, cells GROUP BY row_no, sector",
+    "pillar3_headed": f"""WITH {_CELLS}
+        SELECT CAST(row_no AS INTEGER) AS row_no, section, item, text,
+               CASE WHEN row_no IN (1, 3) THEN round(amount, 4) ELSE 0 END AS amount,
+               'Total gross carrying amount (in MEUR)' AS heading,
+               CASE section WHEN 'band' THEN 'Level of energy efficiency (EP score in kWh/m² of collateral)'
+                   WHEN 'label' THEN 'Level of energy efficiency (EPC label of collateral)'
+                   WHEN 'unlabelled' THEN 'Without EPC label of collateral' END AS group_heading
+        FROM range(1, 11) r(row_no), cells""",
 }

@@ -55,16 +55,16 @@ def property_layers(df: DataFrame) -> dict[str, DataFrame]:
 
 def portfolio_layers(df: DataFrame) -> dict[str, DataFrame]:
     where = ("uprn", "latitude", "longitude")
-    flood = details.portfolio_flood_detail()
     return {
         "energy": layers.energy_layer(
             df, *where, "current_energy_rating", EPC_COLOURS, details.portfolio_energy_detail()
         ),
-        "flood": layers.flood_score_layer(df, *where, detail=flood),
+        "flood": layers.flood_score_layer(df, *where, detail=details.portfolio_flood_detail()),
         "index": layers.index_layer(df, *where, details.portfolio_index_detail()),
         "heat": layers.heat_layer(df, where[1], where[2]),
-        "types": layers.type_layer(df, *where, detail=flood),
-        "councils": layers.council_layer(df, *where, detail=flood),
+        # Points of the flood layer by type and by council; their details are there, by id.
+        "types": layers.type_layer(df, *where),
+        "councils": layers.council_layer(df, *where),
         "environment": layers.environment_layer(df, *where, detail=details.portfolio_environment_detail()),
         "county_clusters": county_clusters(df),
         "clusters": grid_clusters(df, 10),
