@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.llm import byte_bpe, mixing, pseudonyms, quality_rules, simhash
+from riskbook.llm.common import ship_package
 from riskbook.llm.queries import DISTANCE, KEY, POLICY, RANKS_50K, SHINGLE
 from riskbook.sources.publish import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the policy."""
+    ship_package(spark)
     return quality_rules.kept(docs, POLICY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    ship_package(spark)
     return simhash.one_of_each(docs, SHINGLE, DISTANCE)
 
 
@@ -41,6 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The id, the number of tokens and the token ids of each document of the mix."""
+    ship_package(spark)
     return byte_bpe.encode(docs, public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN)
 
 

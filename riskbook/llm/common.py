@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import riskbook
 from riskbook.sources.publish import scratch_path
 
 # What the operators call a word, as a regular expression that Java, RE2 and Python read alike.
@@ -18,6 +22,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 PORTION = 4 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the application, once. Without it they need the package on their own
+    path, as with ``--py-files``; a package that was loaded from such an archive is there already."""
+    root, application = Path(riskbook.__file__).parent, spark.sparkContext.applicationId
+    if application in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="riskbook-")) / "riskbook.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
+
+
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes a table to the shared scratch folder and reads it back, which cuts its lineage."""
     path = scratch_path(df.sparkSession, name)

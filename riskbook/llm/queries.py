@@ -18,6 +18,7 @@ from riskbook.llm import (
     token_files,
     toxicity,
 )
+from riskbook.llm.common import ship_package
 from riskbook.sources.publish import scratch_path
 
 JSON_50K = "byte_bpe_50k.json"
@@ -34,6 +35,7 @@ KEY = "not a secret"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
