@@ -69,13 +69,14 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
     """The bits of a block of ids, and the bit offset of each ``every``-th id."""
-    sizes = lengths[ids].astype(np.int64)
-    ends = np.cumsum(sizes)
+    sizes = lengths[ids]
+    ends = np.cumsum(sizes, dtype=np.int64)
     starts = ends - sizes
     if not len(ids):
         return b"", starts
     # A code at any offset touches two 32-bit words; codes that begin in the same word are joined by one reduction.
-    shifted = codes[ids] << (64 - sizes - (starts & 31)).astype(np.uint64)
+    left = codes << (64 - lengths.astype(np.int64)).clip(max=63).astype(np.uint64)
+    shifted = left[ids] >> (starts & 31).astype(np.uint64)
     word = starts >> 5
     first = np.flatnonzero(np.diff(word, prepend=-1))
     words = np.zeros(int(ends[-1] >> 5) + 2, dtype=np.uint32)

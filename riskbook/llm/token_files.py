@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.llm import huffman, pretokens
-from riskbook.llm.common import shared_file, stored
+from riskbook.llm.common import portions, shared_file, stored
 
 BLOCK_IDS = 1 << 20
 CHECKPOINT = 256
-TEXTS_PER_CALL = 16 << 20
 
 
 def _encoded_blocks(df: DataFrame, file, id_col: str, text: str, end_id: int) -> DataFrame:
@@ -41,17 +40,20 @@ def _encoded_blocks(df: DataFrame, file, id_col: str, text: str, end_id: int) ->
 
     def run(batches):
         splitter = pretokens.load(file.value)
+        vocabulary = max(splitter.vocabulary, end_id + 1)
         end = np.array([end_id], dtype=splitter.width).tobytes()
         width = len(end)
         part, block, at = TaskContext.get().partitionId(), 0, 0
         keys, sizes, held = [], [], []
 
         def made():
-            count = sum(sizes)
-            row = {"part": part, "block": block, "at": at, "n_ids": count, "ids": keys, "sizes": sizes, "data": b"".join(held)}
-            return pa.RecordBatch.from_pylist([row], schema=schema), count
+            data = b"".join(held)
+            seen = np.bincount(np.frombuffer(data, splitter.width), minlength=vocabulary).astype("<i4").tobytes()
+            values = [part, block, at, sum(sizes), keys, sizes, data, seen]
+            arrays = [pa.array([value], field.type) for value, field in zip(values, schema)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema), sum(sizes)
 
-        for keys_of, texts in _by_bytes(batches):
+        for keys_of, texts in _portions(batches):
             for key, ids in zip(keys_of, splitter.ids(texts)):
                 size = len(ids) // width + 1
                 if keys and sum(sizes) + size > BLOCK_IDS:
@@ -65,36 +67,34 @@ def _encoded_blocks(df: DataFrame, file, id_col: str, text: str, end_id: int) ->
             yield made()[0]
 
     fields = [("part", pa.int32()), ("block", pa.int32()), ("at", pa.int64()), ("n_ids", pa.int64())]
-    schema = pa.schema([*fields, ("ids", pa.list_(key_type)), ("sizes", pa.list_(pa.int64())), ("data", pa.binary())])
+    lists = [("ids", pa.list_(key_type)), ("sizes", pa.list_(pa.int64()))]
+    schema = pa.schema([*fields, *lists, ("data", pa.binary()), ("seen", pa.binary())])
     return ordered.mapInArrow(
-        run, f"part int, block int, at long, n_ids long, ids array<{id_type}>, sizes array<long>, data binary"
+        run,
+        f"part int, block int, at long, n_ids long, ids array<{id_type}>, sizes array<long>, data binary, seen binary",
     )
 
 
-def _by_bytes(batches):
-    """Keys and texts of Arrow batches, in portions of bounded text."""
+def _portions(batches):
+    """Keys and texts of Arrow batches, a bounded amount of text at a time."""
     for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        start, held = 0, 0
-        for i, text in enumerate(texts):
-            held += len(text or "")
-            if held >= TEXTS_PER_CALL or i == len(texts) - 1:
-                yield keys[start : i + 1], texts[start : i + 1]
-                start, held = i + 1, 0
+        for start, length in portions(batch.column(1)):
+            part = batch.slice(start, length)
+            yield part.column(0).to_pylist(), part.column(1)
 
 
-def _id_counts(blocks: DataFrame, width: str, vocabulary: int) -> np.ndarray:
+def _id_counts(blocks: DataFrame, vocabulary: int) -> np.ndarray:
     """How often each id occurs; no more rows than the vocabulary has reach the driver or leave a task."""
 
     def run(batches):
         counts = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for data in batch.column(0):
-                counts += np.bincount(np.frombuffer(data.as_py(), width), minlength=vocabulary)
+            for seen in batch.column(0):
+                counts += np.frombuffer(seen.as_py(), "<i4")
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["id", "n"])
 
-    got = blocks.select("data").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    got = blocks.select("seen").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(vocabulary, dtype=np.int64)
     counts[got["id"].to_numpy()] = got["n"].to_numpy()
     return counts
@@ -108,8 +108,8 @@ def write_token_files(
     file = shared_file(spark, tokenizer_path)
     splitter = pretokens.load(file.value)
     width, vocabulary = splitter.width, max(splitter.vocabulary, end_id + 1)
-    blocks = stored(_encoded_blocks(df, file, id_col, text, end_id), "token-ids")
-    lengths = huffman.code_lengths(_id_counts(blocks, width, vocabulary))
+    blocks = stored(_encoded_blocks(df, file, id_col, text, end_id), "token-ids", "snappy")
+    lengths = huffman.code_lengths(_id_counts(blocks, vocabulary))
     codes = huffman.canonical_codes(lengths)
     # One number per partition.
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").toArrow()
@@ -134,7 +134,7 @@ def write_token_files(
         f"part int, block int, first long, n_ids long, ids array<{id_type}>, sizes array<long>, "
         "checkpoints array<long>, bits binary"
     )
-    blocks.mapInArrow(run, schema).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    blocks.drop("seen").mapInArrow(run, schema).write.option("compression", "snappy").parquet(f"{path}/blocks")
     book_rows = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book_rows, "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
 
