@@ -145,7 +145,7 @@ def mixture(
 ) -> DataFrame:
     """One row per row of ``df``: the id, ``size`` in words, ``source_size``, ``target`` of its source and ``taken``."""
     slim = stored(_slim(df, text, id_col, source, seed), "mix")
-    found = _joined(slim, _borders(slim, weights, share, most))
+    found = _joined(slim, stored(_borders(slim, weights, share, most), "borders"))
     return found.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
 
 
@@ -163,7 +163,8 @@ def mixed_rows(
     one that is taken in part counts if at least half of it is."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     slim = stored(_slim(df, text, id_col, source, seed), "mix")
-    borders = _borders(slim, weights, share, most)
+    # Stored, so that its size is known when the join is planned: rows with their texts need not move for it.
+    borders = stored(_borders(slim, weights, share, most), "borders")
     found = _joined(_slim(df, text, id_col, source, seed, row), borders).where("size > 0")
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     return found.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
