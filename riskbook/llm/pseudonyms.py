@@ -29,6 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskbook.functions.common import let
+
 ROUNDS = 8
 # A hash gives 16 symbols of four hex digits; two hashes serve the longest half, that of a 64-character address.
 HASHES = 2
@@ -44,6 +46,7 @@ PHONE = (
     r"|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!-?\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?!-?\w)"
 )
 CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|\d{4}([ -])\d{6}\4\d{5})(?!-?\w)"
+# One after the other; the groups that the patterns refer to are numbered through all of them.
 ANY = "|".join([EMAIL, IBAN, IP, DATE, SSN, PHONE, CARD])
 
 # A Gregorian cycle of 400 years has 146,097 = 189 x 773 days.
@@ -51,18 +54,13 @@ CYCLE_YEARS, CYCLE_FACTORS = 400, (189, 773)
 FIRST_CYCLE = 1700
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _permuted(values: Column, ranges: Column, tweak: Column, key: str) -> Column:
     """The values after the Feistel rounds; each value is below its range before and after."""
 
     def mixed(state: Column, round_no: Column) -> Column:
         other = F.array_join(F.transform(state.b, lambda x: x.cast("string")), ",")
         said = F.concat_ws(",", F.lit(key), state.tweak, round_no.cast("string"), other)
-        noise = _let(said, lambda x: F.concat(*[F.sha2(F.concat(x, F.lit(f"#{k}")), 256) for k in range(HASHES)]))
+        noise = let(said, lambda x: F.concat(*[F.sha2(F.concat(x, F.lit(f"#{k}")), 256) for k in range(HASHES)]))
 
         def moved(hashed: Column) -> Column:
             def one(x: Column, i: Column) -> Column:
@@ -73,7 +71,7 @@ def _permuted(values: Column, ranges: Column, tweak: Column, key: str) -> Column
 
         return F.struct(
             state.b.alias("a"),
-            _let(noise, moved).alias("b"),
+            let(noise, moved).alias("b"),
             state.rb.alias("ra"),
             state.ra.alias("rb"),
             state.tweak.alias("tweak"),
@@ -91,7 +89,7 @@ def _permuted(values: Column, ranges: Column, tweak: Column, key: str) -> Column
         )
         return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, mixed, lambda done: F.concat(done.a, done.b))
 
-    return _let(F.struct(values.alias("v"), ranges.alias("r"), tweak.alias("t")), rounds)
+    return let(F.struct(values.alias("v"), ranges.alias("r"), tweak.alias("t")), rounds)
 
 
 def _chars(text: Column) -> Column:
@@ -102,7 +100,7 @@ def _put(chars: Column, new: Column, symbol: Callable[[Column], Column]) -> Colu
     """A text whose symbols are replaced by those of ``new``, one after the other."""
 
     def put(state: Column, c: Column) -> Column:
-        return _let(
+        return let(
             symbol(c),
             lambda is_symbol: F.struct(
                 F.concat(state.s, F.when(is_symbol, F.get(state.new, state.k)).otherwise(c)).alias("s"),
@@ -141,9 +139,9 @@ def _permuted_chars(text: Column, tweak: str, key: str) -> Column:
             letters = F.zip_with(new, specs, lambda v, x: F.chr(v + x.low))
             return _put(chars, letters, _symbol)
 
-        return _let(F.transform(F.filter(chars, _symbol), spec), permuted)
+        return let(F.transform(F.filter(chars, _symbol), spec), permuted)
 
-    return _let(_chars(text), of)
+    return let(_chars(text), of)
 
 
 def _email(value: Column, key: str) -> Column:
@@ -170,7 +168,7 @@ def _iban(value: Column, key: str) -> Column:
         check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
         return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
 
-    made = _let(_permuted_chars(account, "iban", key), made_of)
+    made = let(_permuted_chars(account, "iban", key), made_of)
     valid = _mod97(F.concat(account, F.substr(value, F.lit(1), F.lit(4)))) == 1
     return F.when(valid, made).otherwise(value)
 
@@ -185,7 +183,7 @@ def _ip(value: Column, key: str) -> Column:
         made = F.array_join(F.transform(new, lambda x: x.cast("string")), ".")
         return F.when(F.forall(octets, lambda x: x <= 255), made).otherwise(value)
 
-    return _let(_numbers(value, r"\."), of)
+    return let(_numbers(value, r"\."), of)
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -201,9 +199,9 @@ def _ssn(value: Column, key: str) -> Column:
             new_area = first + F.when(first >= 665, 2).otherwise(1)
             return F.format_string("%03d-%02d-%04d", new_area, F.get(x, F.lit(1)) + 1, F.get(x, F.lit(2)) + 1)
 
-        return F.when(valid, _let(new, made)).otherwise(value)
+        return F.when(valid, let(new, made)).otherwise(value)
 
-    return _let(_numbers(value, "-"), of)
+    return let(_numbers(value, "-"), of)
 
 
 def _date(value: Column, key: str) -> Column:
@@ -217,7 +215,7 @@ def _date(value: Column, key: str) -> Column:
         month = F.when(x.month_first, at[0]).otherwise(at[1])
         day = F.when(x.year_first, at[2]).when(x.month_first, at[1]).otherwise(at[0])
         parts = F.struct(x.alias("x"), year.alias("year"), month.alias("month"), day.alias("day"))
-        return _let(parts, checked)
+        return let(parts, checked)
 
     def checked(p: Column) -> Column:
         first = F.make_date(F.greatest(p.year, F.lit(1)), F.greatest(F.least(p.month, F.lit(12)), F.lit(1)), F.lit(1))
@@ -233,8 +231,8 @@ def _date(value: Column, key: str) -> Column:
         values = F.array(F.floor(number / inner).cast("int"), F.pmod(number, F.lit(inner)).cast("int"))
         tweak = F.concat_ws(" ", F.lit("date"), cycles.cast("string"))
         new = _permuted(values, F.array(F.lit(outer), F.lit(inner)), tweak, key)
-        day = _let(new, lambda v: F.date_add(begin, F.get(v, F.lit(0)) * inner + F.get(v, F.lit(1))))
-        return _let(F.struct(day.alias("day"), cycles.alias("cycles"), p.x.alias("x")), written)
+        day = let(new, lambda v: F.date_add(begin, F.get(v, F.lit(0)) * inner + F.get(v, F.lit(1))))
+        return let(F.struct(day.alias("day"), cycles.alias("cycles"), p.x.alias("x")), written)
 
     def written(d: Column) -> Column:
         # A value that has a number of one digit has no leading zeros.
@@ -257,14 +255,14 @@ def _date(value: Column, key: str) -> Column:
     words = F.split(value, "[-/.]")
     year_first = F.length(F.get(words, F.lit(0))) == 4
     month_first = ~year_first & (mark == "/")
-    return _let(F.struct(words.alias("words"), year_first.alias("year_first"), month_first.alias("month_first")), of)
+    return let(F.struct(words.alias("words"), year_first.alias("year_first"), month_first.alias("month_first")), of)
 
 
 def _phone(value: Column, key: str) -> Column:
     digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
     # The country code, as far as the form tells: up to the first mark, else 1 or two digits.
     country = F.regexp_extract(value, r"^\+(?:1(?=[^0-9])|\d{1,3}(?=[^0-9])|1|\d{2})", 0)
-    made = _let(
+    made = let(
         country, lambda c: F.concat(c, _permuted_chars(F.substr(value, F.length(c) + 1), "phone", key))
     )
     return F.when(~value.startswith("+") | digits.between(8, 15), made).otherwise(value)
@@ -285,14 +283,14 @@ def _card(value: Column, key: str) -> Column:
         tweak = F.concat_ws(" ", F.lit("card"), n.cast("string"))
         new = _permuted(inner, F.array_repeat(F.lit(10), n - 2), tweak, key)
         new_body = F.concat(F.slice(digits, F.lit(1), F.lit(1)), F.transform(new, lambda x: x.cast("string")))
-        made = _let(
+        made = let(
             new_body,
             lambda b: _put(_chars(value), F.concat(b, F.array(_check_digit(b).cast("string"))), _digit),
         )
         valid = (n >= 13) & (_check_digit(body) == F.element_at(digits, -1).cast("int"))
         return F.when(valid, made).otherwise(value)
 
-    return _let(F.filter(_chars(value), _digit), of)
+    return let(F.filter(_chars(value), _digit), of)
 
 
 def pseudonym(value: Column, key: str) -> Column:
