@@ -30,6 +30,7 @@ CELLS = 1 << 20
 BUCKET_BYTES = 32 << 20
 # Copies made at a time from one counted row.
 COPIES = 10_000
+ROWS_OUT = 10_000
 
 
 def _cell(key: Column) -> Column:
@@ -89,40 +90,28 @@ def shuffled_into_shards(
     # Shard k begins where the k-th of equal shares does.
     begins = np.array([-(-n_rows * k // shards) for k in range(shards + 1)], dtype=np.int64)
 
-    bucket = F.floor(_cell(F.col("key")) * buckets / F.lit(CELLS)).cast("long")
+    bucket = F.floor(_cell(F.col("key")) * buckets / F.lit(CELLS)).cast("int")
     scattered = rows.withColumn("bucket", bucket).withColumn("check", F.xxhash64("row"))
-    sorted_in = scattered.repartition(buckets, "bucket").sortWithinPartitions("bucket", "key", "check")
+    # One bucket, one task.
+    sorted_in = scattered.repartitionById(buckets, "bucket").sortWithinPartitions("key", "check")
 
     def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            both = [held, batch] if held is not None and held.num_rows else [batch]
-            table = pa.Table.from_batches(both)
-            last = table["bucket"][-1].as_py()
-            cut = int(np.searchsorted(table["bucket"].to_numpy(), last))
-            if cut:
-                yield from permuted(table.slice(0, cut))
-            held = table.slice(cut).combine_chunks().to_batches()[0]
-        if held is not None and held.num_rows:
-            yield from permuted(pa.Table.from_batches([held]))
-
-    def permuted(table: pa.Table):
-        ids = table["bucket"].to_numpy()
-        firsts = np.flatnonzero(np.diff(ids, prepend=-1))
-        for first, end in zip(firsts, [*firsts[1:], len(ids)]):
-            number = int(ids[first])
-            if end - first != before.value[number + 1] - before.value[number]:
-                raise RuntimeError(f"bucket {number} has other rows than were counted: the input changed meanwhile")
-            # numpy shuffles by Fisher-Yates.
-            order = np.random.default_rng([seed & 0xFFFFFFFF, number]).permutation(end - first)
-            place = before.value[number] + np.arange(end - first)
-            shard = np.searchsorted(begins, place, side="right") - 1
-            picked = table.slice(first, end - first).take(pa.array(order))
-            out = [picked["row"], picked["size"], pa.array(place - begins[shard]), pa.array(shard.astype(np.int32))]
-            yield from pa.table(out, names=["row", "size", "slot", "shard"]).combine_chunks().to_batches(max_chunksize=10_000)
-
+        table = pa.Table.from_batches([batch for batch in batches if batch.num_rows] or [empty])
+        if not table.num_rows:
+            return
+        number = table["bucket"][0].as_py()
+        if table.num_rows != before.value[number + 1] - before.value[number]:
+            raise RuntimeError(f"bucket {number} has other rows than were counted: the input changed meanwhile")
+        # numpy shuffles by Fisher-Yates.
+        order = np.random.default_rng([seed & 0xFFFFFFFF, number]).permutation(table.num_rows)
+        place = before.value[number] + np.arange(table.num_rows)
+        shard = np.searchsorted(begins, place, side="right") - 1
+        picked = table.select(["row", "size"]).take(pa.array(order))
+        out = [picked["row"], picked["size"], pa.array(place - begins[shard]), pa.array(shard.astype(np.int32))]
+        shuffled = pa.table(out, names=["row", "size", "slot", "shard"])
+        yield from shuffled.combine_chunks().to_batches(max_chunksize=ROWS_OUT)
+
+    empty = pa.RecordBatch.from_pylist([], schema=pa.schema([("bucket", pa.int32())]))
     row_type = sorted_in.schema["row"].dataType.simpleString()
     written = sorted_in.mapInArrow(run, f"row {row_type}, size long, slot long, shard int")
     written.write.partitionBy("shard").parquet(path)
