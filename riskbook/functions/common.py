@@ -27,10 +27,19 @@ def rounded(c: Column | str, digits: int) -> Column:
     """The double nearest to the value rounded to a number of decimals, exact ties to the even digit.
 
     Spark's own rounding goes by the printed decimal, so that 2.675, which is stored a little below, becomes 2.68. Here
-    the stored value counts, as in Python's ``round``: the fraction is split in two halves whose products with the
-    power of ten are exact.
+    the stored value counts, as in Python's ``round``. Away from a tie the product with the power of ten tells; near one,
+    and for large values, the fraction is split in two halves whose products are exact.
     """
     scale = 10.0**digits
+    value = number(c)
+    product = value * scale
+    nearest = F.rint(product)
+    clear = (F.abs(product - nearest) < 0.499) & (F.abs(product) < 2.0**40)
+    return F.when(clear, nearest / scale).otherwise(_exactly_rounded(value, scale))
+
+
+def _exactly_rounded(value: Column, scale: float) -> Column:
+    """The rounding spelled out, every step bound once."""
 
     def of(value: Column) -> Column:
         size = F.abs(value)
@@ -55,4 +64,4 @@ def rounded(c: Column | str, digits: int) -> Column:
         large = F.when(size < 2.0**52 / scale, 0.0).otherwise(size)
         return ((z.x.whole * scale + z.units + up) / scale + large) * F.signum(z.x.value)
 
-    return let(number(c), of)
+    return let(value, of)

@@ -21,9 +21,9 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out.
 
     The first scan of ``df``, which should be a stored table, takes the moments and a quantile sketch of each column.
-    Each further scan counts the values below and inside the ranges in which the wanted ranks lie, by bins, until
-    every range is down to one value; mostly one is enough, seldom two. No column is gathered in one task: a task
-    keeps at most ``BINS`` counts per range, and the driver gets one row per range and scan.
+    After it, rounds of two scans count the values below the ranges in which the wanted ranks lie, and those inside by
+    bins, until every range is down to one value; mostly one round is enough, seldom two. No column is gathered in one
+    task: a task keeps at most ``BINS`` counts per range, and the driver gets one row per range and round.
     """
     values = df.select(*[number(c).alias(c) for c in columns])
     moments = _moments(values, columns).collect()
@@ -110,23 +110,21 @@ def _values_at(values: DataFrame, moments: list[Row], places: dict) -> dict[tupl
 
 
 def _bins_of(values: DataFrame, ranges: list[tuple[str, float, float]]) -> DataFrame:
-    """Counts of the values below each range (``bin`` null) and of those in each bin of it."""
-    entries = []
+    """Counts of the values below each range (``bin`` null) and of those in each bin of it. Only the few values inside a
+    range become rows of their own."""
+    below, inside = [], []
     for k, (c, low, high) in enumerate(ranges):
         value = F.col(f"`{c}`")
-        bin_ = F.when(value >= F.lit(low), _bin(value, low, high))
-        entries.append(
-            F.struct(
-                F.lit(k).alias("range"),
-                (value <= F.lit(high)).alias("counts"),
-                bin_.alias("bin"),
-                F.when(value >= F.lit(low), value).alias("value"),
-            )
-        )
-    # Values above a range count for nothing there, and a missing value is neither.
-    tall = values.select(F.inline(F.array(*entries))).where("counts")
+        fields = [F.lit(k).alias("range"), F.lit(None).cast("long").alias("bin")]
+        nothing = F.lit(None).cast("double")
+        count = F.count(F.when(value < F.lit(low), 1)).alias("n")
+        below.append(F.struct(*fields, count, nothing.alias("low"), nothing.alias("high")))
+        within = F.struct(F.lit(k).alias("range"), _bin(value, low, high).alias("bin"), value.alias("value"))
+        inside.append(F.when(value.between(F.lit(low), F.lit(high)), within))
     figures = [F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-    return tall.groupBy("range", "bin").agg(*figures)
+    rows = values.select(F.inline(F.filter(F.array(*inside), lambda x: x.isNotNull())))
+    counts = values.agg(F.array(*below).alias("rows")).select(F.inline("rows"))
+    return rows.groupBy("range", "bin").agg(*figures).unionByName(counts)
 
 
 def _locate(bins: DataFrame, targets: list[tuple[str, int, int]]) -> list[Row]:
