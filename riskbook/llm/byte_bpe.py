@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,15 @@ _NEXT_CUT = re.compile(f"[^{SPACE}](?=[{SPACE}])")
 _RUN = re.compile(f"[{SPACE}]*")
 
 
+# Takes a text as one match.
+WHOLE = "(?s).+"
+
+
 @functools.lru_cache(maxsize=4)
-def load(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
-    """The encoding of a rank file, and the same ranks without a pattern, for one piece at a time."""
+def load(ranks: bytes, pattern: str) -> tiktoken.Encoding:
+    """The encoding of a rank file with a pattern; with ``WHOLE`` for one piece at a time."""
     merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines()) if token}
-    same = {"mergeable_ranks": merges, "special_tokens": {}}
-    return tiktoken.Encoding("ranks", pat_str=pattern, **same), tiktoken.Encoding("piece", pat_str="(?s).+", **same)
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
 
 def safe_parts(text: str, long: int = LONG) -> list[str]:
@@ -64,7 +68,10 @@ def safe_parts(text: str, long: int = LONG) -> list[str]:
     return parts
 
 
-def encode_text(text: str | None, encoding: tiktoken.Encoding, piece: tiktoken.Encoding, long: int = LONG) -> list[int]:
+def encode_text(
+    text: str | None, encoding: tiktoken.Encoding, piece: Callable[[], tiktoken.Encoding], long: int = LONG
+) -> list[int]:
+    """The ids of a whole text; ``piece`` is asked for the second encoding only where a long run needs it."""
     if not text:
         return []
     if len(text) <= long:
@@ -75,7 +82,7 @@ def encode_text(text: str | None, encoding: tiktoken.Encoding, piece: tiktoken.E
         if run > long:
             # The pattern takes a run of space as one match, all but its last character if another one follows.
             whole = run if run == len(part) else run - 1
-            ids += piece.encode_ordinary(part[:whole])
+            ids += piece().encode_ordinary(part[:whole])
             part = part[whole:]
         ids += encoding.encode_ordinary(part)
     return ids
@@ -85,8 +92,11 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", id_c
     """One row per row of ``df``: the id, ``n_tokens`` and the token ids as ``ids``."""
     ranks = shared_file(df.sparkSession, rank_path)
 
+    def piece():
+        return load(ranks.value, WHOLE)
+
     def run(batches):
-        encoding, piece = load(ranks.value, pattern)
+        encoding = load(ranks.value, pattern)
         for batch in batches:
             for start, length in portions(batch.column(1)):
                 texts = batch.column(1).slice(start, length)
@@ -107,7 +117,7 @@ def decoded(df: DataFrame, ids: str, rank_path: str, pattern: str) -> Column:
 
     @F.arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
-        encoding, _ = load(ranks.value, pattern)
+        encoding = load(ranks.value, pattern)
         rows = (None if row.values is None else encoding.decode_bytes(row.values.to_pylist()) for row in column)
         return pa.array(rows, pa.binary())
 

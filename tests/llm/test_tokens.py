@@ -159,8 +159,13 @@ def test_byte_bpe(documents, awkward, encoding):
         assert Counter((a, b, tuple(c), bytes(d)) for a, b, c, d in got) == want
 
 
+def loaded():
+    ranks = open(RANKS, "rb").read()
+    return byte_bpe.load(ranks, P.PATTERN), lambda: byte_bpe.load(ranks, byte_bpe.WHOLE)
+
+
 def test_byte_bpe_of_white_space_the_library_cannot_take(encoding):
-    whole, piece = byte_bpe.load(open(RANKS, "rb").read(), P.PATTERN)
+    whole, piece = loaded()
     for run in (" ", "\n", "\t ", "　"):
         for text in (run * 400_000, run * 400_000 + "end of it", "begin" + run * 400_000 + "  x" * 30_000):
             ids = byte_bpe.encode_text(text, whole, piece)
@@ -170,7 +175,7 @@ def test_byte_bpe_of_white_space_the_library_cannot_take(encoding):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab '1!\n\t 　s\x1c\x85", max_size=80), st.integers(1, 12))
 def test_parts_encode_as_the_whole(text, long):
-    whole, piece = byte_bpe.load(open(RANKS, "rb").read(), P.PATTERN)
+    whole, piece = loaded()
     assert "".join(byte_bpe.safe_parts(text, long)) == text
     assert byte_bpe.encode_text(text, whole, piece, long) == whole.encode_ordinary(text)
 
