@@ -15,7 +15,9 @@ pseudonyms in all documents, different values different ones, and nobody can go
 | phone | 8 to 15 digits with ``+``, else the form of 10 digits | digits after the country code | form; no leading zero appears or goes |
 | card | 13 to 19 digits with a right check digit | digits between the first and the last | first digit; the check digit is made anew |
 
-What looks alike but is not valid stays as it is.
+What looks alike but is not valid stays as it is, and the search goes on one place behind its beginning. A number with
+``+`` ends where its country's numbers do, if they have one length, else with the last group that fits; no number runs
+into an address, a date or another number behind it.
 
 * null text: null; empty text: itself; very long text: searched whole, in one pass;
 * null or repeated ids and rows: every row is treated on its own;
@@ -39,15 +41,49 @@ SYMBOL_HEX = 4
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)"
-DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![/-]?\w|\.\d)"
+_MARKS = ("-", "/", r"\.")
+_YEAR_FIRST = "|".join(rf"\d{{4}}{m}\d{{1,2}}{m}\d{{1,2}}" for m in _MARKS)
+_YEAR_LAST = "|".join(rf"\d{{1,2}}{m}\d{{1,2}}{m}\d{{4}}" for m in _MARKS)
+DATE = rf"(?<![\w./-])(?:{_YEAR_FIRST}|{_YEAR_LAST})(?![/-]?\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!-?\w)"
-PHONE = (
-    r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)"
-    r"|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!-?\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?!-?\w)"
+NATIONAL = r"(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!-?\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?!-?\w)"
+# What a number with spaces does not run into.
+_OTHER = "|".join([IP, DATE, SSN, EMAIL])
+CARD = (
+    r"(?<![\w-])(?:\d{13,19}"
+    + "".join(rf"|\d{{4}}{m}\d{{4}}{m}\d{{4}}{m}{n}\d{{1,7}}" for m, n in ((" ", f"(?!{_OTHER})"), ("-", "")))
+    + r"|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!-?\w)"
 )
-CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|\d{4}([ -])\d{6}\4\d{5})(?!-?\w)"
-# One after the other; the groups that the patterns refer to are numbered through all of them.
+# Countries whose numbers have one length: digits after the country code (fixed values).
+_LENGTHS = {10: "1|7|30|44|52|90|91", 9: "27|31|33|34|40|41|48|61|351|380|420|421", 8: "45|47|65|852"}
+
+
+def _complete(n: int, countries: str) -> str:
+    """Numbers of ``n`` digits after the country code, which end there whatever follows."""
+    digit = rf"(?:(?: (?!{_OTHER})|[.-])?\d)"
+    in_brackets = "|".join(rf"[ .-]?\(\d{{{k}}}\){digit}{{{n - k}}}" for k in range(2, 6))
+    return rf"(?:{countries})(?:[ .-]?\(0\))?(?:{digit}{{{n}}}|{in_brackets})(?!\d)"
+
+
+def _general() -> str:
+    """8 to 15 digits in groups. A last group of one digit belongs to the number only behind another such group."""
+
+    def digit(stop: str) -> str:
+        return rf"(?:(?:(?: (?!{stop})|[.-])(?:(?<=[ .-]\d[ .-])|(?=\d[ .-]?\d)))?\d)"
+
+    # Ten and more digits never belong to a number that has eight already; of a row of groups of four, the last ones
+    # are the card.
+    rest = rf"{digit(rf'{_OTHER}|{NATIONAL}|(?:{CARD})(?! \d{{4}}(?!\d))')}{{0,7}}"
+    bracketed = "|".join(
+        rf"\d{{{c}}}[ .-]?\(\d{{{k}}}\){digit(_OTHER)}{{{8 - c - k}}}" for c in range(1, 4) for k in range(1, 5)
+    )
+    return rf"(?:\d{digit(_OTHER)}{{7}}|{bracketed}){rest}(?!\w)"
+
+
+PHONE = rf"(?<![\w+])\+(?:{'|'.join(_complete(*x) for x in _LENGTHS.items())}|{_general()})|{NATIONAL}"
 ANY = "|".join([EMAIL, IBAN, IP, DATE, SSN, PHONE, CARD])
+# So many places of a text are joined at a time.
+PLACES = 256
 
 # A Gregorian cycle of 400 years has 146,097 = 189 x 773 days.
 CYCLE_YEARS, CYCLE_FACTORS = 400, (189, 773)
@@ -170,7 +206,7 @@ def _iban(value: Column, key: str) -> Column:
 
     made = let(_permuted_chars(account, "iban", key), made_of)
     valid = _mod97(F.concat(account, F.substr(value, F.lit(1), F.lit(4)))) == 1
-    return F.when(valid, made).otherwise(value)
+    return F.when(valid, made)
 
 
 def _numbers(value: Column, separators: str) -> Column:
@@ -181,7 +217,7 @@ def _ip(value: Column, key: str) -> Column:
     def of(octets: Column) -> Column:
         new = _permuted(octets, F.array_repeat(F.lit(256), 4), F.lit("ip"), key)
         made = F.array_join(F.transform(new, lambda x: x.cast("string")), ".")
-        return F.when(F.forall(octets, lambda x: x <= 255), made).otherwise(value)
+        return F.when(F.forall(octets, lambda x: x <= 255), made)
 
     return let(_numbers(value, r"\."), of)
 
@@ -199,7 +235,7 @@ def _ssn(value: Column, key: str) -> Column:
             new_area = first + F.when(first >= 665, 2).otherwise(1)
             return F.format_string("%03d-%02d-%04d", new_area, F.get(x, F.lit(1)) + 1, F.get(x, F.lit(2)) + 1)
 
-        return F.when(valid, let(new, made)).otherwise(value)
+        return F.when(valid, let(new, made))
 
     return let(_numbers(value, "-"), of)
 
@@ -220,7 +256,7 @@ def _date(value: Column, key: str) -> Column:
     def checked(p: Column) -> Column:
         first = F.make_date(F.greatest(p.year, F.lit(1)), F.greatest(F.least(p.month, F.lit(12)), F.lit(1)), F.lit(1))
         valid = (p.year >= 1) & p.month.between(1, 12) & (p.day >= 1) & (p.day <= F.dayofmonth(F.last_day(first)))
-        return F.when(valid, moved(p)).otherwise(value)
+        return F.when(valid, moved(p))
 
     def moved(p: Column) -> Column:
         # Days are counted in the cycle that begins with FIRST_CYCLE, which any other one repeats.
@@ -265,7 +301,7 @@ def _phone(value: Column, key: str) -> Column:
     made = let(
         country, lambda c: F.concat(c, _permuted_chars(F.substr(value, F.length(c) + 1), "phone", key))
     )
-    return F.when(~value.startswith("+") | digits.between(8, 15), made).otherwise(value)
+    return F.when(~value.startswith("+") | digits.between(8, 15), made)
 
 
 def _check_digit(digits: Column) -> Column:
@@ -288,13 +324,13 @@ def _card(value: Column, key: str) -> Column:
             lambda b: _put(_chars(value), F.concat(b, F.array(_check_digit(b).cast("string"))), _digit),
         )
         valid = (n >= 13) & (_check_digit(body) == F.element_at(digits, -1).cast("int"))
-        return F.when(valid, made).otherwise(value)
+        return F.when(valid, made)
 
     return let(F.filter(_chars(value), _digit), of)
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of a found value, or the value itself if it is not valid."""
+    """The pseudonym of a found value; null if it is not valid."""
 
     def is_(pattern: str) -> Column:
         return value.rlike(f"^(?:{pattern})$")
@@ -310,6 +346,59 @@ def pseudonym(value: Column, key: str) -> Column:
     )
 
 
+def _replaced(text: Column, found: Column, key: str) -> Column:
+    """The text with pseudonyms, and how many values they changed.
+
+    ``found`` has a value for each place of the text where one may begin. Places are taken from the left: one inside a
+    value that was replaced is passed over, and behind a value that is not valid the next place counts.
+    """
+    parts = F.split(text, f"(?={ANY})", -1)
+
+    def pairs_of(parts: Column) -> Column:
+        # No place, if the text does not begin with one.
+        ahead = F.when(F.size(parts) > F.size(found), F.array(F.lit(None).cast("string"))).otherwise(
+            F.array().cast("array<string>")
+        )
+        return F.arrays_zip(parts.alias("part"), F.concat(ahead, found).alias("value"))
+
+    def put(state: Column, x: Column) -> Column:
+        def placed(new: Column) -> Column:
+            taken = F.when(new.isNotNull(), F.length(x.value)).otherwise(state.taken)
+            return F.struct(
+                F.concat(
+                    state.out,
+                    F.array(F.concat(F.coalesce(new, F.lit("")), F.substr(x.part, taken + 1))),
+                ).alias("out"),
+                F.greatest(taken - F.length(x.part), F.lit(0)).alias("taken"),
+                (state.n + F.coalesce(new != x.value, F.lit(False)).cast("long")).alias("n"),
+            )
+
+        return let(F.when((state.taken == 0) & x.value.isNotNull(), pseudonym(x.value, key)), placed)
+
+    def joined(pairs: Column) -> Column:
+        def portion(state: Column, begin: Column) -> Column:
+            start = F.struct(F.array().cast("array<string>").alias("out"), state.taken.alias("taken"), state.n.alias("n"))
+            done = F.aggregate(F.slice(pairs, begin, F.lit(PLACES)), start, put)
+            return let(
+                done,
+                lambda d: F.struct(
+                    F.concat(state.out, F.array(F.array_join(d.out, ""))).alias("out"),
+                    d.taken.alias("taken"),
+                    d.n.alias("n"),
+                ),
+            )
+
+        start = F.struct(
+            F.array().cast("array<string>").alias("out"), F.lit(0).alias("taken"), F.lit(0).cast("long").alias("n")
+        )
+        begins = F.sequence(F.lit(1), F.size(pairs), F.lit(PLACES))
+        return F.aggregate(
+            begins, start, portion, lambda d: F.struct(F.array_join(d.out, "").alias("text"), d.n.alias("n"))
+        )
+
+    return let(parts, lambda p: let(pairs_of(p), joined))
+
+
 def pseudonymised(df: DataFrame, key: str, text: str = "text", count: str | None = "n_replaced") -> DataFrame:
     """``df`` with the values in ``text`` replaced, its columns in their order, and behind them, unless ``count`` is
     None, how many values were replaced.
@@ -320,20 +409,14 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text", count: str | None
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.col(f"`{text}`").alias("text"),
-        F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)).alias("found"),
+        F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"(?=({ANY}))"), F.lit(1)).alias("found"),
     )
     hit = F.size("found") > 0
-    rows = rows.select(
-        "row", "text", "found", F.when(hit, F.transform("found", lambda x: pseudonym(x, key))).alias("new")
-    )
-    between = F.split("text", ANY, -1)
-    pairs = F.arrays_zip(between.alias("before"), F.concat("new", F.array(F.lit(""))).alias("value"))
-    joined = F.array_join(F.transform(pairs, lambda x: F.concat(x.before, x.value)), "")
-    changed = F.filter(F.arrays_zip("found", "new"), lambda x: x.found != x.new)
+    rows = rows.select("row", "text", F.when(hit, _replaced(F.col("text"), F.col("found"), key)).alias("new"))
     result = rows.select(
         "row",
-        F.when(hit, joined).otherwise(F.col("text")).alias("text"),
-        F.when(hit, F.size(changed)).otherwise(0).cast("long").alias("n"),
+        F.coalesce("new.text", "text").alias("text"),
+        F.coalesce("new.n", F.lit(0).cast("long")).alias("n"),
     )
     kept = [F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names]
     return result.select(*kept, *([F.col("n").alias(count)] if count else []))

@@ -229,6 +229,31 @@ def test_other_kinds_keep_their_form(spark):
     assert one(spark, *untouched) == untouched
 
 
+KINDS = [
+    "bob.smith@x.example.com", "12.bob@x.example.com", "GB82WEST12345698765432", "190.137.223.204", "10.1.2.3", "2024-05-06",
+    "12.03.1987", "03/12/1987", "123-45-6789", "+1 (826) 555-4081", "+442071234567", "+49 30 12345678", "(438) 555-5817",
+    "438-555-5817", "4387393285946913", "4387 3932 8594 6913", "4387-3932-8594-6913",
+]
+
+
+def test_adjacent_values_of_every_pair_of_kinds(spark):
+    alone = dict(zip(KINDS, one(spark, *KINDS)))
+    assert all(new != value for value, new in alone.items())
+    pairs = [(a, b, mark) for a in KINDS for b in KINDS for mark in (" ", ", ", "\n")]
+    got = one(spark, *[a + mark + b for a, b, mark in pairs])
+    wrong = [(pair, new) for pair, new in zip(pairs, got) if new != alone[pair[0]] + pair[2] + alone[pair[1]]]
+    assert not wrong
+
+
+def test_numbers_end_where_they_end(spark):
+    phone, card = "+1 (826) 555-4081", "4387 3932 8594 6913"
+    new_phone, new_card = one(spark, phone, card)
+    # Behind what is not valid the search goes on: four digits that are not the card's, an address out of range.
+    got = one(spark, f"{phone} 24 hours", f"2024 {card}", f"{phone} 256.1.1.1", " ".join([f"2024 {card}"] * 600))
+    assert got[0] == f"{new_phone} 24 hours" and got[1] == f"2024 {new_card}" and got[2] == f"{new_phone} 256.1.1.1"
+    assert got[3] == " ".join([f"2024 {new_card}"] * 600)
+
+
 def test_numbers_of_one_form_are_permuted(spark):
     numbers = spark.range(9_000).selectExpr("format_string('+1 (438) 555-%d', id + 1000) AS text")
     assert pseudonyms.pseudonymised(numbers, KEY).select("text").distinct().count() == 9_000
