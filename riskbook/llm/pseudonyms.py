@@ -8,11 +8,11 @@ pseudonyms in all documents, different values different ones, and nobody can go
 | kind | valid if | permuted | kept |
 |---|---|---|---|
 | email | an address with a domain | letters and digits of the local part | domain, other characters |
-| iban | check digits fit | letters and digits of the account | country; check digits are made anew |
+| iban | check digits fit; in one piece, or in groups of four as long as the country's numbers are | letters and digits of the account | country; check digits are made anew |
 | ip | four octets of 0 to 255 | octets | |
-| date | the day exists; year first, or day first with ``.`` or ``-``, or month first with ``/`` | the day within its 400-year cycle | form, leading zeros |
+| date | the day exists; year first, or day first with ``.`` or ``-``, or month first with ``/``, day first where month first is no date; ISO times may follow | the day within its 400-year cycle; day first with ``/`` stays above 12, so that no two days get one text | form, leading zeros |
 | ssn | area, group and serial in use | the three numbers | |
-| phone | 8 to 15 digits with ``+``, else the form of 10 digits | digits after the country code | form; no leading zero appears or goes |
+| phone | 8 to 15 digits with ``+``, else ten in American groups, ``1`` before them or not | digits after the country code | form; no leading zero appears or goes |
 | card | 13 to 19 digits with a right check digit | digits between the first and the last | first digit; the check digit is made anew |
 
 What looks alike but is not valid stays as it is, and the search goes on one place behind its beginning. A number with
@@ -39,14 +39,32 @@ HASHES = 2
 SYMBOL_HEX = 4
 
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
+# Lengths of account numbers by country, of which the printed groups of four do not tell the end (fixed values).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_GROUPED = "|".join(
+    rf"(?:{c.replace(' ', '|')})\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in _IBAN_LENGTHS.items()
+)
+IBAN = rf"(?<!\w)(?:[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}}|(?=[A-Z]{{2}}\d{{2}} )(?:{_GROUPED}))(?!\w)"
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)"
 _MARKS = ("-", "/", r"\.")
 _YEAR_FIRST = "|".join(rf"\d{{4}}{m}\d{{1,2}}{m}\d{{1,2}}" for m in _MARKS)
 _YEAR_LAST = "|".join(rf"\d{{1,2}}{m}\d{{1,2}}{m}\d{{4}}" for m in _MARKS)
-DATE = rf"(?<![\w./-])(?:{_YEAR_FIRST}|{_YEAR_LAST})(?![/-]?\w|\.\d)"
+# A time may follow a date of ISO form.
+DATE = (
+    rf"(?<![\w./-])(?:(?:{_YEAR_FIRST}|{_YEAR_LAST})(?![/-]?\w|\.\d)"
+    r"|\d{4}-\d{1,2}-\d{1,2}(?=[Tt]\d{2}(?!\d{3})|Z(?!\w)))"
+)
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!-?\w)"
-NATIONAL = r"(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!-?\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?!-?\w)"
+NATIONAL = (
+    r"(?<!\w)(?:1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!-?\w)|(?<![\w-])(?:1-)?\d{3}-\d{3}-\d{4}(?!-?\w)"
+    r"|(?<![\w.-])(?:1[ .])?\d{3}\.\d{3}\.\d{4}(?![.-]?\w)|(?<![\w.-])(?:1 )?\d{3} \d{3} \d{4}(?![.-]?\w)"
+)
 # What a number with spaces does not run into.
 _OTHER = "|".join([IP, DATE, SSN, EMAIL])
 CARD = (
@@ -88,6 +106,8 @@ PLACES = 256
 # A Gregorian cycle of 400 years has 146,097 = 189 x 773 days.
 CYCLE_YEARS, CYCLE_FACTORS = 400, (189, 773)
 FIRST_CYCLE = 1700
+# Three of five days are above 12; the chance that none of so many is: below 1e-25.
+WALK = 64
 
 
 def _permuted(values: Column, ranges: Column, tweak: Column, key: str) -> Column:
@@ -200,12 +220,15 @@ def _mod97(text: Column) -> Column:
 def _iban(value: Column, key: str) -> Column:
     country, account = F.substr(value, F.lit(1), F.lit(2)), F.substr(value, F.lit(5))
 
+    def close(text: Column) -> Column:
+        return F.replace(text, F.lit(" "), F.lit(""))
+
     def made_of(new: Column) -> Column:
-        check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
+        check = F.lit(98) - _mod97(F.concat(close(new), country, F.lit("00")))
         return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
 
     made = let(_permuted_chars(account, "iban", key), made_of)
-    valid = _mod97(F.concat(account, F.substr(value, F.lit(1), F.lit(4)))) == 1
+    valid = _mod97(F.concat(close(account), F.substr(value, F.lit(1), F.lit(4)))) == 1
     return F.when(valid, made)
 
 
@@ -264,10 +287,24 @@ def _date(value: Column, key: str) -> Column:
         begin = F.make_date(F.lit(FIRST_CYCLE), F.lit(1), F.lit(1))
         number = F.datediff(F.make_date(p.year - cycles, p.month, F.lit(1)), begin) + p.day - 1
         outer, inner = CYCLE_FACTORS
-        values = F.array(F.floor(number / inner).cast("int"), F.pmod(number, F.lit(inner)).cast("int"))
         tweak = F.concat_ws(" ", F.lit("date"), cycles.cast("string"))
-        new = _permuted(values, F.array(F.lit(outer), F.lit(inner)), tweak, key)
-        day = let(new, lambda v: F.date_add(begin, F.get(v, F.lit(0)) * inner + F.get(v, F.lit(1))))
+
+        def step(number: Column) -> Column:
+            values = F.array(F.floor(number / inner).cast("int"), F.pmod(number, F.lit(inner)).cast("int"))
+            new = _permuted(values, F.array(F.lit(outer), F.lit(inner)), tweak, key)
+            return let(new, lambda v: F.get(v, F.lit(0)) * inner + F.get(v, F.lit(1)))
+
+        def walked(state: Column, _: Column) -> Column:
+            def told(n: Column) -> Column:
+                fits = ~p.x.day_first_slash | (F.dayofmonth(F.date_add(begin, n)) > 12)
+                return F.struct(n.alias("n"), fits.alias("done"))
+
+            return F.when(state.done, state).otherwise(let(step(state.n), told))
+
+        # Day first with "/" is told by a day above 12, so the permutation goes on until it comes to such a day again.
+        start = F.struct(number.alias("n"), F.lit(False).alias("done"))
+        n = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, walked, lambda done: done.n)
+        day = F.date_add(begin, n)
         return let(F.struct(day.alias("day"), cycles.alias("cycles"), p.x.alias("x")), written)
 
     def written(d: Column) -> Column:
@@ -290,14 +327,17 @@ def _date(value: Column, key: str) -> Column:
 
     words = F.split(value, "[-/.]")
     year_first = F.length(F.get(words, F.lit(0))) == 4
-    month_first = ~year_first & (mark == "/")
-    return let(F.struct(words.alias("words"), year_first.alias("year_first"), month_first.alias("month_first")), of)
+    slash = ~year_first & (mark == "/")
+    # Month first wherever that can be.
+    day_first = slash & (F.get(words, F.lit(0)).cast("int") > 12)
+    forms = [year_first.alias("year_first"), (slash & ~day_first).alias("month_first"), day_first.alias("day_first_slash")]
+    return let(F.struct(words.alias("words"), *forms), of)
 
 
 def _phone(value: Column, key: str) -> Column:
     digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
-    # The country code, as far as the form tells: up to the first mark, else 1 or two digits.
-    country = F.regexp_extract(value, r"^\+(?:1(?=[^0-9])|\d{1,3}(?=[^0-9])|1|\d{2})", 0)
+    # The country code, as far as the form tells: up to the first mark, else 1 or two digits; without "+" only 1.
+    country = F.regexp_extract(value, r"^\+(?:1(?=[^0-9])|\d{1,3}(?=[^0-9])|1|\d{2})|^1(?=[ .(-])", 0)
     made = let(
         country, lambda c: F.concat(c, _permuted_chars(F.substr(value, F.length(c) + 1), "phone", key))
     )
@@ -341,7 +381,7 @@ def pseudonym(value: Column, key: str) -> Column:
         .when(is_(r"\d+(?:\.\d+){3}"), _ip(value, key))
         .when(is_(r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4}"), _date(value, key))
         .when(is_(r"\d{3}-\d{2}-\d{4}"), _ssn(value, key))
-        .when(is_(r"\+.*|\(.*|\d{3}-\d{3}-\d{4}"), _phone(value, key))
+        .when(is_(r"\+.*|(?:1[ .-]?)?(?:\(.*|\d{3}([ .-])\d{3}\1\d{4})"), _phone(value, key))
         .otherwise(_card(value, key))
     )
 

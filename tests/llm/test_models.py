@@ -232,7 +232,8 @@ def test_other_kinds_keep_their_form(spark):
 KINDS = [
     "bob.smith@x.example.com", "12.bob@x.example.com", "GB82WEST12345698765432", "190.137.223.204", "10.1.2.3", "2024-05-06",
     "12.03.1987", "03/12/1987", "123-45-6789", "+1 (826) 555-4081", "+442071234567", "+49 30 12345678", "(438) 555-5817",
-    "438-555-5817", "4387393285946913", "4387 3932 8594 6913", "4387-3932-8594-6913",
+    "438-555-5817", "438.555.5817", "1-438-555-5817", "438 555 5817", "+33 1 23 45 67 89", "25/12/2024",
+    "DE89 3704 0044 0532 0130 00", "2024-05-06T10:00:00Z", "4387393285946913", "4387 3932 8594 6913", "4387-3932-8594-6913",
 ]
 
 
@@ -245,6 +246,43 @@ def test_adjacent_values_of_every_pair_of_kinds(spark):
     assert not wrong
 
 
+def test_usual_forms_are_found(spark):
+    day = datetime.date.fromisoformat(one(spark, "2024-05-06")[0])
+    account, phone = "DE89370400440532013000", "555-123-4567"
+    texts = [
+        "25/12/2024", "25/1/2024", "2024-05-06T10:00:00Z", "31/04/2024", "32/12/2024", account, "DE89 3704 0044 0532 0130 00",
+        "DE89 3704 0044 0532 0130 00 4387 3932 8594 6913", "BE68 5390 0754 7034 AND 2024", "DE89 3704 0044 0532 0130 01",
+        phone, "555.123.4567", "1-555-123-4567", "1 (555) 123-4567", "555 123 4567", "(555) 123 4567", "+1 555 123 4567",
+        "+33 1 23 45 67 89", "+353 1 234 5678", "v 555.123.4567.8", "4387393285946913",
+    ]
+    got = dict(zip(texts, one(spark, *texts)))
+    for form, length in (("25/12/2024", 10), ("25/1/2024", 9)):
+        new = datetime.datetime.strptime(got[form], "%d/%m/%Y")
+        assert new.day > 12 and got[form] != form and len(got[form]) <= length
+    assert got["2024-05-06T10:00:00Z"] == f"{day}T10:00:00Z"
+    for text in ("31/04/2024", "32/12/2024", "DE89 3704 0044 0532 0130 01", "v 555.123.4567.8"):
+        assert got[text] == text
+    grouped = " ".join(got[account][k : k + 4] for k in range(0, 22, 4))
+    assert got[account] != account and got["DE89 3704 0044 0532 0130 00"] == grouped
+    assert got["DE89 3704 0044 0532 0130 00 4387 3932 8594 6913"].startswith(grouped + " ")
+    assert got["DE89 3704 0044 0532 0130 00 4387 3932 8594 6913"][-19:].replace(" ", "") == got["4387393285946913"]
+    assert got["BE68 5390 0754 7034 AND 2024"][4:] != " 5390 0754 7034 AND 2024"
+    assert got["BE68 5390 0754 7034 AND 2024"].endswith(" AND 2024")
+    digits = re.sub("[^0-9]", "", got[phone])
+    for text in texts[10:17]:
+        assert got[text] != text and re.sub("[^0-9]", "", got[text])[-10:] == digits
+        assert re.sub("[0-9]", "9", got[text]) == re.sub("[0-9]", "9", text)
+    assert got["+33 1 23 45 67 89"].startswith("+33 ") and got["+353 1 234 5678"].startswith("+353 ")
+    assert all(got[t] != t for t in ("+33 1 23 45 67 89", "+353 1 234 5678"))
+
+
+def test_days_first_with_slashes_are_permuted(spark):
+    days = spark.range(2_000).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    texts = days.select(F.date_format("d", "MM/dd/yyyy").alias("text"))
+    texts = texts.union(days.where("day(d) > 12").select(F.date_format("d", "dd/MM/yyyy")))
+    assert pseudonyms.pseudonymised(texts, KEY).select("text").distinct().count() == texts.count()
+
+
 def test_numbers_end_where_they_end(spark):
     phone, card = "+1 (826) 555-4081", "4387 3932 8594 6913"
     new_phone, new_card = one(spark, phone, card)
