@@ -10,7 +10,7 @@
    labels, and gives every text its score.
 
 Only step 1 and 2 see labels, and only those of rows that ``is_training`` lets through. Voters and classifier are
-fitted on a sample of at most about ``FIT_ROWS`` labelled rows, taken by a hash of the id; the model has at most
+fitted on a sample of at most about ``FIT_ROWS`` labelled texts, taken by a hash of the id and, if ids repeat, of the text; the model has at most
 ``VOTERS`` voters, so it is broadcast whatever the input. Scoring reads every whole text.
 
 * null and empty texts: scored as texts that no voter speaks on;
@@ -214,6 +214,10 @@ def fit(
     sample = texts.join(F.broadcast(known.where(drawn)), F.col("doc") == F.col("id")).select("text", "toxic")
     # Copies would make every word of theirs look telling.
     sample = stored(sample.groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled")
+    # An id that documents repeat brings all its texts.
+    n = sample.count()
+    if n > fit_rows:
+        sample = sample.where(F.pmod(F.xxhash64(F.lit("texts"), "text"), F.lit(1_000_000)) < fit_rows / n * 1_000_000)
     given_voters = [*LEXICON, *PATTERNS]
     mined = [n for n in _mined(sample) if n not in given_voters]
     model = _start([*given_voters, *mined])

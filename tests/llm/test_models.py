@@ -134,6 +134,15 @@ def test_toxicity_of_awkward_rows(spark, documents, awkward):
     assert scores[1] > 0.5 > 0.1 > scores[2] == scores[3]
 
 
+def test_texts_of_one_id_are_bounded(spark, monkeypatch):
+    docs = spark.range(2000).selectExpr("1L AS doc_id", "concat('text ', id) AS text")
+    seen = []
+    real = toxicity.label_model
+    monkeypatch.setattr(toxicity, "label_model", lambda votes, given: seen.append(len(votes)) or real(votes, given))
+    toxicity.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"), F.lit(True), fit_rows=100)
+    assert 0 < seen[0] < 200
+
+
 def test_label_model_finds_a_wrong_label():
     rng = np.random.default_rng(7)
     truth = rng.random(4000) < 0.2
