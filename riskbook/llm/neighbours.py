@@ -37,6 +37,8 @@ PROJECTED = 12
 CONFIDENCE = 0.97
 LEAF = 64
 LEAVES_AT_ONCE = 8
+# Squared projected distances up to this are rounding: exact copies are always verified.
+NEARLY_EQUAL = 1e-12
 BLOCK = 16_384
 QUERY_BLOCK = 512
 
@@ -135,7 +137,7 @@ class Block:
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if len(scores) == k:
-                limit = stop * max(0.0, 2 - 2 * scores[-1])
+                limit = max(NEARLY_EQUAL, stop * max(0.0, 2 - 2 * scores[-1]))
         return ids, scores
 
 

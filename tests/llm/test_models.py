@@ -82,6 +82,18 @@ def test_one_common_vector(spark):
     assert [r["vec_id"] for r in got] == [0, 3, 6, 9, 12]
 
 
+def test_copies_of_nearly_equal_projection_tie():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(4000, neighbours.PROJECTED)) * 1e-15
+    order, leaves = neighbours.build_tree(points)
+    points = points[order]
+    ids = np.empty(4000, dtype=np.int64)
+    ids[np.argsort(-(points * points).sum(axis=1))] = np.arange(4000)  # the smallest ids lie furthest out
+    block = neighbours.Block(ids, np.tile([1.0, 0.0], (4000, 1)), points, leaves)
+    found, scores = block.nearest(-1, np.array([1.0, 0.0]), np.zeros(neighbours.PROJECTED), 5, 20.0)
+    assert found.tolist() == [0, 1, 2, 3, 4] and (scores == 1).all()
+
+
 def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95, 10) == pytest.approx(18.307038)
     assert neighbours.chi_square_quantile(0.5, 2) == pytest.approx(2 * np.log(2))
