@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskbook.functions.common import let
 from riskbook.llm import (
     byte_bpe,
+    decontamination,
     mixing,
     neighbours,
+    periodic_runs,
     pseudonyms,
     quality_rules,
+    resampling,
     sharding,
     simhash,
     token_counts,
@@ -118,6 +122,56 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_repeated_tail(words: Column, id_: Column) -> Column:
+    """Words of which one row in ten, chosen by its id, repeats a stretch from some place to its end."""
+    hashed = F.crc32(id_.cast("string"))
+
+    def of(x: Column) -> Column:
+        begin = F.pmod(x.g, F.size(x.words))
+        period = F.lit(1) + F.floor((F.size(x.words) - begin) / (F.lit(3) + F.pmod(x.g, F.lit(8))))
+        places = F.struct(x.words.alias("words"), begin.cast("int").alias("begin"), period.cast("int").alias("period"))
+        return let(places, repeated)
+
+    def repeated(x: Column) -> Column:
+        return F.transform(
+            x.words, lambda w, i: F.when(i < x.begin, w).otherwise(F.get(x.words, x.begin + F.pmod(i - x.begin, x.period)))
+        )
+
+    def chosen(x: Column) -> Column:
+        return F.when((F.pmod(x.h, F.lit(10)) == 0) & (F.size(x.words) > 0), of(x)).otherwise(x.words)
+
+    return let(F.struct(words.alias("words"), hashed.alias("h"), F.floor(hashed / 10).alias("g")), chosen)
+
+
+def _run_digests(docs: DataFrame) -> DataFrame:
+    words = _with_repeated_tail(periodic_runs.words_of(F.col("text")), F.col("doc_id"))
+    found = periodic_runs.with_runs(docs.select("doc_id", words.alias("words")))
+    # The longest; of equal ones the first, then that of the smallest period.
+    places = F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period, r.alias("r")))
+    best = F.array_max(places).getField("r")
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best.getField(name).alias(name) for name in ("start", "length", "period")],
+        F.floor(best.getField("length") * 1000 / best.getField("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -131,6 +185,9 @@ QUERIES = {
         op8_quality_rules,
         op9_token_files,
         op10_byte_bpe,
+        op11_periodic_runs,
+        op12_decontamination,
+        op13_resampling,
     )
 }
 
@@ -182,5 +239,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
             + 32 * (word_chars > 15 * n_words)::INT + 64 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures
 FROM f
+""",
+    "op12_decontamination": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i
+             FROM (SELECT *, least(len(w), 10) AS size FROM b WHERE len(w) > 0))),
+dw AS (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+       FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM bw))),
+hit AS (SELECT r, i, dw.size, item_id FROM dw JOIN bw USING (size, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""",
+    # DuckDB has no CRC-32: each distinct feature goes through its table byte by byte.
+    "op13_resampling": r"""
+WITH RECURSIVE c(n, v, k) AS (
+  SELECT CAST(range AS BIGINT), CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM c WHERE k < 8),
+crc AS (SELECT list(v ORDER BY n) AS t FROM c WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT r, unnest(w) AS f FROM d UNION ALL
+       SELECT r, w[i] || ' ' || w[i + 1] FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d)),
+bf AS (SELECT unnest(w) AS f FROM b UNION ALL
+       SELECT w[i] || ' ' || w[i + 1] FROM (SELECT w, unnest(range(1, len(w))) AS i FROM b)),
+kinds AS (SELECT f, CAST(xor(list_reduce(
+            list_transform(range(0, octet_length(encode(f))),
+                           lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT)),
+            lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS BIGINT) AS bucket
+          FROM (SELECT f FROM df UNION SELECT f FROM bf), crc),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN kinds USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN kinds USING (f) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS all_s, (SELECT count(*) FROM bf)::DOUBLE AS all_t),
+gain AS (SELECT g.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)
+                / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000)))) AS BIGINT) AS gain
+         FROM (SELECT CAST(range AS BIGINT) AS bucket FROM range(10000)) g LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), n),
+m AS (SELECT r, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+      FROM df JOIN kinds USING (f) JOIN gain USING (bucket) GROUP BY r),
+o AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8]
+                                                               AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN m USING (r)),
+p AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place, count(*) OVER () AS fit
+      FROM o WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * fit // 100 THEN place END AS rank FROM o LEFT JOIN p USING (r)
 """,
 }
