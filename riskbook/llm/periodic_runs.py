@@ -279,7 +279,9 @@ def with_runs(df: DataFrame, words: str = "words", runs: str = "runs", collapsed
     ``period``) by start and period, and ``collapsed``, the words joined by one space without those that repeat a run's
     first period."""
     names = [c for c in df.columns if c != words]
-    rows = df.select(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{words}`").alias("words"))
+    # Numbered, so that names may be any.
+    fields = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]
+    rows = df.select(F.struct(F.lit(0).alias("none"), *fields).alias("row"), F.col(f"`{words}`").alias("words"))
 
     def found(batches):
         for batch in batches:
@@ -299,5 +301,5 @@ def with_runs(df: DataFrame, words: str = "words", runs: str = "runs", collapsed
         f"row {rows.schema['row'].dataType.simpleString()}, "
         "runs array<struct<start: long, length: long, period: long>>, collapsed string"
     )
-    kept = [F.col("row").getField(c).alias(c) for c in names]
+    kept = [F.col("row").getField(f"c{k}").alias(c) for k, c in enumerate(names)]
     return rows.mapInArrow(found, schema).select(*kept, F.col("runs").alias(runs), F.col("collapsed").alias(collapsed))

@@ -68,6 +68,8 @@ class _Block:
         self.counts.append(len(often))
 
     def columns(self) -> list:
+        if len(self.place) >> PLACE_BITS:
+            raise RuntimeError(f"a text has more than 2 ** {PLACE_BITS} distinct pre-tokens")
         places, times = np.array(self.places, dtype=np.int64), np.array(self.times, dtype=np.int64)
         # By document and place, which makes the differences small.
         order = np.argsort((np.repeat(np.arange(len(self.ids)), self.counts) << PLACE_BITS) + places)
@@ -94,6 +96,8 @@ def _blocks(df: DataFrame, file, id_type: str) -> DataFrame:
             yield row(number, block, key_type)
 
     def row(number, block, key_type):
+        if number >> SEQUENCE_BITS != TaskContext.get().partitionId():
+            raise RuntimeError(f"a partition has more than 2 ** {SEQUENCE_BITS} blocks; read it in smaller ones")
         lists = [pa.list_(key_type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
         kinds = [pa.int64(), *lists, pa.binary(), pa.binary(), pa.list_(pa.string())]
         arrays = [pa.array([value], kind) for value, kind in zip([number, *block.columns()], kinds)]
