@@ -12,7 +12,8 @@ bit by bit. Keys are met in sorted runs, and a run gives back the links of a spa
 * equal texts: one fingerprint, indexed once;
 * null ids: get a component, but its id is the smallest id that is not null (null if there is none); repeated ids:
   every row is kept;
-* other columns: not looked at by ``components``; ``one_of_each`` keeps all columns of its table.
+* other columns: not looked at by ``components``; ``one_of_each`` keeps all columns of its table, and of rows that agree
+  in all of them, one.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ BITS = 64
 # Runs up to this length are compared all at once, longer ones outwards from what is linked already.
 SHORT_RUN = 32
 COMPARED_AT_ONCE = 1 << 22
+SALTS = 16
 
 
 def shingle_hashes(text: str | None, size: int) -> list[int]:
@@ -209,15 +211,22 @@ def links(fps: DataFrame, distance: int, fp: str = "fp") -> DataFrame:
     return together.mapInArrow(run, "a long, b long")
 
 
-def _component_of(rows: DataFrame, id_col: str, distance: int) -> DataFrame:
-    """``fp`` and ``component_id`` of every distinct fingerprint of ``rows``."""
-    distinct = stored(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "fingerprints")
+def _labelled(rows: DataFrame, first: Column, distance: int) -> DataFrame:
+    """Every distinct ``fp`` of ``rows`` with its ``first`` and ``label``, one of the fingerprints of its component;
+    null, if it is linked to none."""
+    distinct = stored(rows.groupBy("fp").agg(first.alias("first")), "fingerprints")
     labels = connected_components(links(distinct, distance)).withColumnRenamed("node", "fp")
-    labelled = stored(
-        distinct.join(labels, "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), "labels"
-    )
-    smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    return labelled.join(smallest, "label").select("fp", "component_id", "label")
+    return stored(distinct.join(labels, "fp", "left").select("fp", "first", "label"), "labels")
+
+
+def _component_ids(labelled: DataFrame) -> DataFrame:
+    """``fp`` and ``component_id``, the least ``first`` of its component. A large component is met in several tasks."""
+    alone = labelled.where("label is null").select("fp", F.col("first").alias("component_id"))
+    linked = labelled.where("label is not null")
+    smallest = linked.groupBy("label").agg(F.min("first").alias("component_id"))
+    salted = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")
+    return alone.union(linked.withColumn("salt", salt).join(salted, ["label", "salt"]).select("fp", "component_id"))
 
 
 def components(
@@ -225,30 +234,32 @@ def components(
 ) -> DataFrame:
     """One row per row of ``df``: the id, its ``fingerprint`` in hex and ``component_id``, the smallest id that links of
     at most ``distance`` bits reach."""
-    rows = stored(df.select(F.col(id_col), fingerprint(F.col(text), size).alias("fp")), "rows")
-    found = _component_of(rows, id_col, distance).drop("label")
-    return rows.join(found, "fp").select(id_col, as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    rows = stored(df.select(F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text}`"), size).alias("fp")), "rows")
+    found = _component_ids(_labelled(rows, F.min("id"), distance))
+    return rows.join(found, "fp").select(
+        F.col("id").alias(id_col), as_hex(F.col("fp")).alias("fingerprint"), "component_id"
+    )
 
 
 def one_of_each(
     df: DataFrame, size: int, distance: int, text: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
-    """One row of each component, with all columns of ``df``: that of the smallest id (null ids last), of equal ids
-    that of the smallest fingerprint, of rows equal in both any one."""
-    rows = stored(
-        df.select(
-            F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-            F.col(f"`{id_col}`").alias("id"),
-            fingerprint(F.col(f"`{text}`"), size).alias("fp"),
-        ),
-        "rows",
-    )
-    found = _component_of(rows.select("id", "fp"), "id", distance).select("fp", "label")
-    key = F.struct(F.col("id").isNull().alias("no_id"), "id", "fp")
-    winners = (
-        rows.select("id", "fp").distinct().join(found, "fp").groupBy("label").agg(F.min(key).alias("k")).select("k.*")
+    """One row of each component, with all columns of ``df``: that of the smallest id (null ids last), of equal ids that
+    of the smallest fingerprint, then that of the smallest hash of all columns, so that reruns agree.
+
+    Rows are numbered where they are stored. The winner is found on ids, fingerprints, hashes and numbers alone; whole
+    rows move once, to meet the numbers of the winners. Columns must have types that can be hashed (no maps).
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    made = df.select(
+        F.struct(*columns).alias("row"),
+        F.col(f"`{id_col}`").alias("id"),
+        fingerprint(F.col(f"`{text}`"), size).alias("fp"),
+        F.xxhash64(*columns).alias("check"),
     )
-    same = [F.coalesce(F.col("id"), F.lit(0)) == F.coalesce(F.col("won_id"), F.lit(0)), F.col("id").isNull() == F.col("no_id")]
-    chosen = winners.select(F.col("id").alias("won_id"), "no_id", F.col("fp").alias("won_fp"))
-    kept = rows.join(chosen, [F.col("fp") == F.col("won_fp"), *same], "left_semi")
-    return kept.groupBy("fp", "id").agg(F.first("row").alias("row")).select("row.*")
+    # The numbers are those of the stored table, whoever wrote it.
+    rows = stored(made.withColumn("number", F.monotonically_increasing_id()), "rows")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "check", "number")
+    labelled = _labelled(rows.select("id", "fp", "check", "number"), F.min(place), distance)
+    best = labelled.groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("first").alias("first"))
+    return rows.join(best.select("first.number"), "number", "left_semi").select("row.*")

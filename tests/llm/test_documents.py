@@ -181,6 +181,15 @@ def test_connected_components(spark):
     assert components.connected_components(edges.limit(0)).count() == 0
 
 
+def test_reruns_keep_the_same_row(spark, documents):
+    """Rows that agree in id and text but not in other columns, and rows that agree in all."""
+    base = documents.select("doc_id", "text")
+    many = base.crossJoin(spark.range(4).select((F.col("id") % 3).alias("number"))).withColumn("first", F.lit("x"))
+    runs = [simhash.one_of_each(many.repartition(n), 4, 4).collect() for n in (2, 7)]
+    assert Counter(runs[0]) == Counter(runs[1])
+    assert len(runs[0]) == simhash.components(base, 4, 4).select("component_id").distinct().count()
+
+
 # Mixing
 
 
@@ -290,6 +299,33 @@ def test_a_crowd_of_copies_is_spread(spark, documents, tmp_path):
     assert len(share) == 8 and max(r["count"] for r in share) < 2 * n / 8
 
 
+def test_only_crowds_are_spread(spark, documents, monkeypatch, tmp_path):
+    """Buckets of a few rows: rows whose id is their own keep their key, however small a bucket is."""
+    seen = []
+    spread = sharding._spread_crowds
+
+    def watched(rows, large, *more):
+        out = spread(rows, large, *more)
+        keys = rows.select("row.doc_id", "key").exceptAll(out.select("row.doc_id", "key"))
+        seen.append({r["doc_id"] for r in keys.collect()})
+        return out
+
+    monkeypatch.setattr(sharding, "_spread_crowds", watched)
+    crowd = spark.range(300).select(F.lit(77_777).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    df = documents.select("doc_id", "text").union(crowd)
+    check_shards(df, shards_of(spark, df, f"{tmp_path}/crowd", bucket_bytes=4_000))
+    assert seen == [{77_777}]
+
+
+def test_wide_rows_count_whole(spark, monkeypatch, tmp_path):
+    df = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.repeat(F.lit("y"), 5000).alias("more"))
+    seen = []
+    per_bucket = sharding._per_bucket
+    monkeypatch.setattr(sharding, "_per_bucket", lambda rows, n: seen.append(n) or per_bucket(rows, n))
+    check_shards(df, shards_of(spark, df, f"{tmp_path}/wide", bucket_bytes=100_000))
+    assert seen[0] >= 10
+
+
 def test_sharding_query(spark):
     rows = queries.op3_sharding(spark, SF_DIR).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
