@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.tables import table
-from riskbook.operators import councils
+from riskbook.operators import councils, layers
 from riskbook.sources.boundaries import read_boundaries, write_boundaries
 from riskbook.sources.publish import scratch_path
 
@@ -89,6 +89,47 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(councils.grid_clusters(points, zoom=6))
 
 
+def pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_extendedprice / 2000 AS latitude", "l_quantity - 25 AS longitude"
+    )
+    clusters = councils.cluster_pyramid(points, finest=12, coarsest=1)
+    # Sums have six decimals, means may end in ties.
+    return clusters.withColumns({c: F.round(F.col(c) * F.col("count"), 6) for c in ("lat", "lon")})
+
+
+def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounts as weights; every seventh line has none. The kernel's shares are 256ths."""
+    points = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_extendedprice / 2000 AS lat", "l_quantity - 25 AS lon", "if(l_linenumber = 7, NULL, l_discount) AS weight"
+    )
+    surface = layers.heat_raster(points, "lat", "lon", zoom=8)
+    return surface.withColumn("intensity", F.round(F.col("intensity") * 256, 4))
+
+
+def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' nations as one GeoJSON document, whose texts hold braces, quotes and the word Feature; read back by its
+    features."""
+    feature = F.to_json(F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(
+            F.col("LAD13CD").cast("string").alias("LAD13CD"), "LAD13NM",
+            F.format_string('},{"type":"Feature" \\ %d', "LAD13CD").alias("note"),
+        ).alias("properties"),
+        F.expr("named_struct('type', 'Point', 'coordinates', array(LAD13CD, 1))").alias("geometry"),
+    ))
+    rows = nations(spark, sf_dir).select("LAD13CD", feature.alias("f"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("LAD13CD", "f"))), lambda x: x.f)
+    listed = rows.agg(F.array_join(in_order, ", ").alias("features"))
+    document = listed.select(F.concat(F.lit('{"type": "FeatureCollection", "features": [ '), "features", F.lit("]}")))
+    path = scratch_path(spark, "document")
+    document.write.text(path)
+    return read_boundaries(spark, path, ("LAD13CD", "LAD13NM", "note")).select(
+        F.col("LAD13CD").cast("int").alias("code"), F.col("LAD13NM").alias("name"), "note",
+        F.get_json_object("geometry", "$.coordinates[0]").cast("int").alias("x"),
+    )
+
+
 _ACTIVE = "events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey"
 _PIVOT = ", ".join(f"count(*) FILTER (c_mktsegment = '{k}') AS \"{k}\"" for k in KINDS)
 _BOUNDARIES = f"""SELECT b.n_nationkey AS "LAD13CD", b.n_name AS "LAD13NM", """ + ", ".join(
@@ -104,6 +145,9 @@ QUERIES = {
     "choropleth_counts": choropleth,
     "county_clusters": named_councils,
     "grid_clusters": cells,
+    "cluster_pyramid": pyramid,
+    "heat_raster": raster,
+    "boundary_document": whole_documents,
 }
 
 SQL = {
@@ -123,4 +167,20 @@ SQL = {
     "grid_clusters": """
         SELECT CAST(floor(lat / 5.625) AS BIGINT) AS cell_y, CAST(floor(lon / 5.625) AS BIGINT) AS cell_x, count(*) AS count, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
         FROM (SELECT l_extendedprice / 2000 AS lat, l_quantity - 25 AS lon FROM lineitem) GROUP BY 1, 2""",
+    "cluster_pyramid": """
+        SELECT CAST(zoom AS INTEGER) AS zoom, CAST(floor(lat / (360.0::DOUBLE / 2 ** zoom)) AS BIGINT) AS cell_y,
+               CAST(floor(lon / (360.0::DOUBLE / 2 ** zoom)) AS BIGINT) AS cell_x, count(*) AS count,
+               round(sum(lat), 6) AS lat, round(sum(lon), 6) AS lon
+        FROM (SELECT l_extendedprice / 2000 AS lat, l_quantity - 25 AS lon, unnest(range(1, 13)) AS zoom FROM lineitem)
+        GROUP BY 1, 2, 3""",
+    "heat_raster": """
+        WITH p AS (SELECT CAST(floor(l_extendedprice / 2000 / 1.40625) AS BIGINT) AS y,
+                          CAST(floor((l_quantity - 25) / 1.40625) AS BIGINT) AS x, l_discount AS w
+                   FROM lineitem WHERE l_linenumber <> 7),
+        k AS (SELECT * FROM (VALUES (-2, 1), (-1, 4), (0, 6), (1, 4), (2, 1)) AS t(d, share))
+        SELECT y + a.d AS cell_y, x + b.d AS cell_x, round(sum(w * a.share * b.share), 4) AS intensity,
+               (y + a.d + 0.5) * 1.40625::DOUBLE AS lat, (x + b.d + 0.5) * 1.40625::DOUBLE AS lon
+        FROM p, k a, k b GROUP BY ALL""",
+    "boundary_document": r"""SELECT n_nationkey AS code, n_name AS name,
+        '},{"type":"Feature" \ ' || n_nationkey AS note, n_nationkey AS x FROM nation""",
 }

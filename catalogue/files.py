@@ -9,6 +9,7 @@ from catalogue.tables import table
 from riskbook.operators.merges import lower_columns
 from riskbook.sources import publish, readers
 from riskbook.sources.schemas import PORTFOLIO_TYPES, schema_of
+from riskbook.sources.types import form_counts, with_types
 
 ITEM = schema_of("l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string")
 ORDER = schema_of("o_orderkey bigint, o_custkey bigint, o_totalprice double")
@@ -85,7 +86,23 @@ def several_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _published(spark, sf_dir, "csv")
     keys = {c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")}
-    return readers.read_inferred_csv(spark, f"{base}/dt=20230427").withColumns(keys)
+    landed = readers.land_inferred_csv(spark, f"{base}/dt=20230427", publish.scratch_path(spark, "inferred"))
+    return landed.withColumns(keys)
+
+
+MIXED = """CASE WHEN n_chars % 4 = 0 THEN concat(n_chars, '.0') WHEN n_chars % 4 = 1 THEN concat('00', n_chars)
+    WHEN n_chars % 4 = 2 THEN concat(n_chars, 'e0') ELSE CAST(n_chars AS string) END"""
+
+
+def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and types of the columns of an all-text table, whose numbers are written in several ways."""
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "CAST(doc_id AS string) AS id", "lang", f"{MIXED} AS mixed", f"{SPELLED} AS spelled",
+        "CAST(n_chars > 1000 AS string) AS long", "concat(n_chars, '.25') AS quarter", "CAST(NULL AS string) AS nothing",
+    )
+    path = publish.scratch_path(spark, "texts")
+    rows.write.option("header", True).csv(path)
+    return with_types(form_counts(readers.read_raw_csv(spark, path)))
 
 
 def raw_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +162,7 @@ QUERIES = {
     "read_published_day": one_day,
     "read_several_files": several_files,
     "read_inferred_csv": inferred,
+    "type_counts": type_counts,
     "read_raw_csv": raw_typed,
     "spelled_numbers": spelled_numbers,
     "lost_numbers": lost_numbers,
@@ -161,6 +179,20 @@ SQL = {
     "read_several_files": """SELECT o_orderkey, o_custkey, o_totalprice / 2 AS o_totalprice FROM orders
         UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders""",
     "read_inferred_csv": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+    "type_counts": """
+        WITH d AS (SELECT *, length(CAST(n_chars AS VARCHAR)) AS w FROM documents)
+        SELECT 'id' AS "column", count(doc_id) AS "values", count(doc_id) AS whole, CAST(0 AS BIGINT) AS decimal,
+               CAST(0 AS BIGINT) AS fractional, CAST(0 AS BIGINT) AS logical, CAST(0 AS BIGINT) AS other,
+               CAST(max(CASE WHEN doc_id = 0 THEN 0 ELSE length(CAST(doc_id AS VARCHAR)) END) AS BIGINT) AS digits, 'bigint' AS type FROM d
+        UNION ALL SELECT 'lang', count(lang), 0, 0, 0, 0, count(lang), 0, 'string' FROM d
+        UNION ALL SELECT 'mixed', count(n_chars), count(*) FILTER (n_chars % 4 IN (1, 3)),
+               count(*) FILTER (n_chars % 4 IN (0, 2)), 0, 0, 0, max(w), 'double' FROM d
+        UNION ALL SELECT 'spelled', count(*) FILTER (n_chars % 5 <> 3), count(*) FILTER (n_chars % 5 = 0),
+               count(*) FILTER (n_chars % 5 IN (1, 2)), count(*) FILTER (n_chars % 5 = 2), 0,
+               count(*) FILTER (n_chars % 5 = 4), max(CASE WHEN n_chars % 5 < 3 THEN w END), 'string' FROM d
+        UNION ALL SELECT 'long', count(*), 0, 0, 0, count(*), 0, 0, 'boolean' FROM d
+        UNION ALL SELECT 'quarter', count(*), 0, count(*), count(*), 0, 0, max(w), 'double' FROM d
+        UNION ALL SELECT 'nothing', 0, 0, 0, 0, 0, 0, 0, 'string'""",
     "read_raw_csv": """
         SELECT doc_id, nullif(lang, 'fr') AS lang, nullif(quality, 0) AS quality,
                CASE WHEN toxic = 1 THEN NULL ELSE n_chars END AS n_chars

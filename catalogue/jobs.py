@@ -93,7 +93,9 @@ def property_flood_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _portfolio_files(spark: SparkSession, sf_dir: str, root: str, order_id: str = "o_orderkey") -> list[str]:
+def _portfolio_files(
+    spark: SparkSession, sf_dir: str, root: str, order_id: str = "o_orderkey", score_id: str = "l_orderkey"
+) -> list[str]:
     """Orders as portfolio, line items as risk scores, documents as coordinates. The score file brings loan, rating
     and energy columns, the portfolio the rest of the columns that the layers show."""
     from_scores = {"current_energy_efficiency", "energy_consumption_current"}
@@ -114,7 +116,7 @@ def _portfolio_files(spark: SparkSession, sf_dir: str, root: str, order_id: str
         F.lit("2021-01-18").alias("INSPECTION_DATE"),
     )
     scores = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS ID", "l_suppkey AS UPRN", "l_extendedprice AS CURRENTLOAN",
+        f"{score_id} AS ID", "l_suppkey AS UPRN", "l_extendedprice AS CURRENTLOAN",
         "if(l_linenumber = 7, 'N/A', CAST(l_discount AS string)) AS CURRENTLTV",
         "l_returnflag AS CURRENT_ENERGY_RATING",
         "if(l_linenumber = 6, 'NODATA!', CAST(CAST(l_quantity * 12 AS int) AS string)) AS CURRENT_ENERGY_EFFICIENCY",
@@ -150,6 +152,17 @@ def portfolio_merged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].select(*shown).unionByName(tables[1].select(*shown))
 
 
+def portfolio_mixed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inner merge where the scores write their ids in four ways, which all mean the same number."""
+    root = scratch_path(spark, "portfolio-merge")
+    score_id = """CASE l_linenumber % 4 WHEN 0 THEN concat(l_orderkey, '.0') WHEN 1 THEN concat('00', l_orderkey)
+        WHEN 2 THEN concat(l_orderkey, 'e0') ELSE CAST(l_orderkey AS string) END"""
+    files = _portfolio_files(spark, sf_dir, root, "concat(o_orderkey, if(o_orderkey % 2 = 0, '.00', ''))", score_id)
+    portfolio_merge_job(spark, *files, f"{root}/merged", f"{root}/staged", DAY)
+    merged = typed_portfolio(read_published(spark, f"{root}/merged/parquet").drop("dt"))
+    return merged.select("id", "uprn", "latitude", "currentloan")
+
+
 def _converted(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "portfolio-conversion")
     files = _portfolio_files(spark, sf_dir, root)
@@ -299,6 +312,7 @@ QUERIES = {
     "job_property_report": property_report,
     "job_property_layers": property_flood_points,
     "job_portfolio_merged": portfolio_merged,
+    "job_portfolio_mixed_ids": portfolio_mixed_ids,
     "job_portfolio_duplicates": portfolio_duplicates,
     "job_portfolio_report": portfolio_report,
     "job_portfolio_layers": portfolio_points,
@@ -331,6 +345,9 @@ SQL = {
         SELECT o_orderkey AS id, o_custkey AS uprn, o_totalprice AS easting, 51.5e0 AS latitude,
                l_extendedprice AS currentloan, capital AS initial_borrow_capital
         FROM merged""",
+    "job_portfolio_mixed_ids": f"""WITH {_MERGED.format(how="INNER")}
+        SELECT o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN '.00' ELSE '' END AS id, o_custkey AS uprn,
+               51.5e0 AS latitude, l_extendedprice AS currentloan FROM merged""",
     "job_portfolio_duplicates": f"WITH {_MERGED.format(how='LEFT')} " + " UNION ALL ".join(
         f"""SELECT '{step}' AS step, '{key}' AS key, count(*) AS keys, CAST(sum(n) AS BIGINT) AS rows
         FROM (SELECT count(*) AS n FROM ({rows}) GROUP BY {by} HAVING count(*) > 1) HAVING count(*) > 0"""
@@ -360,13 +377,14 @@ SQL = {
     "job_property_matrix": _matrix_sql(_ENRICHED, "enriched", "l_extendedprice", 2),
     "job_portfolio_layer_rows": f"""WITH {_MERGED.format(how="LEFT")}, n AS (SELECT count(*) AS n FROM merged)
         SELECT unnest(['typed', 'energy', 'flood', 'index', 'heat', 'types', 'councils', 'environment']) AS layer, n AS rows FROM n
-        UNION ALL SELECT 'clusters', least(1, count(doc_id)) FROM merged
+        UNION ALL SELECT 'clusters', 19 * least(1, count(doc_id)) FROM merged
+        UNION ALL SELECT 'heat_raster', 25 * least(1, count(doc_id)) FROM merged
         UNION ALL SELECT 'county_clusters', least(1, count(*)) FROM merged
         UNION ALL SELECT 'choropleth', count(*) FROM nation
         UNION ALL SELECT * FROM (VALUES ('legend_energy', 8), ('legend_flood', 7), ('legend_environment', 8))""",
     "job_property_layer_rows": f"""WITH {_ENRICHED}
         SELECT unnest(['energy', 'flood', 'index']) AS layer, count(*) AS rows FROM enriched
-        UNION ALL SELECT 'clusters', least(1, count(*)) FROM enriched
+        UNION ALL SELECT 'clusters', 19 * least(1, count(*)) FROM enriched
         UNION ALL SELECT * FROM (VALUES ('legend_energy', 15), ('legend_flood', 6))""",
     "job_portfolio_boundaries": f"""WITH {_MERGED.format(how="LEFT")},
         c AS (SELECT o_custkey, count(*) AS n FROM merged GROUP BY 1)

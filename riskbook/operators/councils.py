@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskbook.functions.common import number
+
 PROPERTY_TYPES = ("House", "Flat", "Bungalow", "Maisonette")
 
 # The councils of the published county map.
@@ -103,3 +105,29 @@ def grid_clusters(df: DataFrame, zoom: int, lat: str = "latitude", lon: str = "l
         .groupBy(F.floor(F.col(lat) / step).alias("cell_y"), F.floor(F.col(lon) / step).alias("cell_x"))
         .agg(F.count("*").alias("count"), F.avg(lat).alias("lat"), F.avg(lon).alias("lon"))
     )
+
+
+def cluster_pyramid(
+    df: DataFrame, finest: int = 18, coarsest: int = 0, lat: str = "latitude", lon: str = "longitude"
+) -> DataFrame:
+    """Clusters at every zoom from ``coarsest`` to ``finest``: ``zoom``, cell, size and mean position, each zoom as
+    :func:`grid_clusters` gives it.
+
+    Points are counted once, in the cells of the finest zoom; a cell of a coarser zoom is four of the next finer one, so
+    its number is theirs without the last bits, and sums and counts are rolled up from cells. Points move once, combined
+    by cell, and what is rolled up grows with the cells in use, not with the points. Positions that are missing or no
+    number are left out.
+    """
+    step = F.lit(360.0 / 2**finest)
+    placed = df.select(number(lat).alias("lat"), number(lon).alias("lon")).where("lat is not null and lon is not null")
+    cells = placed.groupBy(F.floor(F.col("lat") / step).alias("y"), F.floor(F.col("lon") / step).alias("x")).agg(
+        F.count("*").alias("n"), F.sum("lat").alias("lat"), F.sum("lon").alias("lon")
+    )
+    levels = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(finest - coarsest))).alias("up"))
+    by_level = levels.groupBy(
+        (F.lit(finest) - F.col("up")).alias("zoom"),
+        F.expr("shiftright(y, up)").alias("cell_y"),
+        F.expr("shiftright(x, up)").alias("cell_x"),
+    )
+    sums = by_level.agg(F.sum("n").alias("count"), F.sum("lat").alias("lat"), F.sum("lon").alias("lon"))
+    return sums.withColumns({c: F.col(c) / F.col("count") for c in ("lat", "lon")})

@@ -1,16 +1,17 @@
 """Map layers as tables: id, position, colour, label and a detail struct. Drawing them is left to the map tool.
 
-Every layer is a projection (with at most a filter) of the enriched table: no shuffle, no state.
+Every layer but the heat raster is a projection (with at most a filter) of the enriched table: no shuffle, no state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.functions.common import as_col
+from riskbook.functions.common import as_col, number
 from riskbook.functions.flood import flood_rating, heat_weight
 from riskbook.functions.palettes import (
     ENVIRONMENT_COLOURS,
@@ -99,6 +100,35 @@ def heat_layer(
     )
 
 
+def heat_raster(
+    df: DataFrame, lat: str, lon: str, weight: Column | str = "weight", zoom: int = 14, radius: int = 2
+) -> DataFrame:
+    """The heat map's surface at a zoom: ``intensity`` of each map cell, with the cell's middle.
+
+    The weight of a cell is spread over the cells up to ``radius`` away by a fixed kernel (binomial in each direction,
+    shares that add up to one), and what a cell gets from all is summed. Weights are added up by cell first, so the
+    surface grows with the cells in use, not with the properties; every weight is kept, also beyond the edge of the map.
+    Rows without position or weight add nothing.
+    """
+    step = F.lit(360.0 / 2**zoom)
+    points = df.select(number(lat).alias("lat"), number(lon).alias("lon"), number(weight).alias("w")).dropna()
+    cells = points.groupBy(F.floor(F.col("lat") / step).alias("y"), F.floor(F.col("lon") / step).alias("x")).agg(
+        F.sum("w").alias("w")
+    )
+    shares = [comb(2 * radius, k) / 4**radius for k in range(2 * radius + 1)]
+    stamp = F.array(*[
+        F.struct(F.lit(i - radius).alias("dy"), F.lit(j - radius).alias("dx"), F.lit(a * b).alias("share"))
+        for i, a in enumerate(shares)
+        for j, b in enumerate(shares)
+    ])
+    stamped = cells.select("y", "x", "w", F.inline(stamp))
+    spread = stamped.groupBy((F.col("y") + F.col("dy")).alias("cell_y"), (F.col("x") + F.col("dx")).alias("cell_x")).agg(
+        F.sum(F.col("w") * F.col("share")).alias("intensity")
+    )
+    middle = {c: (F.col(f"cell_{axis}") + 0.5) * step for c, axis in (("lat", "y"), ("lon", "x"))}
+    return spread.withColumns(middle)
+
+
 def type_layer(
     df: DataFrame,
     id_: str,

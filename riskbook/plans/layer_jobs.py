@@ -19,8 +19,8 @@ from riskbook.operators import layers
 from riskbook.operators.councils import (
     boundary_property_counts,
     choropleth_counts,
+    cluster_pyramid,
     county_clusters,
-    grid_clusters,
 )
 from riskbook.operators.quality import all_category_counts
 from riskbook.plans.portfolio_jobs import typed_portfolio
@@ -40,6 +40,9 @@ CATEGORY_PAIRS = (
     ("inspection_date", "inspection_date"),
 )
 
+# Clusters are published for this zoom and all coarser ones.
+FINEST_ZOOM = 18
+
 
 def property_layers(df: DataFrame) -> dict[str, DataFrame]:
     where = ("ecad_id", "etrs89_lat", "etrs89_long")
@@ -49,7 +52,7 @@ def property_layers(df: DataFrame) -> dict[str, DataFrame]:
         ),
         "flood": layers.flood_index_layer(df, *where, detail=details.property_flood_detail()),
         "index": layers.index_layer(df, *where, details.property_index_detail()),
-        "clusters": grid_clusters(df, 10, where[1], where[2]),
+        "clusters": cluster_pyramid(df, FINEST_ZOOM, 0, where[1], where[2]),
     }
 
 
@@ -62,12 +65,13 @@ def portfolio_layers(df: DataFrame) -> dict[str, DataFrame]:
         "flood": layers.flood_score_layer(df, *where, detail=details.portfolio_flood_detail()),
         "index": layers.index_layer(df, *where, details.portfolio_index_detail()),
         "heat": layers.heat_layer(df, where[1], where[2]),
+        "heat_raster": layers.heat_raster(layers.heat_layer(df, where[1], where[2]), "lat", "lon"),
         # Points of the flood layer by type and by council; their details are there, by id.
         "types": layers.type_layer(df, *where),
         "councils": layers.council_layer(df, *where),
         "environment": layers.environment_layer(df, *where, detail=details.portfolio_environment_detail()),
         "county_clusters": county_clusters(df),
-        "clusters": grid_clusters(df, 10),
+        "clusters": cluster_pyramid(df, FINEST_ZOOM),
         "category_counts": all_category_counts(df, CATEGORY_PAIRS),
     }
 

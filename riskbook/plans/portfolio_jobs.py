@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.energy import initial_capital
@@ -18,6 +20,7 @@ from riskbook.operators.quality import (
 from riskbook.sources.publish import publish, read_published
 from riskbook.sources.readers import blank_to_null, read_raw_csv, typed_columns
 from riskbook.sources.schemas import PORTFOLIO_TYPES
+from riskbook.sources.types import form_counts, key_type, number_of
 
 
 def _landed(spark: SparkSession, path: str, staged: str, run_date: str, source: str) -> DataFrame:
@@ -27,21 +30,17 @@ def _landed(spark: SparkSession, path: str, staged: str, run_date: str, source:
     return read_published(spark, f"{staged}/{source}", run_date).drop("dt")
 
 
-def _number(text: str) -> Column:
-    """A whole number of up to 18 digits, whatever blanks or zeros surround it; null for anything else."""
-    trimmed = F.trim(F.col(text))
-    return F.when(trimmed.rlike(r"^[+-]?[0-9]{1,18}$"), trimmed.try_cast("bigint"))
-
-
-def _has_number_ids(df: DataFrame) -> bool:
-    return df.where(_number("id").isNull()).isEmpty()
+def _id_type(others: list[DataFrame]) -> str | None:
+    """The type in which the ids of both other files are compared: numbers, if all of them are."""
+    # A row per file.
+    return key_type(reduce(DataFrame.union, [form_counts(df, ["id"]) for df in others]).collect())
 
 
-def _merged_by_number(portfolio: DataFrame, others: list[DataFrame], how: str) -> DataFrame:
+def _merged_by_number(portfolio: DataFrame, others: list[DataFrame], how: str, kind: str) -> DataFrame:
     """The merge on ids as numbers, with the portfolio's ids as they were written."""
-    keyed = with_key(portfolio.select(F.col("id").alias("_written"), "*").withColumn("id", _number("id")), "id")
-    numbered = [df.withColumn("id", _number("id")) for df in others]
-    merged = merge_portfolio(keyed, *numbered, how=how, salted=True)
+    number = number_of(F.col("id"), kind)
+    keyed = with_key(portfolio.select(F.col("id").alias("_written"), "*").withColumn("id", number), "id")
+    merged = merge_portfolio(keyed, *[df.withColumn("id", number) for df in others], how=how, salted=True)
     return merged.withColumn("id", F.col("_written")).drop("_written")
 
 
@@ -58,16 +57,17 @@ def portfolio_merge_job(
     """Merges the three files by id and publishes the day as Parquet, CSV and JSON lines under ``merged``.
     Returns the number of rows written.
 
-    The inner merge finds out types: if all ids of both other files are whole numbers, ids are compared as numbers, so
-    that ``007`` meets 7, and a portfolio id that is none meets nothing. The left merge compares texts as they are.
-    Either way the portfolio's id is published as it was written.
+    The inner merge finds out types: if all ids of both other files are numbers, ids are compared as numbers, so that
+    ``007``, ``7.0`` and ``7e0`` all meet 7, and a portfolio id that is none meets nothing. The left merge compares texts
+    as they are. Either way the portfolio's id is published as it was written.
     """
     portfolio, *others = (
         _landed(spark, path, staged, run_date, source)
         for path, source in ((portfolio_csv, "portfolio"), (risk_scores_csv, "risk_scores"), (latlong_csv, "latlong"))
     )
-    if how == "inner" and all(map(_has_number_ids, others)):
-        table = _merged_by_number(portfolio, others, how)
+    kind = _id_type(others) if how == "inner" else None
+    if kind:
+        table = _merged_by_number(portfolio, others, how, kind)
     else:
         table = merge_portfolio(portfolio, *others, how=how, salted=True)
     table, seen = counted(table, "portfolio")

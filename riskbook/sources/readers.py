@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbook.sources.schemas import CORRUPT, with_corrupt
+from riskbook.sources.types import as_types, found_types
 
 # Texts that stand for a missing value when the portfolio files are read for the maps and counts.
 MISSING_SPELLINGS = (
@@ -60,9 +61,13 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(~bad).drop(CORRUPT), df.where(bad)
 
 
-def read_inferred_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """CSV whose types are inferred, at the price of a second read. Prefer a schema for large files."""
-    return _csv(spark, True).option("inferSchema", True).csv(path)
+def land_inferred_csv(spark: SparkSession, path: str | Sequence[str], staged: str) -> DataFrame:
+    """CSV whose types are found: parsed once, into a Parquet table of texts at ``staged``; types come from one scan of
+    that table, and columns are cast as they are read (see :mod:`riskbook.sources.types`)."""
+    texts = read_raw_csv(spark, path)
+    texts.write.mode("overwrite").parquet(staged)
+    landed = spark.read.schema(texts.schema).parquet(staged)
+    return as_types(landed, found_types(landed))
 
 
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
