@@ -21,9 +21,9 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column. Quartiles are exact and interpolated; missing values, NaN and non-numbers are left out.
 
     The first scan of ``df``, which should be a stored table, takes the moments and a quantile sketch of each column.
-    After it, rounds of two scans count the values below the ranges in which the wanted ranks lie, and those inside by
-    bins, until every range is down to one value; mostly one round is enough, seldom two. No column is gathered in one
-    task: a task keeps at most ``BINS`` counts per range, and the driver gets one row per range and round.
+    After it, rounds of one scan count the values below and between the ranges in which the wanted ranks lie, and those
+    inside by bins, until every range is down to one value; mostly one round is enough, seldom two. No column is gathered
+    in one task: a task keeps at most ``BINS`` counts per range, and the driver gets one row per rank and round.
     """
     values = df.select(*[number(c).alias(c) for c in columns])
     moments = _moments(values, columns).collect()
@@ -85,53 +85,67 @@ def _values_at(values: DataFrame, moments: list[Row], places: dict) -> dict[tupl
     """The value at each wanted rank of each column."""
     open_: dict[tuple[str, int], tuple[float, float]] = {}
     found: dict[tuple[str, int], float] = {}
-    ends = {r["column"]: (r["min"], r["max"]) for r in moments}
     for r in moments:
         for k, (_, p) in enumerate(QUARTILES if r["count"] else ()):
             place = places[r["column"], p]
             for rank in {math.floor(place), math.ceil(place)}:
                 open_[r["column"], rank] = (r["ranges"][2 * k], r["ranges"][2 * k + 1])
     while open_:
-        ranges = sorted({(c, *bounds) for (c, _), bounds in open_.items()})
-        targets = [(c, rank, ranges.index((c, *bounds))) for (c, rank), bounds in open_.items()]
-        hits = {(r["column"], r["rank"]): r for r in _locate(_bins_of(values, ranges), targets)}
-        for key, (low, high) in list(open_.items()):
-            hit, (least, most) = hits.get(key), ends[key[0]]
-            if hit is None:  # the sketch was off: the rank lies above the range
-                open_[key] = (high, most)
-            elif hit["bin"] is None:  # below it
-                open_[key] = (least, low)
-            elif hit["low"] == hit["high"]:
-                found[key] = hit["low"]
+        ranges: dict[str, list[tuple[float, float]]] = {}
+        for (column, _), bounds in open_.items():
+            ranges.setdefault(column, []).append(bounds)
+        bins = _bins_of(values, {c: _apart(found_) for c, found_ in ranges.items()})
+        for r in _locate(bins, list(ranges), list(open_)):
+            key = r["column"], r["rank"]
+            # A rank outside of its range, where the sketch was off, goes on with the stretch it fell in.
+            open_[key] = (r["low"], r["high"])
+            if r["low"] == r["high"]:
+                found[key] = r["low"]
                 del open_[key]
-            else:
-                open_[key] = (hit["low"], hit["high"])
     return found
 
 
-def _bins_of(values: DataFrame, ranges: list[tuple[str, float, float]]) -> DataFrame:
-    """Counts of the values below each range (``bin`` null) and of those in each bin of it. Only the few values inside a
-    range become rows of their own."""
-    below, inside = [], []
-    for k, (c, low, high) in enumerate(ranges):
+def _apart(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Ranges in order, those that overlap as one."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _bins_of(values: DataFrame, ranges: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """Counts of the values of each column by stretch, in order: below the first range, in it, between it and the next,
+    and so on; inside a range by bin. One scan; a row is one value per column."""
+
+    def placed(number: int, c: str) -> Column:
         value = F.col(f"`{c}`")
-        fields = [F.lit(k).alias("range"), F.lit(None).cast("long").alias("bin")]
-        nothing = F.lit(None).cast("double")
-        count = F.count(F.when(value < F.lit(low), 1)).alias("n")
-        below.append(F.struct(*fields, count, nothing.alias("low"), nothing.alias("high")))
-        within = F.struct(F.lit(k).alias("range"), _bin(value, low, high).alias("bin"), value.alias("value"))
-        inside.append(F.when(value.between(F.lit(low), F.lit(high)), within))
+        stretch, bin_ = F.when(value < F.lit(ranges[c][0][0]), 0), F.lit(None).cast("long")
+        for k, (low, high) in enumerate(ranges[c]):
+            inside = value.between(F.lit(low), F.lit(high))
+            # What is below a range has passed those before it.
+            stretch = stretch.when(value < F.lit(low), 2 * k).when(value <= F.lit(high), 2 * k + 1)
+            if high > low:
+                bin_ = F.when(inside, _bin(value, low, high)).otherwise(bin_)
+        stretch = stretch.otherwise(2 * len(ranges[c]))
+        fields = [F.lit(number).alias("column"), stretch.alias("stretch"), bin_.alias("bin"), value.alias("value")]
+        return F.when(value.isNotNull(), F.struct(*fields))
+
+    rows = values.select(F.inline(F.array(*[placed(*x) for x in enumerate(ranges)]))).where("column is not null")
     figures = [F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-    rows = values.select(F.inline(F.filter(F.array(*inside), lambda x: x.isNotNull())))
-    counts = values.agg(F.array(*below).alias("rows")).select(F.inline("rows"))
-    return rows.groupBy("range", "bin").agg(*figures).unionByName(counts)
+    return rows.groupBy("column", "stretch", "bin").agg(*figures)
 
 
-def _locate(bins: DataFrame, targets: list[tuple[str, int, int]]) -> list[Row]:
-    """The bin each target rank falls in. A target is its column, its rank and the place of its range."""
-    order = Window.partitionBy("range").orderBy(F.col("bin").asc_nulls_first())
+def _locate(bins: DataFrame, columns: list[str], targets: list[tuple[str, int]]) -> list[Row]:
+    """The extremes of the bin or stretch that each target, a column and a rank, falls in."""
+    order = Window.partitionBy("column").orderBy("stretch", "bin")
     running = bins.withColumn("upto", F.sum("n").over(order)).withColumn("before", F.col("upto") - F.col("n"))
-    wanted = bins.sparkSession.createDataFrame(targets, "column string, rank long, range int")
+    # Two ranks per column and quartile at most.
+    wanted = [[rank for column, rank in targets if column == c] for c in columns]
+    ranks = F.get(F.array(*[F.array(*[F.lit(r).cast("long") for r in some]) for some in wanted]), F.col("column"))
     hit = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto"))
-    # The targets are two per column and quartile at most.
-    return running.join(F.broadcast(wanted), "range").where(hit).select("column", "rank", "bin", "low", "high").collect()
+    each = running.withColumn("rank", F.explode(ranks)).where(hit)
+    names = F.array(*[F.lit(c) for c in columns])
+    return each.select(F.get(names, F.col("column")).alias("column"), "rank", "low", "high").collect()

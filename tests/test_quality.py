@@ -141,12 +141,17 @@ def test_profile_scans(spark, monkeypatch):
 
     scans = []
     locate = module._locate
-    monkeypatch.setattr(module, "_locate", lambda *a: scans.append(1) or locate(*a))
+
+    def counted(bins, *more):
+        scans.append(bins._jdf.queryExecution().executedPlan().toString().count("Range ("))
+        return locate(bins, *more)
+
+    monkeypatch.setattr(module, "_locate", counted)
     df = spark.range(100_000).selectExpr("CAST(id * 7919 % 100003 AS double) AS v")
     assert module.profile(df, ["v"]).first()["p50"] == pytest.approx(
         np.percentile([i * 7919 % 100003 for i in range(100_000)], 50)
     )
-    assert len(scans) <= 2
+    assert len(scans) <= 2 and set(scans) == {1}
     monkeypatch.setattr(module, "SKETCH_MARGIN", -0.2)
     assert module.profile(df, ["v"]).first()["p25"] == pytest.approx(
         np.percentile([i * 7919 % 100003 for i in range(100_000)], 25)
