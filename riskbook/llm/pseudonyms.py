@@ -38,7 +38,10 @@ ROUNDS = 8
 HASHES = 2
 SYMBOL_HEX = 4
 
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
+# A name has 126 labels at most; without a bound the matcher would go one call deeper for each.
+EMAIL = (
+    r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])"
+)
 # Lengths of account numbers by country, of which the printed groups of four do not tell the end (fixed values).
 _IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -99,7 +102,13 @@ def _general() -> str:
 
 
 PHONE = rf"(?<![\w+])\+(?:{'|'.join(_complete(*x) for x in _LENGTHS.items())}|{_general()})|{NATIONAL}"
-ANY = "|".join([EMAIL, IBAN, IP, DATE, SSN, PHONE, CARD])
+# No value begins inside a word; what begins with a letter is an address or an account.
+ANY = (
+    rf"(?<!\w)(?:(?=[A-Za-z])(?:{EMAIL}|{IBAN})"
+    rf"|(?=[0-9+(])(?:{'|'.join([EMAIL, IP, DATE, SSN, PHONE, CARD])}))"
+)
+# A text without these holds no value.
+MARKS = "[0-9@]"
 # So many places of a text are joined at a time.
 PLACES = 256
 
@@ -449,9 +458,12 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text", count: str | None
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.col(f"`{text}`").alias("text"),
-        F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"(?=({ANY}))"), F.lit(1)).alias("found"),
+        F.when(
+            F.col(f"`{text}`").rlike(MARKS),
+            F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"(?=({ANY}))"), F.lit(1)),
+        ).alias("found"),
     )
-    hit = F.size("found") > 0
+    hit = F.coalesce(F.size("found"), F.lit(0)) > 0
     rows = rows.select("row", "text", F.when(hit, _replaced(F.col("text"), F.col("found"), key)).alias("new"))
     result = rows.select(
         "row",

@@ -344,3 +344,15 @@ def test_nothing_personal_is_left(spark):
 def test_the_main_path_runs_no_python(spark, documents):
     text = pseudonyms.pseudonymised(documents, KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", text)
+
+
+def test_no_text_ends_an_executor(spark):
+    """Texts of a megabyte that repeat what values are made of; a matcher that goes a call deeper each time dies."""
+    n = 1 << 20
+    repeated = ("a.", ".", "1", "@", "+1 ", "-", "1234 ", "a@a.", "1.", "1-", "(", "+1 (555) ", "AB12 ", "12/12/", "+")
+    texts = [(r * (n // len(r)),) for r in repeated] + [("x@" + "a." * (n // 2) + "com",), ("a" * n + "@b.com",)]
+    df = spark.createDataFrame(texts, "text string").repartition(8)
+    got = pseudonyms.pseudonymised(df, KEY).select(F.length("text").alias("n"), "n_replaced").collect()
+    assert len(got) == len(texts) and all(r["n"] > n - 20 and r["n_replaced"] == 0 for r in got)
+    held = spark.createDataFrame([("." * n + " joe@mail.example.com.",)], "text string")
+    assert pseudonyms.pseudonymised(held, KEY).first()["n_replaced"] == 1
