@@ -7,9 +7,9 @@ tables; missing matches are those the tables themselves have (orders without lin
 
 from __future__ import annotations
 
-from catalogue import books, councils, exposure, files, jobs, layers, merges, quality, scores
+from catalogue import books, councils, days, exposure, files, jobs, layers, merges, quality, scores
 
-MODULES = (merges, exposure, scores, layers, books, quality, councils, files, jobs)
+MODULES = (merges, exposure, scores, layers, books, quality, councils, files, jobs, days)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 
-from riskbook.plans import layer_jobs, portfolio_jobs, property_jobs, regulatory_jobs
+from riskbook.plans import day_jobs, layer_jobs, portfolio_jobs, property_jobs, regulatory_jobs
 
 JOBS: dict[str, Callable] = {
     "merge-property": property_jobs.merge_property_risk_job,
@@ -23,6 +23,9 @@ JOBS: dict[str, Callable] = {
     "convert-portfolio": portfolio_jobs.portfolio_conversion_job,
     "report-portfolio": regulatory_jobs.portfolio_report_job,
     "layers-portfolio": layer_jobs.portfolio_layers_job,
+    "update-duplicates": portfolio_jobs.duplicate_update_job,
+    "day-property": day_jobs.property_day_job,
+    "day-portfolio": day_jobs.portfolio_day_job,
 }
 
 

@@ -9,24 +9,29 @@ from pyspark.sql import functions as F
 
 from riskbook.functions.energy import initial_capital
 from riskbook.operators.merges import lower_columns, merge_portfolio, with_key
+from riskbook.operators.pair_state import keep_pair_counts
 from riskbook.operators.quality import (
-    counted,
     duplicate_keys,
     duplicate_members,
     duplicates_of_pairs,
     joined_pair_counts,
     pair_counts,
 )
+from riskbook.sources.ledger import Ledger
 from riskbook.sources.publish import publish, read_published
-from riskbook.sources.readers import blank_to_null, read_raw_csv, typed_columns
+from riskbook.sources.readers import blank_to_null, lost_in_row, read_raw_csv, typed_columns
 from riskbook.sources.schemas import PORTFOLIO_TYPES
 from riskbook.sources.types import form_counts, key_type, number_of
 
 
-def _landed(spark: SparkSession, path: str, staged: str, run_date: str, source: str) -> DataFrame:
-    """Rows with an id of an all-text CSV, stored once as Parquet so that the reports do not parse the file again."""
-    rows = with_key(lower_columns(read_raw_csv(spark, path)), "id")
-    publish(rows, f"{staged}/{source}", run_date)
+def _landed(
+    spark: SparkSession, path: str, staged: str, run_date: str, source: str, ledger: Ledger
+) -> DataFrame:
+    """Rows with an id of an all-text CSV, stored once as Parquet so that the reports do not parse the file again.
+    Values that later lose out when numbers become numbers are counted on the way."""
+    rows = lower_columns(read_raw_csv(spark, path))
+    rows = ledger.watch(rows, source, rejected=F.col("id").isNull(), lost=lost_in_row(rows, PORTFOLIO_TYPES))
+    publish(with_key(rows, "id"), f"{staged}/{source}", run_date)
     return read_published(spark, f"{staged}/{source}", run_date).drop("dt")
 
 
@@ -53,16 +58,19 @@ def portfolio_merge_job(
     staged: str,
     run_date: str,
     how: str = "inner",
+    ledger: str | None = None,
 ) -> int:
     """Merges the three files by id and publishes the day as Parquet, CSV and JSON lines under ``merged``.
     Returns the number of rows written.
 
     The inner merge finds out types: if all ids of both other files are numbers, ids are compared as numbers, so that
     ``007``, ``7.0`` and ``7e0`` all meet 7, and a portfolio id that is none meets nothing. The left merge compares texts
-    as they are. Either way the portfolio's id is published as it was written.
+    as they are. Either way the portfolio's id is published as it was written. The counts of the steps are published at
+    ``ledger``, if a place is given.
     """
+    steps = Ledger()
     portfolio, *others = (
-        _landed(spark, path, staged, run_date, source)
+        _landed(spark, path, staged, run_date, source, steps)
         for path, source in ((portfolio_csv, "portfolio"), (risk_scores_csv, "risk_scores"), (latlong_csv, "latlong"))
     )
     kind = _id_type(others) if how == "inner" else None
@@ -70,12 +78,12 @@ def portfolio_merge_job(
         table = _merged_by_number(portfolio, others, how, kind)
     else:
         table = merge_portfolio(portfolio, *others, how=how, salted=True)
-    table, seen = counted(table, "portfolio")
-    publish(table, f"{merged}/parquet", run_date)
+    publish(steps.watch(table, "merged", after="portfolio"), f"{merged}/parquet", run_date)
     stored = read_published(spark, f"{merged}/parquet", run_date).drop("dt")
     publish(stored, f"{merged}/csv", run_date, fmt="csv")
     publish(stored, f"{merged}/json", run_date, fmt="json")
-    return seen.get["rows"]
+    steps.publish(spark, ledger, "merge-portfolio", run_date)
+    return steps.rows_out("merged")
 
 
 def portfolio_conversion_job(
@@ -87,10 +95,11 @@ def portfolio_conversion_job(
     reports: str,
     staged: str,
     run_date: str,
+    ledger: str | None = None,
 ) -> int:
     """The merge that keeps every portfolio row, with duplicate reports of the inputs, of both joins, and the list of
     ids behind each duplicated property number. Returns the number of rows written."""
-    rows = portfolio_merge_job(spark, portfolio_csv, risk_scores_csv, latlong_csv, merged, staged, run_date, "left")
+    rows = portfolio_merge_job(spark, portfolio_csv, risk_scores_csv, latlong_csv, merged, staged, run_date, "left", ledger)
 
     def stage(source: str) -> DataFrame:
         return read_published(spark, f"{staged}/{source}", run_date).drop("dt")
@@ -110,6 +119,26 @@ def portfolio_conversion_job(
     return rows
 
 
+def duplicate_update_job(
+    spark: SparkSession,
+    added_csv: str,
+    state: str,
+    reports: str,
+    staged: str,
+    run_date: str,
+    removed_csv: str | None = None,
+    ledger: str | None = None,
+) -> None:
+    """Brings the duplicate counts of a portfolio up to a day by the rows that came and, if given, those that went, and
+    publishes the report of the whole portfolio as it then stands. Rows of earlier days are not read."""
+    steps = Ledger()
+    added = _landed(spark, added_csv, staged, run_date, "added", steps)
+    removed = _landed(spark, removed_csv, staged, run_date, "removed", steps) if removed_csv else None
+    counts = keep_pair_counts(spark, state, run_date, added, removed)
+    publish(duplicates_of_pairs(counts), f"{reports}/duplicates", run_date, fmt="csv")
+    steps.publish(spark, ledger, "update-duplicates", run_date)
+
+
 def typed_portfolio(df: DataFrame) -> DataFrame:
     """A merged portfolio with lower-case names, missing values as null, numbers as numbers, and the capital implied
     by loan and loan-to-value."""

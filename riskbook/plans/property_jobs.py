@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskbook.operators.merges import enrich_loan_book, merge_property_risk
-from riskbook.operators.quality import counted
 from riskbook.sources import schemas
+from riskbook.sources.ledger import Ledger
 from riskbook.sources.publish import publish, read_published, write_rejects
 from riskbook.sources.readers import land_csv
 
 
 def _valid_rows(
-    spark: SparkSession, path: str, schema, staged: str, rejected: str, run_date: str, source: str
+    spark: SparkSession, path: str, schema, staged: str, rejected: str, run_date: str, source: str, ledger: Ledger
 ) -> DataFrame:
     """Lands a file under ``staged/<source>/dt=<run_date>`` and stores its rejects."""
-    valid, rejects = land_csv(spark, path, schema, f"{staged}/{source}/dt={run_date}")
+    watch = partial(ledger.watch, step=source, rejected=F.col(schemas.CORRUPT).isNotNull())
+    valid, rejects = land_csv(spark, path, schema, f"{staged}/{source}/dt={run_date}", watch=watch)
     write_rejects(rejects, rejected, run_date, source)
     return valid
 
@@ -30,11 +34,14 @@ def merge_property_risk_job(
     staged: str,
     run_date: str,
     loans_csv: str | None = None,
+    ledger: str | None = None,
 ) -> int:
-    """Merges the three files (and the loan book, if given) and publishes the day's table at ``merged``.
-    Returns the number of rows written."""
+    """Merges the three files (and the loan book, if given) and publishes the day's table at ``merged`` and, if a place
+    is given, the counts of its steps at ``ledger``. Returns the number of rows written."""
+    steps = Ledger()
+
     def land(path: str, schema, source: str) -> DataFrame:
-        return _valid_rows(spark, path, schema, staged, rejected, run_date, source)
+        return _valid_rows(spark, path, schema, staged, rejected, run_date, source, steps)
 
     table = merge_property_risk(
         land(property_csv, schemas.PROPERTY, "ecad"),
@@ -42,9 +49,9 @@ def merge_property_risk_job(
         land(flood_csv, schemas.FLOOD_INDEX, "flood_index"),
         land(loans_csv, schemas.LOAN_BOOK, "loan_book") if loans_csv else None,
     )
-    table, seen = counted(table, "merged")
-    publish(table, merged, run_date)
-    return seen.get["rows"]
+    publish(steps.watch(table, "merged", after="ecad"), merged, run_date)
+    steps.publish(spark, ledger, "merge-property", run_date)
+    return steps.rows_out("merged")
 
 
 def enrich_loan_book_job(
@@ -56,12 +63,14 @@ def enrich_loan_book_job(
     rejected: str,
     staged: str,
     run_date: str,
+    ledger: str | None = None,
 ) -> int:
     """Adds the loan book to the day's merged table. The result is published as Parquet, which the later jobs read,
     and as CSV. Returns the number of rows written."""
-    loans = _valid_rows(spark, loans_csv, schemas.LOAN_BOOK, staged, rejected, run_date, "loan_book")
+    steps = Ledger()
+    loans = _valid_rows(spark, loans_csv, schemas.LOAN_BOOK, staged, rejected, run_date, "loan_book", steps)
     properties = read_published(spark, merged, run_date).drop("dt")
-    table, seen = counted(enrich_loan_book(properties, loans), "enriched")
-    publish(table, enriched, run_date)
+    publish(steps.watch(enrich_loan_book(properties, loans), "enriched", after="loan_book"), enriched, run_date)
     publish(read_published(spark, enriched, run_date).drop("dt"), enriched_csv, run_date, fmt="csv")
-    return seen.get["rows"]
+    steps.publish(spark, ledger, "enrich-loan-book", run_date)
+    return steps.rows_out("enriched")

@@ -15,7 +15,7 @@ from riskbook.operators.quality import row_counts
 DAY = re.compile(r"dt=(\d{8})")
 
 
-def _checked_day(run_date: str) -> str:
+def checked_day(run_date: str) -> str:
     if not re.fullmatch(r"\d{8}", run_date):
         raise ValueError(f"run date {run_date!r} is not of the form yyyymmdd")
     return run_date
@@ -40,30 +40,40 @@ def publish(
         .option("header", True)
         .option("maxRecordsPerFile", max_records_per_file)
         .format(fmt)
-        .save(f"{base}/dt={_checked_day(run_date)}")
+        .save(f"{base}/dt={checked_day(run_date)}")
     )
 
 
 def published_tables(spark: SparkSession, base: str, but: tuple[str, ...] = ()) -> list[str]:
     """Names of the tables published side by side under a folder, without some."""
-    files, path = _folder(spark, base)
-    names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
-    return sorted(n for n in names if n not in but)
+    return [n for n in names_below(spark, base) if n not in but]
 
 
 def published_days(spark: SparkSession, base: str) -> list[str]:
     """Days found under a published table, oldest first. Lists one directory; no file is opened."""
-    files, path = _folder(spark, base)
-    names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
-    return sorted(m.group(1) for m in map(DAY.fullmatch, names) if m)
+    return [m.group(1) for m in map(DAY.fullmatch, names_below(spark, base)) if m]
 
 
-def _folder(spark: SparkSession, path: str):
+def names_below(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder, in order; none if it does not exist."""
+    files, path = folder_of(spark, folder)
+    return sorted(status.getPath().getName() for status in files.listStatus(path)) if files.exists(path) else []
+
+
+def folder_of(spark: SparkSession, path: str):
     """A path in its Hadoop file system, and that file system."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, in place of an earlier one."""
+    files, there = folder_of(spark, path)
+    out = files.create(there, True)
+    out.write(text.encode())
+    out.close()
+
+
 def newest_day(spark: SparkSession, base: str) -> str:
     """The newest day of a published table, whether or not it has rows."""
     days = published_days(spark, base)
@@ -85,15 +95,28 @@ def read_published(
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.format(fmt).load(f"{base}/dt={_checked_day(run_date)}").withColumn("dt", F.lit(run_date))
+    return reader.format(fmt).load(f"{base}/dt={checked_day(run_date)}").withColumn("dt", F.lit(run_date))
+
+
+def read_days(
+    spark: SparkSession, base: str, schema: T.StructType, days: DataFrame | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Several published days as one table with the given columns and the day in ``dt``; a column that came later is
+    null in days before it. ``days`` is a table whose ``dt`` lists the days wanted, by default all; folders of other days
+    are left out when the query runs, without its list passing the driver."""
+    with_day = T.StructType([*(f for f in schema.fields if f.name != "dt"), T.StructField("dt", T.StringType())])
+    table = spark.read.option("header", True).schema(with_day).format(fmt).load(base)
+    if days is None:
+        return table
+    return table.join(days.select(F.col("dt").cast("string").alias("dt")).distinct(), "dt", "left_semi").select(*with_day.names)
 
 
 def write_rejects(rejects: DataFrame, base: str, run_date: str, source: str) -> bool:
     """Writes the rejected rows of a source as CSV under ``base/dt=<run_date>/source=<source>``, if there are any. Rejects
     of an earlier run of that day and source do not outlive it."""
-    target = f"{base}/dt={_checked_day(run_date)}/source={source}"
+    target = f"{base}/dt={checked_day(run_date)}/source={source}"
     if rejects.isEmpty():
-        files, folder = _folder(rejects.sparkSession, target)
+        files, folder = folder_of(rejects.sparkSession, target)
         files.delete(folder, True)
         return False
     rejects.write.mode("overwrite").option("header", True).csv(target)
@@ -115,6 +138,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir names no shared folder for intermediate tables")
         shared = tempfile.mkdtemp(prefix="riskbook-")
     path = f"{shared.rstrip('/')}/riskbook/{name}-{uuid.uuid4().hex}"
-    files, folder = _folder(spark, path)
+    files, folder = folder_of(spark, path)
     files.deleteOnExit(folder)
     return path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,15 +43,21 @@ def read_validated_csv(
 
 
 def land_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, staged: str, header: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    staged: str,
+    header: bool = True,
+    watch: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
-    """Parses a CSV once into a Parquet table at ``staged`` and returns its valid and its rejected rows.
+    """Parses a CSV once into a Parquet table at ``staged`` and returns its valid and its rejected rows. ``watch`` may
+    add counters to the rows that are written.
 
     All columns are parsed in the one write, so a row is judged by all of them; what follows reads columnar files,
     prunes columns, and does not depend on cached blocks of executors that may go away. Rejects are told apart by a
     pushed-down filter; row groups without any are skipped by their statistics.
     """
-    read_validated_csv(spark, path, schema, header).write.mode("overwrite").parquet(staged)
+    watch(read_validated_csv(spark, path, schema, header)).write.mode("overwrite").parquet(staged)
     return split_rejects(spark.read.schema(with_corrupt(schema)).parquet(staged))
 
 
@@ -127,6 +133,15 @@ def lost_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
 
 
+def lost_in_row(df: DataFrame, types: Mapping[str, str], spellings: Sequence[str] = MISSING_SPELLINGS) -> Column:
+    """How many values of a row :func:`typed_columns` loses, after the spellings of a missing value became null."""
+    lost = F.lit(0)
+    for c, kind in _present(df, types).items():
+        text = F.col(f"`{c}`")
+        lost = lost + F.when(~text.isin(*spellings) & _as_type(text, kind).isNull(), 1).otherwise(0)
+    return lost
+
+
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:
     """Tables stacked by column name; a column that a table lacks is null there. For files of one layout pass all
     paths to a single reader instead."""
