@@ -7,9 +7,12 @@ query takes the leaves of a tree in order of their projected distance and verifi
 vectors, until a point nearer than the worst of its best k, lying further out in the projection, would have less than
 ``1 - CONFIDENCE`` of probability.
 
-Every row is indexed, in the block of the partition it is read in; nothing is shuffled by value, so equal vectors need
-no care. Queries are packed in blocks too, and each block of queries meets each block of rows once. Ranks follow from
-the exact cosine in double precision, ties from the smaller id.
+A coarse kd-tree over the projections, whose cuts come from a sample of at most ``SAMPLE`` rows, deals every row to one of
+at most ``CELLS`` cells; a cell holds as many blocks as its rows need, whatever they are, so a vector that fills a cell
+with its copies is spread over tasks. A query first searches one block of its own cell, which gives the limit of the
+test; then it goes to all blocks of those cells only whose box lies within the limit. Nothing is left out: a query
+without a limit, one whose first block holds too few rows, goes everywhere. Ranks follow from the exact cosine in
+double precision, ties from the smaller id. Lengths of vectors are few: each has cells of its own.
 
 * null vectors, zero vectors and vectors with a null or non-finite component take no part, nor do rows with a null id;
 * vectors of another length: compared only among themselves;
@@ -26,7 +29,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,8 +41,12 @@ LEAF = 64
 LEAVES_AT_ONCE = 8
 # Squared projected distances up to this are rounding: exact copies are always verified.
 NEARLY_EQUAL = 1e-12
-BLOCK = 16_384
+BLOCK = 8192
 QUERY_BLOCK = 512
+SAMPLE = 65_536
+CELLS = 4096
+# Rows of the sample behind each cell, at least.
+ROWS_PER_CELL = 16
 
 
 def chi_square_quantile(p: float, freedom: int) -> float:
@@ -78,7 +84,7 @@ def build_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _usable(batch: pa.RecordBatch):
-    """Ids and vectors of the rows that take part, by length of the vectors."""
+    """Of the rows that take part, by length of the vectors: their places in the batch, ids and vectors."""
     ids, column = batch.column(0), batch.column(1)
     lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
     taken = pc.is_valid(ids).to_numpy(zero_copy_only=False)
@@ -87,7 +93,8 @@ def _usable(batch: pa.RecordBatch):
         values = pc.list_flatten(column.take(rows)).to_numpy(zero_copy_only=False)  # a null becomes NaN
         vectors = values.reshape(len(rows), int(dim)).astype(np.float64)
         good = np.isfinite(vectors).all(axis=1) & (vectors != 0).any(axis=1)
-        yield int(dim), ids.take(rows.filter(pa.array(good))).to_numpy(), vectors[good]
+        rows = rows.filter(pa.array(good))
+        yield int(dim), rows, ids.take(rows).to_numpy(), _safe(vectors[good])
 
 
 def _safe(vectors: np.ndarray) -> np.ndarray:
@@ -101,10 +108,42 @@ def _safe(vectors: np.ndarray) -> np.ndarray:
     return vectors
 
 
+def _projected(vectors: np.ndarray, seed: int) -> np.ndarray:
+    return (vectors / _lengths(vectors)[:, None]) @ projection(vectors.shape[1], seed)
+
+
 def _lengths(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors * vectors).sum(axis=1))
 
 
+def limit_of(score: float, stop: float) -> float:
+    """The squared projected distance beyond which a row as near as ``score`` would have too little probability."""
+    return max(NEARLY_EQUAL, stop * max(0.0, 2 - 2 * score))
+
+
+class Cuts:
+    """A balanced kd-tree of cuts: node ``n`` has the children ``2n+1`` and ``2n+2``, the last level's are the cells."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.depth = max(0, min(cells, len(sample) // ROWS_PER_CELL) - 1).bit_length()
+        inner = (1 << self.depth) - 1
+        self.axis, self.at = np.zeros(inner, dtype=np.int64), np.zeros(inner)
+        nodes = {0: sample}
+        for n in range(inner):
+            points = nodes.pop(n)
+            if len(points):
+                self.axis[n] = np.ptp(points, axis=0).argmax()
+                self.at[n] = np.median(points[:, self.axis[n]])
+            right = points[:, self.axis[n]] >= self.at[n]
+            nodes[2 * n + 1], nodes[2 * n + 2] = points[~right], points[right]
+
+    def cells(self, points: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(points), dtype=np.int64)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (points[np.arange(len(points)), self.axis[node]] >= self.at[node])
+        return node - ((1 << self.depth) - 1)
+
+
 class Block:
     """Rows with their kd-tree."""
 
@@ -114,13 +153,14 @@ class Block:
         self.low = np.minimum.reduceat(points, leaves[:-1], axis=0)
         self.high = np.maximum.reduceat(points, leaves[:-1], axis=0)
 
-    def nearest(self, id_: int, vector: np.ndarray, point: np.ndarray, k: int, stop: float):
-        """Ids and cosines of the best k rows found for a query, best first."""
+    def nearest(self, id_: int, vector: np.ndarray, point: np.ndarray, k: int, stop: float, limit: float = np.inf):
+        """Ids and cosines of the best k rows found for a query, best first. ``limit`` is the squared projected distance
+        that is known to be enough from elsewhere."""
         outside = np.maximum(0, np.maximum(self.low - point, point - self.high))
         nearness = (outside * outside).sum(axis=1)
         order = np.argsort(nearness, kind="stable")
         length = _lengths(vector[None, :])[0]
-        ids, scores, limit = np.empty(0, dtype=np.int64), np.empty(0), np.inf
+        ids, scores = np.empty(0, dtype=np.int64), np.empty(0)
         for at in range(0, len(order), LEAVES_AT_ONCE):
             # limit: the chi-square test, for a point as near as the worst of the best k.
             if nearness[order[at]] > limit:
@@ -137,99 +177,201 @@ class Block:
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if len(scores) == k:
-                limit = max(NEARLY_EQUAL, stop * max(0.0, 2 - 2 * scores[-1]))
+                limit = min(limit, limit_of(scores[-1], stop))
         return ids, scores
 
 
-def build_index(df: DataFrame, seed: int = 0, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
-    """Blocks of rows: ids, original vectors, projections in the order of the tree, and its leaves."""
+def _cuts(df: DataFrame, rows: int, seed: int) -> dict[int, Cuts]:
+    """The cuts of each length of vectors, from the projections of at most ``SAMPLE`` rows."""
 
     def run(batches):
-        number, held = TaskContext.get().partitionId() << 32, {}
+        for batch in batches:
+            for dim, _, ids, vectors in _usable(batch):
+                arrays = [pa.array(np.full(len(ids), dim)), pa.array([p.tobytes() for p in _projected(vectors, seed)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["dim", "point"])
+
+    share = min(1.0, 0.9 * SAMPLE / max(1, rows))
+    drawn = df.where(F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(1 << 40)) < int(share * (1 << 40)))
+    found = drawn.mapInArrow(run, "dim long, point binary").limit(SAMPLE).toArrow()
+    dims = found["dim"].to_numpy()
+    points = np.frombuffer(b"".join(found["point"].to_pylist())).reshape(-1, PROJECTED)
+    cells = min(CELLS, -(-rows // BLOCK))
+    return {int(dim): Cuts(points[dims == dim], cells) for dim in np.unique(dims)}
 
-        def block(dim):
-            nonlocal number
-            ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dim)))
-            points = (vectors / _lengths(vectors)[:, None]) @ projection(dim, seed)
-            order, leaves = build_tree(points)
-            number += 1
-            row = [number - 1, dim, ids[order], vectors[order].tobytes(), points[order].tobytes(), leaves]
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
 
-        names = ["block", "dim", "ids", "vectors", "points", "leaves"]
+def _cells(cuts: dict[int, Cuts], dim: int, points: np.ndarray) -> np.ndarray:
+    """A length that the sample did not meet has one cell."""
+    return cuts[dim].cells(points) if dim in cuts else np.zeros(len(points), dtype=np.int64)
+
+
+def _routed(df: DataFrame, cuts: dict[int, Cuts], seed: int) -> DataFrame:
+    """The rows that take part, with their cell; vectors as they are given."""
+
+    def run(batches):
         for batch in batches:
-            for dim, ids, vectors in _usable(batch):
-                for k in range(0, len(ids), BLOCK):
-                    held.setdefault(dim, []).append((ids[k : k + BLOCK], _safe(vectors[k : k + BLOCK])))
-                    if sum(len(x) for x, _ in held[dim]) >= BLOCK:
-                        yield block(dim)
-        for dim in list(held):
-            if any(len(x) for x, _ in held[dim]):
-                yield block(dim)
+            for dim, rows, ids, vectors in _usable(batch):
+                cells = _cells(cuts, dim, _projected(vectors, seed))
+                arrays = [pa.array(np.full(len(ids), dim)), pa.array(cells), *[c.take(rows) for c in batch.columns]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["dim", "cell", "id", "vector"])
+
+    return df.mapInArrow(run, f"dim long, cell long, id long, vector {df.schema['vector'].dataType.simpleString()}")
 
-    schema = "block long, dim long, ids array<long>, vectors binary, points binary, leaves array<long>"
-    return df.select(F.col(id_col).cast("long"), F.col(vector)).mapInArrow(run, schema)
 
+def build_index(routed: DataFrame, slots: DataFrame, tasks: int, seed: int = 0) -> DataFrame:
+    """A block of rows per slot: ids, vectors, projections in the order of the tree, its leaves and the block's box."""
 
-def _query_blocks(df: DataFrame, vector: str, id_col: str) -> DataFrame:
     def run(batches):
+        held, slot = [], None
+
+        def block():
+            ids, vectors = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            points = _projected(vectors, seed)
+            order, leaves = build_tree(points)
+            box = [points.min(axis=0), points.max(axis=0)]
+            row = [*slot, ids[order], vectors[order].tobytes(), points[order].tobytes(), leaves, *box]
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
+
+        names = ["slot", "dim", "cell", "ids", "vectors", "points", "leaves", "low", "high"]
         for batch in batches:
-            for dim, ids, vectors in _usable(batch):
-                for k in range(0, len(ids), QUERY_BLOCK):
-                    part = _safe(vectors[k : k + QUERY_BLOCK])
-                    row = [dim, ids[k : k + QUERY_BLOCK], part.tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["dim", "ids", "vectors"])
+            places = np.stack([batch.column(k).to_numpy() for k in (2, 3, 4)], axis=1)
+            starts = np.flatnonzero(np.r_[True, (places[1:, 0] != places[:-1, 0])]) if len(places) else []
+            for start, end in zip(starts, [*starts[1:], len(places)]):
+                if held and slot[0] != places[start, 0]:
+                    yield block()
+                slot = [int(x) for x in places[start]]
+                for _, _, ids, vectors in _usable(batch.slice(start, end - start)):
+                    held.append((ids, vectors))
+        if held:
+            yield block()
 
-    rows = df.select(F.col(id_col).cast("long"), F.col(vector)).dropDuplicates()
-    return rows.mapInArrow(run, "dim long, ids array<long>, vectors binary")
+    # Rows of a cell are dealt over its slots by their place in the stored table, so that copies part too.
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
+    dealt = routed.join(F.broadcast(slots), ["dim", "cell"]).withColumn("slot", F.col("first") + part)
+    rows = dealt.select("id", "vector", "slot", "dim", "cell").repartition(tasks, "slot").sortWithinPartitions("slot")
+    schema = """slot long, dim long, cell long, ids array<long>, vectors binary, points binary, leaves array<long>,
+        low array<double>, high array<double>"""
+    return rows.mapInArrow(run, schema)
 
 
-def search(
-    df: DataFrame, is_query: Column, k: int, seed: int = 0, vector: str = "embedding", id_col: str = "vec_id"
-) -> DataFrame:
-    """The ``k`` nearest rows found for each row of ``df`` where ``is_query`` holds: ``query_id``, ``rank`` from 1,
-    ``vec_id`` and ``score``, the cosine."""
-    index = stored(build_index(df, seed, vector, id_col), "vectors")
-    slots = max(1, index.count())
-    blocks = index.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)))
-    queries = _query_blocks(df.where(is_query), vector, id_col)
-    # Each block of queries goes to every slot, and each block of rows is in one of them.
-    sent = queries.select(
-        F.col("dim").alias("query_dim"),
-        F.col("ids").alias("query_ids"),
-        F.col("vectors").alias("query_vectors"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("query_slot"),
-    )
-    met = blocks.join(sent, (F.col("slot") == F.col("query_slot")) & (F.col("dim") == F.col("query_dim")))
-    stop = chi_square_quantile(CONFIDENCE, PROJECTED)
+def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names=names)
+
+
+def _matrix(batch: pa.RecordBatch, name: str, i: int, width: int) -> np.ndarray:
+    return np.frombuffer(batch.column(batch.schema.get_field_index(name))[i].as_py()).reshape(-1, width)
+
+
+def _numbers(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name))[i].values.to_numpy()
+
+
+QUERIES = "query_slot long, query_ids array<long>, query_vectors binary, limits array<double>"
+
+
+def _home(queries: DataFrame, cuts: dict[int, Cuts], first: dict, seed: int) -> DataFrame:
+    """Queries packed by the first slot of their own cell."""
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
-                dim = row["dim"].as_py()
+            for dim, _, ids, vectors in _usable(batch):
+                cells = _cells(cuts, dim, _projected(vectors, seed))
+                for cell in np.unique(cells):
+                    own = np.flatnonzero(cells == cell)
+                    for k in range(0, len(own), QUERY_BLOCK):
+                        part = own[k : k + QUERY_BLOCK]
+                        row = (first[dim, int(cell)][0], ids[part], vectors[part].tobytes(), np.full(len(part), np.inf))
+                        yield _packed([row], ["query_slot", "query_ids", "query_vectors", "limits"])
+
+    return queries.mapInArrow(run, QUERIES)
 
-                def matrix(name, width):
-                    return np.frombuffer(row[name].as_py()).reshape(-1, width)  # noqa: B023
 
+def _met(index: DataFrame, queries: DataFrame, tasks: int, seed: int, k: int, stop: float):
+    """Each pack of queries with the blocks of its slot; what a task does with a pair is ``use``."""
+    left, right = index.repartition(tasks, "slot"), queries.repartition(tasks, "query_slot")
+    met = left.join(right.hint("shuffle_hash"), F.col("slot") == F.col("query_slot"))
+    columns = ("dim", "ids", "vectors", "points", "leaves", "query_ids", "query_vectors", "limits")
+
+    def searched(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim = batch.column(0)[i].as_py()
                 block = Block(
-                    row["ids"].values.to_numpy(), matrix("vectors", dim), matrix("points", PROJECTED), row["leaves"].values.to_numpy()
-                )
-                asked, vectors = row["query_ids"].values.to_numpy(), matrix("query_vectors", dim)
-                points = (vectors / _lengths(vectors)[:, None]) @ projection(dim, seed)
-                found = [block.nearest(*x, k, stop) for x in zip(asked, vectors, points)]
-                sizes = [len(ids) for ids, _ in found]
-                marks = [zlib.crc32(v.tobytes()) for v in vectors]
-                arrays = [
-                    pa.array(np.repeat(asked, sizes)),
-                    pa.array(np.repeat(np.array(marks, dtype=np.int64), sizes)),
-                    pa.array(np.concatenate([ids for ids, _ in found])),
-                    pa.array(np.concatenate([scores for _, scores in found])),
+                    _numbers(batch, "ids", i), _matrix(batch, "vectors", i, dim),
+                    _matrix(batch, "points", i, PROJECTED), _numbers(batch, "leaves", i),
+                )
+                asked, vectors = _numbers(batch, "query_ids", i), _matrix(batch, "query_vectors", i, dim)
+                limits = _numbers(batch, "limits", i)
+                found = [
+                    block.nearest(*x, k, stop, limit)
+                    for *x, limit in zip(asked, vectors, _projected(vectors, seed), limits)
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "mark", "vec_id", "score"])
+                yield dim, asked, vectors, limits, found
+
+    return met.select(*columns), searched
+
+
+def _boxes(index: DataFrame) -> dict[int, list]:
+    """The box of each cell, by length of the vectors: a row per cell."""
+    sides = [F.min(F.col("low")[i]) for i in range(PROJECTED)] + [F.max(F.col("high")[i]) for i in range(PROJECTED)]
+    out: dict[int, list] = {}
+    for row in index.groupBy("dim", "cell").agg(*sides).collect():
+        out.setdefault(row[0], []).append((row[1], np.array(row[2 : 2 + PROJECTED]), np.array(row[2 + PROJECTED :])))
+    return out
 
-    needed = met.select("dim", "ids", "vectors", "points", "leaves", "query_ids", "query_vectors")
-    found = needed.mapInArrow(run, "query_id long, mark long, vec_id long, score double")
+
+def search(
+    df: DataFrame, is_query: Column, k: int, seed: int = 0, vector: str = "embedding", id_col: str = "vec_id"
+) -> DataFrame:
+    """The ``k`` nearest rows found for each row of ``df`` where ``is_query`` holds: ``query_id``, ``rank`` from 1,
+    ``vec_id`` and ``score``, the cosine."""
+    spark = df.sparkSession
+    slim = [F.col(id_col).cast("long").alias("id"), F.col(vector).alias("vector")]
+    rows, queries = df.select(*slim), df.where(is_query).select(*slim).dropDuplicates()
+    cuts = _cuts(rows, df.count(), seed)
+    routed = stored(_routed(rows, cuts, seed), "cells")
+    # A row per cell. Slots are numbered one after the other.
+    sizes = sorted(map(tuple, routed.groupBy("dim", "cell").count().collect()))
+    first, slots = {}, 0
+    for dim, cell, count in sizes:
+        first[dim, cell] = (slots, -(-count // BLOCK))
+        slots += first[dim, cell][1]
+    tasks = max(1, min(2 * slots, max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    places = spark.createDataFrame([(*key, *value) for key, value in first.items()], "dim long, cell long, first long, parts long")
+    index = stored(build_index(routed, places, tasks, seed), "vectors")
+    boxes, stop = _boxes(index), chi_square_quantile(CONFIDENCE, PROJECTED)
+
+    at_home, searched = _met(index, _home(queries, cuts, first, seed), tasks, seed, k, stop)
+
+    def go_on(batches):
+        """Queries with the limit found at home, packed for each cell within it."""
+        names = ["first", "parts", "query_ids", "query_vectors", "limits"]
+        for dim, asked, vectors, _, found in searched(batches):
+            limits = np.array([limit_of(scores[-1], stop) if len(scores) == k else np.inf for _, scores in found])
+            points = _projected(vectors, seed)
+            for cell, low, high in boxes[dim]:
+                outside = np.maximum(0, np.maximum(low - points, points - high))
+                near = (outside * outside).sum(axis=1) <= limits
+                if near.any():
+                    yield _packed([(*first[dim, cell], asked[near], vectors[near].tobytes(), limits[near])], names)
+
+    sent = at_home.mapInArrow(go_on, "first long, parts long, " + QUERIES.partition(", ")[2])
+    sent = sent.withColumn("query_slot", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
+    everywhere, searched_on = _met(index, sent, tasks, seed, k, stop)
+
+    def report(batches):
+        for _, asked, vectors, _, found in searched_on(batches):
+            held = [len(ids) for ids, _ in found]
+            marks = np.array([zlib.crc32(v.tobytes()) for v in vectors], dtype=np.int64)
+            arrays = [
+                pa.array(np.repeat(asked, held)),
+                pa.array(np.repeat(marks, held)),
+                pa.array(np.concatenate([ids for ids, _ in found])),
+                pa.array(np.concatenate([scores for _, scores in found])),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "mark", "vec_id", "score"])
+
+    found = everywhere.mapInArrow(report, "query_id long, mark long, vec_id long, score double")
     # The mark tells two vectors with one query id apart.
     best = W.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

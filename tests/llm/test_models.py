@@ -73,6 +73,37 @@ def test_neighbours_of_awkward_rows(spark):
     assert neighbours.search(df.where("vec_id = 10"), F.lit(True), 4).count() == 0
 
 
+def clustered(n, dim=24, seed=11):
+    """Vectors around a hundred centres, a tenth of the rows around each of the first three."""
+    rng = np.random.default_rng(seed)
+    centres, group = rng.normal(size=(100, dim)), rng.integers(0, 100, n)
+    group[: n // 3] %= 3
+    return (centres[group] + 0.2 * rng.normal(size=(n, dim))).round(6)
+
+
+def test_neighbours_over_many_cells(spark, monkeypatch):
+    """Small blocks, so that there are many cells and some of them take several blocks."""
+    monkeypatch.setattr(neighbours, "BLOCK", 128)
+    vectors = clustered(6000)
+    vectors[::7] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = neighbours.search(df, F.col("vec_id") % 40 == 0, 5).collect()
+    assert len({(r["query_id"], r["vec_id"]) for r in got}) == len(got) == 150 * 5
+    assert recall(got, brute_nearest(rows, lambda i: i % 40 == 0, 5)) >= 0.9
+    copies = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 280)
+    assert copies == [(1, 0), (2, 7), (3, 14), (4, 21), (5, 28)]
+
+
+def test_cuts_are_balanced():
+    cuts = neighbours.Cuts(np.random.default_rng(1).normal(size=(4000, neighbours.PROJECTED)), 32)
+    counts = np.bincount(cuts.cells(np.random.default_rng(2).normal(size=(32_000, neighbours.PROJECTED))), minlength=32)
+    assert len(counts) == 32 and counts.min() > 500 and counts.max() < 1800
+    same = neighbours.Cuts(np.ones((100, neighbours.PROJECTED)), 4)
+    assert len(set(same.cells(np.ones((50, neighbours.PROJECTED))))) == 1
+    assert neighbours.Cuts(np.empty((0, neighbours.PROJECTED)), 8).depth == 0
+
+
 def test_one_common_vector(spark):
     """A third of the rows are one vector: its copies are found, smallest ids first, whatever block they are in."""
     rng = np.random.default_rng(3)
