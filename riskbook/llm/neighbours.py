@@ -247,8 +247,8 @@ def build_index(routed: DataFrame, slots: DataFrame, tasks: int, seed: int = 0)
 
     # Rows of a cell are dealt over its slots by their place in the stored table, so that copies part too.
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
-    dealt = routed.join(F.broadcast(slots), ["dim", "cell"]).withColumn("slot", F.col("first") + part)
-    rows = dealt.select("id", "vector", "slot", "dim", "cell").repartition(tasks, "slot").sortWithinPartitions("slot")
+    dealt = routed.join(F.broadcast(slots), ["dim", "cell"]).withColumn("slot", (F.col("first") + part).cast("int"))
+    rows = dealt.select("id", "vector", "slot", "dim", "cell").repartitionById(tasks, F.col("slot")).sortWithinPartitions("slot")
     schema = """slot long, dim long, cell long, ids array<long>, vectors binary, points binary, leaves array<long>,
         low array<double>, high array<double>"""
     return rows.mapInArrow(run, schema)
@@ -288,18 +288,26 @@ def _home(queries: DataFrame, cuts: dict[int, Cuts], first: dict, seed: int) ->
 
 def _met(index: DataFrame, queries: DataFrame, tasks: int, seed: int, k: int, stop: float):
     """Each pack of queries with the blocks of its slot; what a task does with a pair is ``use``."""
-    left, right = index.repartition(tasks, "slot"), queries.repartition(tasks, "query_slot")
-    met = left.join(right.hint("shuffle_hash"), F.col("slot") == F.col("query_slot"))
-    columns = ("dim", "ids", "vectors", "points", "leaves", "query_ids", "query_vectors", "limits")
+    # Slots are dense numbers, so they go to tasks one by one, not by a hash that puts several in one task.
+    left, right = (
+        df.withColumn(c, F.col(c).cast("int")).repartitionById(tasks, F.col(c))
+        for df, c in ((index, "slot"), (queries, "query_slot"))
+    )
+    met = left.join(right.hint("merge"), F.col("slot") == F.col("query_slot"))
+    columns = ("dim", "slot", "ids", "vectors", "points", "leaves", "query_ids", "query_vectors", "limits")
 
     def searched(batches):
+        slot = block = None
         for batch in batches:
             for i in range(batch.num_rows):
                 dim = batch.column(0)[i].as_py()
-                block = Block(
-                    _numbers(batch, "ids", i), _matrix(batch, "vectors", i, dim),
-                    _matrix(batch, "points", i, PROJECTED), _numbers(batch, "leaves", i),
-                )
+                # Packs of one slot come one after the other, and a slot has one block.
+                if slot != batch.column(1)[i].as_py():
+                    slot = batch.column(1)[i].as_py()
+                    block = Block(
+                        _numbers(batch, "ids", i), _matrix(batch, "vectors", i, dim),
+                        _matrix(batch, "points", i, PROJECTED), _numbers(batch, "leaves", i),
+                    )
                 asked, vectors = _numbers(batch, "query_ids", i), _matrix(batch, "query_vectors", i, dim)
                 limits = _numbers(batch, "limits", i)
                 found = [
@@ -336,7 +344,7 @@ def search(
     for dim, cell, count in sizes:
         first[dim, cell] = (slots, -(-count // BLOCK))
         slots += first[dim, cell][1]
-    tasks = max(1, min(2 * slots, max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    tasks = max(1, min(slots, max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     places = spark.createDataFrame([(*key, *value) for key, value in first.items()], "dim long, cell long, first long, parts long")
     index = stored(build_index(routed, places, tasks, seed), "vectors")
     boxes, stop = _boxes(index), chi_square_quantile(CONFIDENCE, PROJECTED)
