@@ -242,3 +242,24 @@ def test_days_are_pruned_by_a_table(spark, tmp_path, no_broadcast):
     assert "dynamicpruning" in plan(found).lower() or "PartitionFilters: [isnotnull(dt" in plan(found)
     assert rows(found) == sorted([(i, None, "20230401") for i in range(5)] + [(i, 2 * i, NEXT) for i in range(5)], key=repr)
     assert read_days(spark, base, schema).count() == 15
+
+
+def test_portfolio_day_is_one_run(spark, tmp_path):
+    from catalogue.jobs import _portfolio_files
+    from riskbook.plans.day_jobs import portfolio_day_job
+
+    base, small = str(tmp_path), "/root/testdata/sf0.001"
+    files = _portfolio_files(spark, small, base)
+    feature = '{"type":"Feature","properties":{"LAD13CD":"E1","LAD13CDO":1,"LAD13NM":"Wiltshire"},"geometry":{"type":"Point","coordinates":[0,0]}}'
+    (tmp_path / "areas.json").write_text('{"features":[' + feature + "]}")
+    portfolio_day_job(spark, *files, str(tmp_path / "areas.json"), base, DAY)
+    run = newest_run(spark, base)
+    assert {"merged/parquet", "merged/csv", "reports/pillar3_matrix", "reports/duplicates/step=portfolio", "layers/energy",
+            "layers/boundaries", "ledger/job=merge-portfolio", "staged/portfolio"} <= set(run.tables)
+    merged = read_complete(spark, base, "merged/parquet")
+    steps = {r["step"]: r for r in read_complete(spark, base, "ledger/job=merge-portfolio").collect()}
+    assert steps["merged"]["rows_out"] == merged.count() > 0
+    # Without its boundaries the next day stops at the layers: nothing of it is to be seen.
+    with pytest.raises(Exception):
+        portfolio_day_job(spark, *files, str(tmp_path / "missing.json"), base, NEXT)
+    assert newest_run(spark, base).run_date == DAY and unnamed_runs(spark, base, NEXT)
