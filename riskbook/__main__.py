@@ -36,7 +36,7 @@ def parser() -> argparse.ArgumentParser:
         options = jobs.add_parser(name, description=inspect.getdoc(job))
         for parameter in list(inspect.signature(job).parameters.values())[1:]:
             required = parameter.default is inspect.Parameter.empty
-            kind = float if isinstance(parameter.default, float) else str
+            kind = type(parameter.default) if isinstance(parameter.default, (int, float)) else str
             options.add_argument(
                 "--" + parameter.name.replace("_", "-"),
                 dest=parameter.name,

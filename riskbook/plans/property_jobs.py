@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from riskbook.operators.merges import enrich_loan_book, merge_property_risk
 from riskbook.sources import schemas
+from riskbook.sources.keyed import publish_by_key, read_by_key
 from riskbook.sources.ledger import Ledger
 from riskbook.sources.publish import publish, read_published, write_rejects
 from riskbook.sources.readers import land_csv
 
+UNIT = "ecad_id"
+
 
 def _valid_rows(
     spark: SparkSession, path: str, schema, staged: str, rejected: str, run_date: str, source: str, ledger: Ledger
@@ -35,9 +38,12 @@ def merge_property_risk_job(
     run_date: str,
     loans_csv: str | None = None,
     ledger: str | None = None,
+    keyed: str | None = None,
+    buckets: int = 512,
 ) -> int:
-    """Merges the three files (and the loan book, if given) and publishes the day's table at ``merged`` and, if a place
-    is given, the counts of its steps at ``ledger``. Returns the number of rows written."""
+    """Merges the three files (and the loan book, if given) and publishes the day's table at ``merged`` and, if places
+    are given, the counts of its steps at ``ledger`` and the table once more, stored by unit, at ``keyed``. Returns the
+    number of rows written."""
     steps = Ledger()
 
     def land(path: str, schema, source: str) -> DataFrame:
@@ -50,6 +56,8 @@ def merge_property_risk_job(
         land(loans_csv, schemas.LOAN_BOOK, "loan_book") if loans_csv else None,
     )
     publish(steps.watch(table, "merged", after="ecad"), merged, run_date)
+    if keyed is not None:
+        publish_by_key(read_published(spark, merged, run_date).drop("dt"), keyed, run_date, UNIT, buckets)
     steps.publish(spark, ledger, "merge-property", run_date)
     return steps.rows_out("merged")
 
@@ -64,12 +72,17 @@ def enrich_loan_book_job(
     staged: str,
     run_date: str,
     ledger: str | None = None,
+    keyed: str | None = None,
 ) -> int:
-    """Adds the loan book to the day's merged table. The result is published as Parquet, which the later jobs read,
+    """Adds the loan book to the day's merged table, from ``keyed`` where it is stored by unit: then only the loans are
+    shuffled. The result is published as Parquet, which the later jobs read,
     and as CSV. Returns the number of rows written."""
     steps = Ledger()
     loans = _valid_rows(spark, loans_csv, schemas.LOAN_BOOK, staged, rejected, run_date, "loan_book", steps)
-    properties = read_published(spark, merged, run_date).drop("dt")
+    if keyed is None:
+        properties = read_published(spark, merged, run_date).drop("dt")
+    else:
+        properties = read_by_key(spark, keyed, UNIT, run_date)
     publish(steps.watch(enrich_loan_book(properties, loans), "enriched", after="loan_book"), enriched, run_date)
     publish(read_published(spark, enriched, run_date).drop("dt"), enriched_csv, run_date, fmt="csv")
     steps.publish(spark, ledger, "enrich-loan-book", run_date)

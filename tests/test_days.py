@@ -263,3 +263,32 @@ def test_portfolio_day_is_one_run(spark, tmp_path):
     with pytest.raises(Exception):
         portfolio_day_job(spark, *files, str(tmp_path / "missing.json"), base, NEXT)
     assert newest_run(spark, base).run_date == DAY and unnamed_runs(spark, base, NEXT)
+
+
+def test_loan_book_of_a_table_stored_by_unit(spark, tmp_path):
+    from catalogue.jobs import _property_files
+    from riskbook.plans.property_jobs import enrich_loan_book_job, merge_property_risk_job
+
+    base = str(tmp_path)
+    files = _property_files(spark, "/root/testdata/sf0.001", base)
+    places = (f"{base}/rejected", f"{base}/staged", DAY)
+    merge_property_risk_job(
+        spark, files["property"], files["energy"], files["flood"], f"{base}/merged", *places, keyed=f"{base}/keyed", buckets=8
+    )
+    for name, keyed in (("plain", None), ("stored", f"{base}/keyed")):
+        enrich_loan_book_job(
+            spark, f"{base}/merged", files["loans"], f"{base}/{name}", f"{base}/{name}_csv", *places, keyed=keyed
+        )
+    plain, stored = (read_published(spark, f"{base}/{name}", DAY) for name in ("plain", "stored"))
+    assert plain.columns == stored.columns and plain.count() == stored.count() > 0
+    assert plain.exceptAll(stored).isEmpty()
+
+
+def test_numbers_on_the_command_line():
+    from riskbook.__main__ import parser
+
+    options = parser().parse_args(
+        "merge-property --property-csv p --energy-csv e --flood-csv f --merged m --rejected r --staged s --run-date "
+        "20230427 --keyed k --buckets 64".split()
+    )
+    assert (options.buckets, options.keyed, options.ledger) == (64, "k", None)
