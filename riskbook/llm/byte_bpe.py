@@ -88,9 +88,45 @@ def encode_text(
     return ids
 
 
-def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per row of ``df``: the id, ``n_tokens`` and the token ids as ``ids``."""
+def _counts(rows: list[np.ndarray], encoding: tiktoken.Encoding) -> pa.Array:
+    return pa.array([len(r) for r in rows], pa.int64())
+
+
+def _lists(rows: list[np.ndarray], encoding: tiktoken.Encoding) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(rows))
+
+
+def _packed(rows: list[np.ndarray], encoding: tiktoken.Encoding) -> pa.Array:
+    return pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
+
+
+def _decoded(rows: list[np.ndarray], encoding: tiktoken.Encoding) -> pa.Array:
+    return pa.array([encoding.decode_bytes(r.tolist()) for r in rows], pa.binary())
+
+
+# What ``encode`` can return of a text, by name: its type, and its column made from the ids of some texts.
+GIVEN = {
+    "n_tokens": ("long", _counts),
+    "ids": ("array<int>", _lists),
+    "packed": ("binary", _packed),
+    "decoded": ("binary", _decoded),
+}
+
+
+def encode(
+    df: DataFrame,
+    rank_path: str,
+    pattern: str,
+    text: str = "text",
+    id_col: str = "doc_id",
+    give: tuple[str, ...] = ("n_tokens", "ids"),
+) -> DataFrame:
+    """One row per row of ``df``: the id and what ``give`` names: ``n_tokens``, the token ids as ``ids``, the same as
+    little-endian unsigned 32-bit integers (``packed``), and the bytes these ids decode to (``decoded``). What is asked
+    for here is made in the task that has the ids, so that neither ids nor vocabulary go to a second Python worker."""
     ranks = shared_file(df.sparkSession, rank_path)
+    made = [GIVEN[name][1] for name in give]
 
     def piece():
         return load(ranks.value, WHOLE)
@@ -101,14 +137,12 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", id_c
             for start, length in portions(batch.column(1)):
                 texts = batch.column(1).slice(start, length)
                 rows = [np.array(encode_text(t.as_py(), encoding, piece), dtype=np.int32) for t in texts]
-                sizes = np.array([len(r) for r in rows])
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(ends, np.concatenate(rows))
-                arrays = [batch.column(0).slice(start, length), pa.array(sizes), ids]
-                yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "n_tokens", "ids"])
+                arrays = [batch.column(0).slice(start, length), *[column(rows, encoding) for column in made]]
+                yield pa.RecordBatch.from_arrays(arrays, names=[id_col, *give])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids array<int>")
+    columns = ", ".join(f"{name} {GIVEN[name][0]}" for name in give)
+    return df.select(id_col, text).mapInArrow(run, f"`{id_col}` {id_type}, {columns}")
 
 
 def decoded(df: DataFrame, ids: str, rank_path: str, pattern: str) -> Column:

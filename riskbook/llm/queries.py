@@ -34,8 +34,8 @@ SHARDS = 8
 TOXIC_FROM = 0.3
 SHINGLE, DISTANCE = 4, 4
 POLICY = "v1"
-# A stand-in; a real key comes from a secret store.
-KEY = "not a secret"
+# The setting of the session that holds the key of the pseudonyms, and what stands in where it is unset, as in tests.
+KEY_SETTING, KEY = "spark.riskbook.pseudonym.key", "not a secret"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, KEY)
+
+
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY_NTH_QUERY == 0, NEAREST)
 
@@ -88,7 +92,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,12 +117,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    docs = table(spark, sf_dir, "documents")
+    encoded = byte_bpe.encode(docs, ranks, pattern, give=("n_tokens", "packed", "decoded"))
     return encoded.select(
         "doc_id",
         "n_tokens",
-        F.sha2(byte_bpe.packed("ids"), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decoded(encoded, "ids", ranks, pattern), 256).alias("decoded_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -159,6 +159,16 @@ def test_byte_bpe(documents, awkward, encoding):
         assert Counter((a, b, tuple(c), bytes(d)) for a, b, c, d in got) == want
 
 
+def test_what_encode_gives(documents, awkward):
+    """Packed ids and decoded bytes made along with the ids are those made from the ids afterwards."""
+    for df in (documents, awkward.where("doc_id <> 7 OR doc_id IS NULL"), awkward.limit(0)):
+        whole = byte_bpe.encode(df, RANKS, P.PATTERN)
+        later = whole.select("doc_id", "n_tokens", byte_bpe.packed("ids"), byte_bpe.decoded(whole, "ids", RANKS, P.PATTERN))
+        at_once = byte_bpe.encode(df, RANKS, P.PATTERN, give=("n_tokens", "packed", "decoded"))
+        assert at_once.columns == ["doc_id", "n_tokens", "packed", "decoded"]
+        assert Counter(map(tuple, at_once.collect())) == Counter(map(tuple, later.collect()))
+
+
 def loaded():
     ranks = open(RANKS, "rb").read()
     return byte_bpe.load(ranks, P.PATTERN), lambda: byte_bpe.load(ranks, byte_bpe.WHOLE)
