@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskbook.llm import byte_bpe, mixing, pseudonyms, quality_rules, simhash
 from riskbook.llm.common import ship_package
-from riskbook.llm.queries import DISTANCE, KEY, POLICY, RANKS_50K, SHINGLE
+from riskbook.llm.queries import DISTANCE, POLICY, RANKS_50K, SHINGLE, pseudonym_key
 from riskbook.sources.publish import scratch_path
 
 
@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms; ``n_chars`` follows the text, since octets have one to three digits."""
-    hidden = pseudonyms.pseudonymised(docs, KEY, count=None)
+    hidden = pseudonyms.pseudonymised(docs, pseudonym_key(spark), count=None)
     if "n_chars" not in docs.columns:
         return hidden
     kind = docs.schema["n_chars"].dataType
@@ -43,9 +43,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The id, the number of tokens and the token ids of each document of the mix."""
+    """The id, the number of tokens and the token ids of each document of the mix, and a digest of the bytes that these
+    ids decode to."""
     ship_package(spark)
-    return byte_bpe.encode(docs, public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN)
+    ranks, give = public_tokenizers.path(RANKS_50K), ("n_tokens", "ids", "decoded")
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, give=give)
+    return encoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
