@@ -1,6 +1,7 @@
 """Quality rules, SimHash, mixing, sharding and the pipeline against SQL or brute force."""
 
 import base64
+import hashlib
 import os
 import re
 import sys
@@ -385,6 +386,8 @@ def check_ids(mixed, encoded):
     want = Counter((i, tuple(encoding.encode_ordinary(t))) for i, t in short)
     assert not want - Counter((r["doc_id"], tuple(r["ids"])) for r in got)
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    digests = Counter((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in texts)
+    assert Counter((r["doc_id"], r["decoded_sha256"]) for r in got) == digests
 
 
 ADDRESS = re.compile(r"(?<![\w.@+-])[a-z][a-z0-9.]*@[a-z]+(?:\.[a-z]+)+(?![\w@-])")
@@ -414,4 +417,4 @@ def check_hidden(single, hidden):
 
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
-    assert rows.columns == ["doc_id", "n_tokens", "ids"] and rows.count() > 0
+    assert rows.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and rows.count() > 0
