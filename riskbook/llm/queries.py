@@ -106,6 +106,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy costs, of the ledger's bits alone."""
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")), POLICY)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(
@@ -188,6 +193,7 @@ QUERIES = {
         op6_token_counts,
         op7_pseudonyms,
         op8_quality_rules,
+        quality_ablations,
         op9_token_files,
         op10_byte_bpe,
         op11_periodic_runs,
@@ -196,6 +202,26 @@ QUERIES = {
     )
 }
 
+_LEDGER_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM m)),
+hit AS (SELECT r, unnest(range(i, i + 8)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM hit GROUP BY r),
+s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             CAST(len(regexp_extract_all(t, '\p{Lu}')) AS BIGINT) AS n_capitals
+      FROM m LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+                  + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+                  + 32 * (word_chars > 15 * n_words)::INT + 64 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures
+      FROM s)"""
+
 SQL = {
     "op2_mixture": r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
@@ -222,28 +248,19 @@ SELECT doc_id, size, source_size, target,
                                  ELSE 0 END AS BIGINT) AS taken
 FROM r
 """,
-    "op8_quality_rules": r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-m AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
-g AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM m)),
-hit AS (SELECT r, unnest(range(i, i + 8)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
-rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM hit GROUP BY r),
-s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
-             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
-             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-             CAST(len(regexp_extract_all(t, '\p{Lu}')) AS BIGINT) AS n_capitals
-      FROM m LEFT JOIN rep USING (r)),
-f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+    "op8_quality_rules": _LEDGER_SQL + r"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words
             OR word_chars > 15 * n_words OR 2 * n_capitals > word_chars) AS kept,
-       CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
-            + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
-            + 32 * (word_chars > 15 * n_words)::INT + 64 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures
+       failures
 FROM f
+""",
+    "quality_ablations": _LEDGER_SQL + r""",
+rules AS (SELECT unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'short_words', 'long_words', 'capitals']) AS rule,
+                 unnest([1, 2, 4, 8, 16, 32, 64]) AS bit)
+SELECT rule, count(*) FILTER (WHERE failures & bit <> 0) AS failing, count(*) FILTER (WHERE failures = bit) AS alone,
+       count(*) FILTER (WHERE failures & (127 - bit) = 0) AS kept_without
+FROM f, rules GROUP BY rule
 """,
     "op12_decontamination": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

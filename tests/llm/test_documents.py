@@ -279,6 +279,36 @@ def test_sharding(spark, documents, awkward, tmp_path, bucket_bytes):
         check_shards(df, shards_of(spark, df, f"{tmp_path}/{k}", bucket_bytes=bucket_bytes))
 
 
+def plain_places(rows, seed, bucket_bytes):
+    """Shard and slot of each id, for rows without crowds, one row after the other."""
+    def key_of(i):
+        with_seed = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+        unsigned = xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), with_seed)
+        return unsigned - (unsigned >> 63 << 64)
+
+    held = sum(8 * len(r) + sum(len(v.encode()) for v in r if isinstance(v, str)) for r in rows)
+    buckets = [[] for _ in range(max(1, -(-held // bucket_bytes)))]
+    for r in rows:
+        key = key_of(r["doc_id"])
+        buckets[key % sharding.PARTS * len(buckets) // sharding.PARTS].append((key, r["doc_id"]))
+    line = []
+    for number, bucket in enumerate(buckets):
+        bucket.sort()
+        line += [bucket[k][1] for k in np.random.default_rng([seed, number]).permutation(len(bucket))]
+    places = {}
+    for shard in range(8):
+        begin, end = (-(-len(line) * k // 8) for k in (shard, shard + 1))
+        places.update({i: (shard, slot) for slot, i in enumerate(line[begin:end])})
+    return places
+
+
+@pytest.mark.parametrize("bucket_bytes, seed", [(20_000, 0), (32 << 20, 7)])
+def test_places_are_those_of_a_plain_shuffle(spark, documents, tmp_path, bucket_bytes, seed):
+    found = shards_of(spark, documents, f"{tmp_path}/plain", seed=seed, bucket_bytes=bucket_bytes)
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in found.select("row.doc_id", "shard", "slot").collect()}
+    assert got == plain_places(documents.collect(), seed, bucket_bytes)
+
+
 def test_sharding_does_not_depend_on_layout(spark, documents, tmp_path):
     runs = [
         shards_of(spark, df, f"{tmp_path}/{k}", seed=seed).select("row.doc_id", "shard", "slot").collect()

@@ -243,6 +243,54 @@ def test_addresses_by_hand(spark):
     ]
 
 
+def permuted_chars(text, tweak):
+    """Digits and letters of a text through the network, each within its class."""
+    specs = []
+    for c in (c for c in text if c.isascii() and c.isalnum()):
+        first_of_number = not specs and c in "123456789"
+        low = "1" if first_of_number else "0" if c.isdigit() else "a" if c.islower() else "A"
+        specs.append((ord(c) - ord(low), 9 if first_of_number else 10 if c.isdigit() else 26, ord(low)))
+    classes = " ".join(f"{low}/{many}" for _, many, low in specs)
+    new = iter(feistel([v for v, _, _ in specs], [r for _, r, _ in specs], f"{tweak} {classes}"))
+    lows = iter(low for _, _, low in specs)
+    return "".join(chr(next(new) + next(lows)) if c.isascii() and c.isalnum() else c for c in text)
+
+
+def test_mail_addresses_by_hand(spark):
+    locals_ = ["bob.smith+7", "A1", "x", "12.bob", "Q" * 64, "under_score%9"]
+    got = one(spark, *[f"to {x}@mail.example.com." for x in locals_])
+    assert got == [f"to {permuted_chars(x, 'email')}@mail.example.com." for x in locals_]
+
+
+def test_accounts_by_hand(spark):
+    def hidden(account):
+        country, rest = account[:2], account[4:]
+        new = permuted_chars(rest, "iban")
+        number = int("".join(str(int(c, 36)) for c in new.replace(" ", "") + country + "00"))
+        return f"{country}{98 - number % 97:02d}{new}"
+
+    accounts = ["GB82WEST12345698765432", "DE89370400440532013000", "NO9386011117947", "DE89 3704 0044 0532 0130 00"]
+    assert one(spark, *accounts) == [hidden(a) for a in accounts]
+
+
+def test_security_numbers_by_hand(spark):
+    def hidden(area, group, serial):
+        a, g, s = feistel([area - 1 - (area > 666), group - 1, serial - 1], [898, 99, 9999], "ssn")
+        return f"{a + 1 + (a >= 665):03d}-{g + 1:02d}-{s + 1:04d}"
+
+    numbers = [(1, 1, 1), (123, 45, 6789), (665, 99, 9999), (667, 1, 2), (899, 50, 5000)]
+    assert one(spark, *["%03d-%02d-%04d" % n for n in numbers]) == [hidden(*n) for n in numbers]
+
+
+def test_phone_numbers_by_hand(spark):
+    # The country code, which stays, and the rest.
+    numbers = [
+        ("+1", " (438) 555-5817"), ("", "(438) 555-5817"), ("", "438-555-5817"), ("", "438.555.5817"), ("1", "-438-555-5817"),
+        ("+44", "2071234567"), ("+33", " 1 23 45 67 89"), ("+353", " 1 234 5678"), ("+49", " 30 12345678"),
+    ]
+    assert one(spark, *[a + b for a, b in numbers]) == [a + permuted_chars(b, "phone") for a, b in numbers]
+
+
 def test_dates_keep_their_form_and_stay_linked(spark):
     first = datetime.date(1987, 3, 12)
     got = one(spark, "1987-03-12", "12.03.1987", "03/12/1987", "1987/3/12", "1987-02-30", "31.04.2001", "1.2.3", "1987-3-12")
