@@ -220,3 +220,16 @@ def test_command_line(spark, tmp_path, capsys):
     assert rows(ids) == Counter([("100", "2", "1"), ("100", "2", "2")])
     with pytest.raises(SystemExit):
         main(["convert-portfolio", "--run-date", DAY])
+
+
+def test_published_texts_are_compressed(spark, tmp_path):
+    wide = spark.range(20_000).selectExpr("id", *[f"CAST(id % 7 AS string) AS a_long_column_name_{i}" for i in range(20)])
+    for fmt in ("csv", "json"):
+        base = str(tmp_path / fmt)
+        publish.publish(wide, base, DAY, fmt)
+        parts = [f"{base}/dt={DAY}/{f}" for f in os.listdir(f"{base}/dt={DAY}") if f.startswith("part-")]
+        assert all(f.endswith(f".{fmt}.gz") for f in parts)
+        plain = sum(len(line) for line in spark.read.text(f"{base}/dt={DAY}").toPandas()["value"])
+        assert sum(map(os.path.getsize, parts)) * 4 < plain
+        again = publish.read_published(spark, base, DAY, fmt, wide.schema).drop("dt")
+        assert again.exceptAll(wide).isEmpty() and again.count() == 20_000
