@@ -1,5 +1,6 @@
 import os
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,41 @@ def test_published_texts_are_compressed(spark, tmp_path):
         assert sum(map(os.path.getsize, parts)) * 4 < plain
         again = publish.read_published(spark, base, DAY, fmt, wide.schema).drop("dt")
         assert again.exceptAll(wide).isEmpty() and again.count() == 20_000
+
+
+def test_wide_rows_are_written_step_by_step(spark, tmp_path, monkeypatch):
+    """One generated method over many columns is too large to be compiled; narrow rows keep theirs, and so does the session."""
+    limit, seen = "spark.sql.codegen.maxFields", []
+    before = spark.conf.get(limit, None)
+
+    def plan(columns: int) -> str:
+        df = spark.range(3).selectExpr(*[f"id + {k} AS c{k}" for k in range(columns)])
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    with publish.wide_rows(spark):
+        assert "*(1) Project" not in plan(30)
+        assert "*(1) Project" in plan(3)
+    assert "*(1) Project" in plan(30)
+
+    spark.conf.set(limit, "7")
+    try:
+        with pytest.raises(InterruptedError), publish.wide_rows(spark):
+            assert spark.conf.get(limit) == "7"
+            raise InterruptedError
+        assert spark.conf.get(limit) == "7"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+
+    @contextmanager
+    def recorded(session):
+        seen.append(session)
+        yield
+
+    monkeypatch.setattr(publish, "wide_rows", recorded)
+    monkeypatch.setattr(readers, "wide_rows", recorded)
+    publish.publish(spark.range(3), f"{tmp_path}/t", DAY)
+    spark.range(3).selectExpr("cast(id AS int) AS ecad_id", "'A1' AS ber_rating", "1.0D AS ber_rating_kwh", "2.0D AS co2_emission").write.option(
+        "header", True
+    ).csv(f"{tmp_path}/in")
+    valid, rejected = readers.land_csv(spark, f"{tmp_path}/in", schemas.ENERGY_RATING, f"{tmp_path}/staged")
+    assert (valid.count(), rejected.count(), len(seen)) == (3, 0, 2)
