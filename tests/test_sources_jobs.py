@@ -1,4 +1,5 @@
 import os
+import time
 from collections import Counter
 from contextlib import contextmanager
 
@@ -236,6 +237,56 @@ def test_published_texts_are_compressed(spark, tmp_path):
         assert again.exceptAll(wide).isEmpty() and again.count() == 20_000
 
 
+def shuffle_files(spark):
+    """Names of the files that shuffles of the session hold on this machine's disk."""
+    files, names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator(), set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffle_files_go_with_their_write(spark, tmp_path):
+    """Otherwise those of all writes of a job lie side by side until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    session, before = spark.conf.get(name), shuffle_files(spark)
+    moved = spark.range(20_000).selectExpr("id % 97 AS k", "id").repartition(5, "k")
+    for fmt in ("parquet", "csv", "json"):
+        publish.publish(moved, f"{tmp_path}/{fmt}", DAY, fmt)
+    left = shuffle_files(spark) - before
+    for _ in range(50):  # files are removed beside the session's work
+        if not left:
+            break
+        time.sleep(0.1)
+        left &= shuffle_files(spark)
+    assert not left and spark.conf.get(name) == session
+    for fmt in ("parquet", "csv", "json"):
+        assert publish.read_published(spark, f"{tmp_path}/{fmt}", DAY, fmt).count() == 20_000
+
+
+def test_published_tables_are_small(spark, tmp_path):
+    """A portfolio's texts and numbers, four rows of an id each, as the merge leaves them."""
+    df = spark.range(0, 40_000, 1, 2).selectExpr("id div 4 AS id", *[f"CAST(xxhash64(id div 4) % 100000 + {i} AS string) AS column_{i}" for i in range(20)])
+
+    def size(folder):
+        return sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("part-"))
+
+    publish.publish(df, f"{tmp_path}/parquet", DAY)
+    df.write.parquet(f"{tmp_path}/snappy", compression="snappy")
+    assert size(f"{tmp_path}/parquet/dt={DAY}") < 0.9 * size(f"{tmp_path}/snappy")
+    publish.publish(df, f"{tmp_path}/json", DAY, "json")
+    df.write.option("zlib.compress.level", "BEST_SPEED").json(f"{tmp_path}/fast", compression="gzip")
+    assert size(f"{tmp_path}/json/dt={DAY}") < 0.8 * size(f"{tmp_path}/fast")
+    assert publish.read_published(spark, f"{tmp_path}/parquet", DAY).drop("dt").exceptAll(df).isEmpty()
+
+    codec = "spark.sql.parquet.compression.codec"
+    spark.conf.set(codec, "gzip")
+    try:
+        publish.publish(df.limit(10), f"{tmp_path}/named", DAY)
+    finally:
+        spark.conf.unset(codec)
+    assert any(f.endswith(".gz.parquet") for f in os.listdir(f"{tmp_path}/named/dt={DAY}"))
+
+
 def test_wide_rows_are_written_step_by_step(spark, tmp_path, monkeypatch):
     """One generated method over many columns is too large to be compiled; narrow rows keep theirs, and so does the session."""
     limit, seen = "spark.sql.codegen.maxFields", []
