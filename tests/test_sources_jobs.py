@@ -3,9 +3,11 @@ import time
 from collections import Counter
 from contextlib import contextmanager
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import jobs
 from riskbook.plans.property_jobs import enrich_loan_book_job, merge_property_risk_job
 from riskbook.plans.regulatory_jobs import property_report_job
 from riskbook.sources import publish, readers, schemas
@@ -287,6 +289,46 @@ def test_published_tables_are_small(spark, tmp_path):
     assert any(f.endswith(".gz.parquet") for f in os.listdir(f"{tmp_path}/named/dt={DAY}"))
 
 
+def test_columns_of_many_values_have_no_dictionary(spark, tmp_path):
+    """Values that a merge repeats lie close together; columns of few values keep their dictionary."""
+    rows_of_ids = spark.range(0, 200_000, 1, 2).selectExpr(
+        "id div 4 AS id",
+        "CAST(id % 5 AS string) AS few",
+        *[f"CAST(xxhash64(id div 4) % 50000 + {i} AS string) AS many_{i}" for i in range(6)],
+        *[f"CAST(xxhash64(id div 4) % 50000 + {i} AS double) AS number_{i}" for i in range(6)],
+    )
+    publish.publish(rows_of_ids, f"{tmp_path}/t", DAY)
+    rows_of_ids.write.parquet(f"{tmp_path}/plain", compression="zstd")
+
+    def parts(folder):
+        return [f"{folder}/{f}" for f in os.listdir(folder) if f.startswith("part-")]
+
+    published = parts(f"{tmp_path}/t/dt={DAY}")
+    assert sum(map(os.path.getsize, published)) < 0.75 * sum(map(os.path.getsize, parts(f"{tmp_path}/plain")))
+    group = pq.ParquetFile(published[0]).metadata.row_group(0)
+    encodings = {group.column(k).path_in_schema: "".join(group.column(k).encodings) for k in range(group.num_columns)}
+    assert "DICTIONARY" in encodings["few"] and "DICTIONARY" not in encodings["many_0"] + encodings["number_0"]
+    assert publish.read_published(spark, f"{tmp_path}/t", DAY).drop("dt").exceptAll(rows_of_ids).isEmpty()
+
+
+def test_conversion_query_leaves_no_used_files(spark, tmp_path):
+    """The files made for the job and its staged rows are gone before layers are made; what it publishes stays."""
+    few = spark.range(1, 6)
+    few.selectExpr(
+        "id AS o_orderkey", "id % 2 AS o_custkey", "1.5D AS o_totalprice", "'HIGH' AS o_orderpriority", "'O' AS o_orderstatus"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    few.selectExpr(
+        "id AS l_orderkey", "id AS l_suppkey", "9.5D AS l_extendedprice", "1 AS l_linenumber", "0.5D AS l_discount",
+        "'A' AS l_returnflag", "3.0D AS l_quantity",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    few.selectExpr("id AS doc_id", "id AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    root = jobs._converted(spark, str(tmp_path))
+    assert publish.names_below(spark, root) == ["merged", "reports"]
+    assert publish.names_below(spark, f"{root}/merged") == ["csv", "json", "parquet"]
+    counts = {fmt: publish.read_published(spark, f"{root}/merged/{fmt}", jobs.DAY, fmt).count() for fmt in ("csv", "json", "parquet")}
+    assert counts == {"csv": 5, "json": 5, "parquet": 5}
+
+
 def test_wide_rows_are_written_step_by_step(spark, tmp_path, monkeypatch):
     """One generated method over many columns is too large to be compiled; narrow rows keep theirs, and so does the session."""
     limit, seen = "spark.sql.codegen.maxFields", []
