@@ -7,6 +7,10 @@ query takes the leaves of a tree in order of their projected distance and verifi
 vectors, until a point nearer than the worst of its best k, lying further out in the projection, would have less than
 ``1 - CONFIDENCE`` of probability.
 
+Blocks and queries are stored and moved as single rows, blocks in the order of their trees. A task reads the rows of a
+block, then the queries sent to it one batch after the other, so that it holds one block and one batch at a time, however
+many queries or blocks there are.
+
 A coarse kd-tree over the projections, whose cuts come from a sample of at most ``SAMPLE`` rows, deals every row to one of
 at most ``CELLS`` cells; a cell holds as many blocks as its rows need, whatever they are, so a vector that fills a cell
 with its copies is spread over tasks. A query first searches one block of its own cell, which gives the limit of the
@@ -42,7 +46,6 @@ LEAVES_AT_ONCE = 8
 # Squared projected distances up to this are rounding: exact copies are always verified.
 NEARLY_EQUAL = 1e-12
 BLOCK = 8192
-QUERY_BLOCK = 512
 SAMPLE = 65_536
 CELLS = 4096
 # Rows of the sample behind each cell, at least.
@@ -97,6 +100,11 @@ def _usable(batch: pa.RecordBatch):
         yield int(dim), rows, ids.take(rows).to_numpy(), _safe(vectors[good])
 
 
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Lists of one length, without nulls, as rows of a matrix."""
+    return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64)
+
+
 def _safe(vectors: np.ndarray) -> np.ndarray:
     """Vectors whose squared length is a normal number: others are scaled, which no cosine notices."""
     with np.errstate(over="ignore"):
@@ -218,21 +226,28 @@ def _routed(df: DataFrame, cuts: dict[int, Cuts], seed: int) -> DataFrame:
 
 
 def build_index(routed: DataFrame, slots: DataFrame, tasks: int, seed: int = 0) -> DataFrame:
-    """A block of rows per slot: ids, vectors, projections in the order of the tree, its leaves and the block's box."""
+    """The rows of a block per slot in the order of its tree, each with its ``leaf`` and its projection, ``point``; vectors
+    as they are given."""
 
     def run(batches):
         held, slot = [], None
 
         def block():
-            ids, vectors = (np.concatenate(x) for x in zip(*held))
+            ids, vectors = (np.concatenate(x) for x in list(zip(*held))[:2])
+            given = pa.concat_arrays([x for _, _, x in held])
             held.clear()
             points = _projected(vectors, seed)
             order, leaves = build_tree(points)
-            box = [points.min(axis=0), points.max(axis=0)]
-            row = [*slot, ids[order], vectors[order].tobytes(), points[order].tobytes(), leaves, *box]
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
+            ends = pa.array(np.arange(0, (len(order) + 1) * PROJECTED, PROJECTED, dtype=np.int32))
+            arrays = [
+                *[pa.array(np.full(len(order), x)) for x in slot],
+                pa.array(np.repeat(np.arange(len(leaves) - 1), np.diff(leaves))),
+                pa.array(ids[order]),
+                given.take(pa.array(order)),
+                pa.ListArray.from_arrays(ends, pa.array(points[order].reshape(-1))),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=["slot", "dim", "cell", "leaf", "id", "vector", "point"])
 
-        names = ["slot", "dim", "cell", "ids", "vectors", "points", "leaves", "low", "high"]
         for batch in batches:
             places = np.stack([batch.column(k).to_numpy() for k in (2, 3, 4)], axis=1)
             starts = np.flatnonzero(np.r_[True, (places[1:, 0] != places[:-1, 0])]) if len(places) else []
@@ -240,8 +255,9 @@ def build_index(routed: DataFrame, slots: DataFrame, tasks: int, seed: int = 0)
                 if held and slot[0] != places[start, 0]:
                     yield block()
                 slot = [int(x) for x in places[start]]
-                for _, _, ids, vectors in _usable(batch.slice(start, end - start)):
-                    held.append((ids, vectors))
+                part = batch.slice(start, end - start)
+                for _, rows, ids, vectors in _usable(part):
+                    held.append((ids, vectors, part.column(1).take(rows)))
         if held:
             yield block()
 
@@ -249,79 +265,78 @@ def build_index(routed: DataFrame, slots: DataFrame, tasks: int, seed: int = 0)
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
     dealt = routed.join(F.broadcast(slots), ["dim", "cell"]).withColumn("slot", (F.col("first") + part).cast("int"))
     rows = dealt.select("id", "vector", "slot", "dim", "cell").repartitionById(tasks, F.col("slot")).sortWithinPartitions("slot")
-    schema = """slot long, dim long, cell long, ids array<long>, vectors binary, points binary, leaves array<long>,
-        low array<double>, high array<double>"""
-    return rows.mapInArrow(run, schema)
-
-
-def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names=names)
-
-
-def _matrix(batch: pa.RecordBatch, name: str, i: int, width: int) -> np.ndarray:
-    return np.frombuffer(batch.column(batch.schema.get_field_index(name))[i].as_py()).reshape(-1, width)
-
-
-def _numbers(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
-    return batch.column(batch.schema.get_field_index(name))[i].values.to_numpy()
-
-
-QUERIES = "query_slot long, query_ids array<long>, query_vectors binary, limits array<double>"
+    kind = routed.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(
+        run, f"slot long, dim long, cell long, leaf long, id long, vector {kind}, point array<double>"
+    )
 
 
 def _home(queries: DataFrame, cuts: dict[int, Cuts], first: dict, seed: int) -> DataFrame:
-    """Queries packed by the first slot of their own cell."""
+    """Queries with the first slot of their own cell."""
 
     def run(batches):
         for batch in batches:
-            for dim, _, ids, vectors in _usable(batch):
+            for dim, rows, ids, vectors in _usable(batch):
                 cells = _cells(cuts, dim, _projected(vectors, seed))
-                for cell in np.unique(cells):
-                    own = np.flatnonzero(cells == cell)
-                    for k in range(0, len(own), QUERY_BLOCK):
-                        part = own[k : k + QUERY_BLOCK]
-                        row = (first[dim, int(cell)][0], ids[part], vectors[part].tobytes(), np.full(len(part), np.inf))
-                        yield _packed([row], ["query_slot", "query_ids", "query_vectors", "limits"])
+                own, at = np.unique(cells, return_inverse=True)
+                slots = np.array([first[dim, int(cell)][0] for cell in own], dtype=np.int64)[at]
+                arrays = [
+                    pa.array(slots), pa.array(np.full(len(ids), dim)), pa.array(ids), batch.column(1).take(rows),
+                    pa.array(np.full(len(ids), np.inf)),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["slot", "dim", "id", "vector", "limit"])
 
-    return queries.mapInArrow(run, QUERIES)
+    kind = queries.schema["vector"].dataType.simpleString()
+    return queries.mapInArrow(run, f"slot long, dim long, id long, vector {kind}, limit double")
 
 
 def _met(index: DataFrame, queries: DataFrame, tasks: int, seed: int, k: int, stop: float):
-    """Each pack of queries with the blocks of its slot; what a task does with a pair is ``use``."""
-    # Slots are dense numbers, so they go to tasks one by one, not by a hash that puts several in one task.
-    left, right = (
-        df.withColumn(c, F.col(c).cast("int")).repartitionById(tasks, F.col(c))
-        for df, c in ((index, "slot"), (queries, "query_slot"))
+    """The rows of each block and behind them the queries of its slot; what a task does with queries is for ``searched``."""
+    nothing = F.lit(None).cast("array<double>")
+    blocks = index.select("slot", F.lit(0).alias("turn"), "leaf", "dim", "id", "vector", "point", F.lit(0.0).alias("limit"))
+    asking = queries.select(
+        "slot", F.lit(1).alias("turn"), F.lit(0).cast("long").alias("leaf"), "dim", "id", "vector", nothing.alias("point"), "limit"
     )
-    met = left.join(right.hint("merge"), F.col("slot") == F.col("query_slot"))
-    columns = ("dim", "slot", "ids", "vectors", "points", "leaves", "query_ids", "query_vectors", "limits")
+    # Slots are dense numbers, so they go to tasks one by one, not by a hash that puts several in one task.
+    met = blocks.union(asking).repartitionById(tasks, F.col("slot").cast("int")).sortWithinPartitions("slot", "turn", "leaf")
+
+    def block_of(held: list[pa.RecordBatch], dim: int) -> Block:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        leaf = rows.column("leaf").to_numpy()
+        leaves = np.r_[np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]]), len(leaf)]
+        vectors, points = _safe(_matrix(rows.column("vector"), dim)), _matrix(rows.column("point"), PROJECTED)
+        return Block(rows.column("id").to_numpy(), vectors, points, leaves)
 
     def searched(batches):
-        slot = block = None
+        """For queries of a batch that go to one block: their rows, vectors and what is found for each."""
+        slot, held, block = None, [], None
         for batch in batches:
-            for i in range(batch.num_rows):
-                dim = batch.column(0)[i].as_py()
-                # Packs of one slot come one after the other, and a slot has one block.
-                if slot != batch.column(1)[i].as_py():
-                    slot = batch.column(1)[i].as_py()
-                    block = Block(
-                        _numbers(batch, "ids", i), _matrix(batch, "vectors", i, dim),
-                        _matrix(batch, "points", i, PROJECTED), _numbers(batch, "leaves", i),
-                    )
-                asked, vectors = _numbers(batch, "query_ids", i), _matrix(batch, "query_vectors", i, dim)
-                limits = _numbers(batch, "limits", i)
+            places = np.stack([batch.column(c).to_numpy() for c in ("slot", "turn")], axis=1)
+            starts = np.flatnonzero(np.r_[True, (places[1:] != places[:-1]).any(axis=1)]) if len(places) else []
+            for start, end in zip(starts, [*starts[1:], len(places)]):
+                part = batch.slice(start, end - start)
+                if slot != places[start, 0]:
+                    slot, held, block = places[start, 0], [], None
+                if places[start, 1] == 0:
+                    held.append(part)
+                    continue
+                dim = part.column("dim")[0].as_py()
+                if block is None:
+                    held, block = [], block_of(held, dim)
+                vectors = _safe(_matrix(part.column("vector"), dim))
+                asked, limits = part.column("id").to_numpy(), part.column("limit").to_numpy()
                 found = [
                     block.nearest(*x, k, stop, limit)
                     for *x, limit in zip(asked, vectors, _projected(vectors, seed), limits)
                 ]
-                yield dim, asked, vectors, limits, found
+                yield dim, part, vectors, found
 
-    return met.select(*columns), searched
+    return met, searched
 
 
 def _boxes(index: DataFrame) -> dict[int, list]:
     """The box of each cell, by length of the vectors: a row per cell."""
-    sides = [F.min(F.col("low")[i]) for i in range(PROJECTED)] + [F.max(F.col("high")[i]) for i in range(PROJECTED)]
+    sides = [side(F.col("point")[i]) for side in (F.min, F.max) for i in range(PROJECTED)]
     out: dict[int, list] = {}
     for row in index.groupBy("dim", "cell").agg(*sides).collect():
         out.setdefault(row[0], []).append((row[1], np.array(row[2 : 2 + PROJECTED]), np.array(row[2 + PROJECTED :])))
@@ -352,27 +367,31 @@ def search(
     at_home, searched = _met(index, _home(queries, cuts, first, seed), tasks, seed, k, stop)
 
     def go_on(batches):
-        """Queries with the limit found at home, packed for each cell within it."""
-        names = ["first", "parts", "query_ids", "query_vectors", "limits"]
-        for dim, asked, vectors, _, found in searched(batches):
+        """Queries with the limit found at home, for each cell within it."""
+        names = ["first", "parts", "dim", "id", "vector", "limit"]
+        for dim, asked, vectors, found in searched(batches):
             limits = np.array([limit_of(scores[-1], stop) if len(scores) == k else np.inf for _, scores in found])
             points = _projected(vectors, seed)
             for cell, low, high in boxes[dim]:
                 outside = np.maximum(0, np.maximum(low - points, points - high))
                 near = (outside * outside).sum(axis=1) <= limits
                 if near.any():
-                    yield _packed([(*first[dim, cell], asked[near], vectors[near].tobytes(), limits[near])], names)
-
-    sent = at_home.mapInArrow(go_on, "first long, parts long, " + QUERIES.partition(", ")[2])
-    sent = sent.withColumn("query_slot", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
+                    rows = pa.array(np.flatnonzero(near))
+                    place = [pa.array(np.full(len(rows), x)) for x in (*first[dim, cell], dim)]
+                    given = [asked.column(c).take(rows) for c in ("id", "vector")]
+                    yield pa.RecordBatch.from_arrays([*place, *given, pa.array(limits[near])], names=names)
+
+    kind = rows.schema["vector"].dataType.simpleString()
+    sent = at_home.mapInArrow(go_on, f"first long, parts long, dim long, id long, vector {kind}, limit double")
+    sent = sent.withColumn("slot", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
     everywhere, searched_on = _met(index, sent, tasks, seed, k, stop)
 
     def report(batches):
-        for _, asked, vectors, _, found in searched_on(batches):
+        for _, asked, vectors, found in searched_on(batches):
             held = [len(ids) for ids, _ in found]
             marks = np.array([zlib.crc32(v.tobytes()) for v in vectors], dtype=np.int64)
             arrays = [
-                pa.array(np.repeat(asked, held)),
+                pa.array(np.repeat(asked.column("id").to_numpy(), held)),
                 pa.array(np.repeat(marks, held)),
                 pa.array(np.concatenate([ids for ids, _ in found])),
                 pa.array(np.concatenate([scores for _, scores in found])),

@@ -95,6 +95,30 @@ def test_neighbours_over_many_cells(spark, monkeypatch):
     assert copies == [(1, 0), (2, 7), (3, 14), (4, 21), (5, 28)]
 
 
+def test_a_block_is_sent_once_however_many_queries(spark, monkeypatch):
+    """Blocks and queries move as single rows, a block once; batches smaller than a block change nothing."""
+    monkeypatch.setattr(neighbours, "BLOCK", 128)
+    met, real = [], neighbours._met
+
+    def seen(*args):
+        met.append(real(*args))
+        return met[-1]
+
+    monkeypatch.setattr(neighbours, "_met", seen)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(1000))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = neighbours.search(df, F.col("vec_id") % 4 == 0, 5).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert recall(got, brute_nearest(rows, lambda i: i % 4 == 0, 5)) >= 0.9
+    for moved, _ in met:
+        counts = {r["turn"]: r["n"] for r in moved.groupBy("turn").agg(F.count("*").alias("n")).collect()}
+        assert counts[0] == 1000 and counts[1] >= 250
+        assert moved.where("size(vector) <> 24").isEmpty()
+
+
 def test_cuts_are_balanced():
     cuts = neighbours.Cuts(np.random.default_rng(1).normal(size=(4000, neighbours.PROJECTED)), 32)
     counts = np.bincount(cuts.cells(np.random.default_rng(2).normal(size=(32_000, neighbours.PROJECTED))), minlength=32)
