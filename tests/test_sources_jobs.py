@@ -365,3 +365,13 @@ def test_wide_rows_are_written_step_by_step(spark, tmp_path, monkeypatch):
     ).csv(f"{tmp_path}/in")
     valid, rejected = readers.land_csv(spark, f"{tmp_path}/in", schemas.ENERGY_RATING, f"{tmp_path}/staged")
     assert (valid.count(), rejected.count(), len(seen)) == (3, 0, 2)
+
+
+def test_a_write_has_several_tasks_per_core(spark, tmp_path):
+    """Files are not packed to as many parts as cores; the session's settings are as before."""
+    spark.range(0, 64, 1, 64).write.parquet(str(tmp_path / "in"))
+    publish.publish(spark.read.parquet(str(tmp_path / "in")), str(tmp_path / "out"), DAY)
+    assert len(list(tmp_path.glob("out/*/part-*"))) >= 2 * spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 64
+    for name in ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionNum"):
+        assert spark.conf.get(name, None) is None
